@@ -77,7 +77,7 @@ def movement(open_, close, floor: float = 0.5) -> Column:
 def ev(p, american, stake: float = 100.0) -> Column:
     """struct(ev, roi, p_win, profit_if_win, edge_pct) of a bet at an American price."""
     p, a = _c(p), _c(american).cast("double")
-    profit = F.when(a > 0, F.lit(stake) * a / 100).otherwise(F.lit(stake * 100) / F.abs(a))
+    profit = F.when(a > 0, F.lit(stake) * a / 100).when(a < 0, F.lit(stake * 100) / F.abs(a))
     value = p * profit - (F.lit(1.0) - p) * stake
     roi = value / stake
     return F.struct(

@@ -15,9 +15,13 @@ from pyspark.sql.types import StructType
 from leaksafe.operators.consensus import consensus_columns
 
 
-def read_snapshots(spark: SparkSession, path: str, schema: StructType | str, ts: str, *, files_per_trigger: int | None = None) -> DataFrame:
-    """A folder of Parquet snapshots as a stream with `ts` as an instant."""
+def read_snapshots(
+    spark: SparkSession, path: str, schema: StructType | str, ts: str, *, files_per_trigger: int | None = None, pattern: str | None = None
+) -> DataFrame:
+    """A folder of Parquet snapshots (files matching `pattern`) as a stream with `ts` as an instant."""
     reader = spark.readStream.schema(schema)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path).withColumn(ts, F.col(ts).cast("timestamp"))
