@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,13 +63,20 @@ def pair_rows(
 
 
 def pivot_measures(
-    df: DataFrame, keys: Sequence[str], pivot: str, values: Sequence[str], measures: Mapping[str, Column], fill=0
+    df: DataFrame,
+    keys: Sequence[str],
+    pivot: str,
+    values: Sequence[str],
+    measures: Mapping[str, Callable[[Column], Column]],
+    fill=0,
+    extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Aggregate per key and pivot value, one column `{value}_{measure}` each; gaps become `fill`.
 
-    The values are given, so no extra job looks them up.
+    A measure takes the condition "the row has this value" and returns an aggregate. `extra`
+    aggregates run over all rows of the key. The values are given, so no job looks them up.
     """
-    picked = []
+    picked = [c.alias(n) for n, c in (extra or {}).items()]
     for value in values:
         for name, build in measures.items():
             picked.append(build(F.col(pivot) == value).alias(f"{value}_{name}"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leaksafe.operators import dash, evaluate, quality, rolling, scenario
-from leaksafe.plans import ml
+from leaksafe.operators import ml
 from leaksafe.plans.queries_time import ORDER, RATING_SQL, open_close, rated_orders, wide_mart
 from leaksafe.plans.registry import query, table
 from leaksafe.sources import payloads, tables
