@@ -58,9 +58,14 @@ def _columns(text: str) -> dict:
     return spec
 
 
+# Tables that project one relation: name → (relation, {output: (column, type)}).
+PROJECTED: dict[str, tuple[str, dict]] = {}
+
+
 def table(name: str, source: str, key: str, columns: str, prepare: Callable[[DataFrame], DataFrame] | None = None):
     """Declare a table as a typed projection of one relation."""
     spec = _columns(columns)
+    PROJECTED[name] = (source, spec)
 
     def build(df: DataFrame) -> DataFrame:
         return clean.project(prepare(df) if prepare else df, spec)
