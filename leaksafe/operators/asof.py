@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leaksafe.functions.clocks import epoch
-from leaksafe.operators.windows import HotKeys, Running, ordered
+from leaksafe.operators.windows import HotKeys, Running, ordered, profile
 
 
 def _rank(order: Sequence[str | Column], tie: Sequence[str]) -> Column:
@@ -106,6 +106,7 @@ def nearest(
     cols: Sequence[str] | None = None,
     *,
     prefix: str = "",
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """For each left row the right row of its key with the least |ts − at|; left rows are kept.
 
@@ -115,10 +116,13 @@ def nearest(
     cols = list(cols or [c for c in right.columns if c not in on])
     right = right.select(*dict.fromkeys([*on, ts, tie, *cols]))
     line = _time_line(left, right, on, at, ts, tie, right_first=True)
-    line = ordered(line, on, ["__t", "__side", "__tie"], {"__back": Running("last", "__right", inclusive=True)})
+    forward, backward = ["__t", "__side", "__tie"], ["__t", "__side2", "__tie2"]
+    # Cut points only balance tasks, so one profile serves both directions.
+    hot = hot or profile(line, on, forward)
+    line = ordered(line, on, forward, {"__back": Running("last", "__right", inclusive=True)}, hot=hot)
     line = line.withColumns({"__side2": 1 - F.col("__side"), "__tie2": -F.col("__tie")})
     line = ordered(
-        line, on, ["__t", "__side2", "__tie2"], {"__ahead": Running("last", "__right", inclusive=True)}, descending=True
+        line, on, backward, {"__ahead": Running("last", "__right", inclusive=True)}, descending=True, hot=hot
     )
     back, ahead = F.col("__back"), F.col("__ahead")
     behind_by = epoch("__t") - epoch(back.getField(ts))

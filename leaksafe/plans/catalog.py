@@ -72,9 +72,10 @@ def materialise(
     path = f"{root}/{relation.name}"
     if period and period[0] in df.columns and period[0] in relation.partition:
         df = df.filter(F.col(period[0]) == period[1])
-    if df.limit(1).count():
+    # Overwriting partitions replaces only those present, so nothing needs to be checked first.
+    if relation.partition or df.limit(1).count():
         write_table(df, path, partition=relation.partition)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def run(

@@ -17,7 +17,14 @@ def query(name: str, sql: str | None = None):
     def add(build: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = build
+
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            # Timestamps without zone are read as UTC throughout.
+            if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+                spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return build(spark, folder)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql.strip()
         return build

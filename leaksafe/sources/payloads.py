@@ -45,7 +45,9 @@ def flatten_json(
 
 
 def zip_explode(df: DataFrame, arrays: Sequence[str], keep: Sequence[str] = (), position: str | None = None) -> DataFrame:
-    """Parallel arrays → rows, aligned by position; shorter arrays are padded with NULL."""
+    """Parallel arrays → rows, aligned by position; shorter and missing arrays are padded with NULL."""
+    types = df.schema
+    df = df.withColumns({a: F.coalesce(F.col(a), F.array().cast(types[a].dataType)) for a in arrays})
     zipped = F.arrays_zip(*arrays)
     if position:
         rows = df.select(*keep, F.posexplode(zipped).alias(position, "__z"))
