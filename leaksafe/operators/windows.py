@@ -29,7 +29,6 @@ SAMPLES_PER_BLOCK = 16
 _ALL = "__all"
 _BLOCK = "__block"
 _HALO = "__halo"
-_HOT = "__hot"
 _AT = "__at"
 
 
@@ -60,10 +59,14 @@ class Frame:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """The hot keys of a frame with the cut points of their blocks; `table` is None if there are none."""
+    """The blocks of a frame's hot keys; both tables are None if no key is hot.
+
+    `coarse` holds up to FAN consecutive ranges per key, `fine` up to FAN blocks per range.
+    """
 
     keys: tuple[str, ...]
-    table: DataFrame | None
+    coarse: DataFrame | None = None
+    fine: DataFrame | None = None
 
 
 def _names(keys: str | Sequence[str]) -> list[str]:
@@ -115,7 +118,7 @@ def profile(
         .collect()
     )
     if not counts:
-        return HotKeys(tuple(names), None)
+        return HotKeys(tuple(names))
 
     spark = df.sparkSession
     key_fields = [T.StructField(n, df.schema[n].dataType, True) for n in names]
@@ -134,7 +137,7 @@ def profile(
         .agg(F.sort_array(F.collect_list(_AT)).alias("__sample"))
         .collect()
     )
-    rows = []
+    coarse, fine = [], []
     for row in samples:
         key = tuple(row[n] for n in names)
         points, wanted = row["__sample"], blocks[key]
@@ -143,20 +146,51 @@ def profile(
             cut = points[min(len(points) - 1, i * len(points) // wanted)]
             if not cuts or cut != cuts[-1]:
                 cuts.append(cut)
-        rows.append((*key, cuts, cuts[FAN - 1 :: FAN]))
-    position = placed.schema[_AT].dataType
-    schema = T.StructType(
-        [*key_fields, T.StructField("__cuts", T.ArrayType(position)), T.StructField("__coarse", T.ArrayType(position))]
+        edges = [None, *cuts, None]  # block i lies between edges i and i + 1
+        for start in range(0, len(edges) - 1, FAN):
+            stop = min(start + FAN, len(edges) - 1)
+            coarse.append((*key, start, edges[start], edges[stop]))
+            fine += [(*key, start, i, edges[i], edges[i + 1]) for i in range(start, stop)]
+    if not fine:
+        return HotKeys(tuple(names))
+    at = T.StructField
+    bounds = [at("__lo", placed.schema[_AT].dataType), at("__hi", placed.schema[_AT].dataType)]
+    ranges = [*key_fields, at("__range", T.IntegerType())]
+    return HotKeys(
+        tuple(names),
+        spark.createDataFrame(coarse, T.StructType([*ranges, *bounds])),
+        spark.createDataFrame(fine, T.StructType([*ranges, at(_BLOCK, T.IntegerType()), *bounds])),
     )
-    return HotKeys(tuple(names), spark.createDataFrame(rows, schema) if rows else None)
 
 
-def _block() -> Column:
-    """Number of cut points at or before the row: first among every FAN-th cut, then within that stretch."""
-    at = F.col(_AT)
-    coarse = F.size(F.filter("__coarse", lambda c: c <= at))
-    fine = F.size(F.filter(F.slice("__cuts", coarse * FAN + 1, FAN), lambda c: c <= at))
-    return F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(coarse * FAN + fine).cast("int")
+def _reached(order: Sequence[str], bound: str) -> Column:
+    """Whether the row's position is at or after a bound, NULL last, compared column by column."""
+    result = F.lit(True)
+    for i, name in reversed(list(enumerate(order))):
+        here, there = F.col(name), F.col(f"{bound}.v{i}")
+        after = F.coalesce(here > there, here.isNull() & there.isNotNull())
+        result = after | (here.eqNullSafe(there) & result)
+    return result
+
+
+def _inside(order: Sequence[str]) -> Column:
+    above = F.col("__lo").isNull() | _reached(order, "__lo")
+    return above & (F.col("__hi").isNull() | ~_reached(order, "__hi"))
+
+
+def _place(df: DataFrame, names: Sequence[str], order: Sequence[str], hot: HotKeys, how: str) -> DataFrame:
+    """Add the block of each hot row. Two lookups by key: the range, then the block within it.
+
+    Both sides are at most MAX_HOT_KEYS * FAN * FAN rows built on the driver, so they are
+    broadcast, and a row meets at most 2 * FAN bounds.
+    """
+    table = F.broadcast(hot.coarse.withColumnsRenamed({n: f"__k_{n}" for n in names}))
+    df = df.join(table, _null_safe(names) & _inside(order), how).drop("__lo", "__hi", *[f"__k_{n}" for n in names])
+    table = F.broadcast(hot.fine.withColumnsRenamed({**{n: f"__k_{n}" for n in names}, "__range": "__k___range"}))
+    same = _null_safe(names) & (F.col("__range") == F.col("__k___range"))
+    return df.join(table, same & _inside(order), how).drop(
+        "__lo", "__hi", "__range", "__k___range", *[f"__k_{n}" for n in names]
+    )
 
 
 def _aggregate(agg: str, value: Column | None) -> Column:
@@ -203,7 +237,7 @@ def ordered(
         df = df.withColumn(_ALL, F.lit(0))
     if hot is None:
         hot = profile(df, names, order, rows_per_task=rows_per_task)
-    if hot.table is None:
+    if hot.fine is None:
         window = _spec(names, order, descending)
         added = [
             _over(item, None if item.col is None else _column(item.col), window).alias(name)
@@ -215,63 +249,48 @@ def ordered(
 
 def _blocked(df, names, order, outputs, descending, hot) -> DataFrame:
     columns = df.columns
-    measures = {name: f"__m{i}" for i, name in enumerate(outputs)}
-    rows = df.select(
-        "*",
-        *[
-            (F.lit(1) if item.col is None else _column(item.col)).alias(measures[name])
-            for name, item in outputs.items()
-        ],
-        _position(order).alias(_AT),
-    )
-    # At most MAX_HOT_KEYS rows, built on the driver: the size is known.
-    table = F.broadcast(hot.table.withColumnsRenamed({n: f"__k_{n}" for n in names}))
-    condition = F.lit(True)
-    for n in names:
-        condition = condition & F.col(n).eqNullSafe(F.col(f"__k_{n}"))
-    rows = (
-        rows.join(table, condition, "left")
-        .withColumn(_BLOCK, _block())
-        .withColumn(_HOT, F.col("__cuts").isNotNull())
-        .withColumn(_HALO, F.lit(False))
-        .drop("__cuts", "__coarse", *[f"__k_{n}" for n in names])
-    )
-    hot_rows = rows.filter(_HOT)
+    # A plain column is its own measure; expressions and row counts become columns of their own.
+    measures, added = {}, []
+    for i, (name, item) in enumerate(outputs.items()):
+        measures[name] = item.col if isinstance(item.col, str) else None if item.col is None else f"__m{i}"
+        if isinstance(item.col, Column):
+            added.append(item.col.alias(f"__m{i}"))
+    source = df.select("*", *added)
+    rows = _place(source, names, order, hot, "left").withColumn(_BLOCK, F.coalesce(_BLOCK, F.lit(-1)))
+    hot_rows = _place(source, names, order, hot, "inner").withColumn(_AT, _position(order))
     grain = [*names, _BLOCK]
 
     before = max([-i.start for i in outputs.values() if isinstance(i, Frame)] + [0])
     after = max([i.end for i in outputs.values() if isinstance(i, Frame)] + [0])
     if descending:
         before, after = after, before
-    carried = [measures[n] for n, i in outputs.items() if isinstance(i, Frame)]
+    carried = [measures[n] for n, i in outputs.items() if isinstance(i, Frame) and measures[n]]
+    halo = F.lit(False)
+    if before > 0 or after > 0:
+        rows, halo = rows.withColumn(_HALO, F.lit(False)), F.col(_HALO)
     for reach, earlier in ((before, True), (after, False)):
         if reach > 0:
-            rows = rows.unionByName(
-                _halo(hot_rows, names, order, carried, reach, earlier), allowMissingColumns=True
-            )
+            rows = rows.unionByName(_halo(hot_rows, names, order, carried, reach, earlier), allowMissingColumns=True)
 
     window = _spec(grain, order, descending)
     inner = {}
     for name, item in outputs.items():
-        measure = F.col(measures[name])
+        measure = None if measures[name] is None else F.col(measures[name])
         if isinstance(item, Running):
-            measure = F.when(~F.col(_HALO), measure)
+            measure = F.when(~halo, F.lit(1) if measure is None else measure)
             if item.agg == "avg":
                 inner[f"__s_{name}"] = _over(Running("sum", inclusive=item.inclusive), measure, window)
                 inner[f"__c_{name}"] = _over(Running("count", inclusive=item.inclusive), measure, window)
                 continue
         inner[f"__i_{name}"] = _over(item, measure, window)
-    rows = rows.select("*", *[c.alias(n) for n, c in inner.items()]).filter(~F.col(_HALO))
+    rows = rows.select("*", *[c.alias(n) for n, c in inner.items()]).filter(~halo)
 
     carry = _carry(hot_rows, names, outputs, measures, descending)
     if carry is None:
         return rows.select(*columns, *[F.col(f"__i_{n}").alias(n) for n in outputs])
     # One row per hot key and block: at most MAX_HOT_KEYS * FAN * FAN short rows.
     carry = F.broadcast(carry.withColumnsRenamed({n: f"__k_{n}" for n in grain}))
-    condition = F.lit(True)
-    for n in grain:
-        condition = condition & F.col(n).eqNullSafe(F.col(f"__k_{n}"))
-    rows = rows.join(carry, condition & F.col(_HOT), "left")
+    rows = rows.join(carry, _null_safe(grain), "left")
     final = []
     for name, item in outputs.items():
         if isinstance(item, Frame):
@@ -296,13 +315,20 @@ def _blocked(df, names, order, outputs, descending, hot) -> DataFrame:
     return rows.select(*columns, *final)
 
 
+def _null_safe(names) -> Column:
+    condition = F.lit(True)
+    for n in names:
+        condition = condition & F.col(n).eqNullSafe(F.col(f"__k_{n}"))
+    return condition
+
+
 def _carry(hot_rows, names, outputs, measures, descending) -> DataFrame | None:
     """Per hot key and block: each running aggregate over all blocks that come before it."""
     parts, later = {}, {}
     for name, item in outputs.items():
         if isinstance(item, Frame):
             continue
-        value = F.col(measures[name])
+        value = F.lit(1) if measures[name] is None else F.col(measures[name])
         if item.agg == "avg":
             parts[f"__cs_{name}"], later[f"__cs_{name}"] = F.sum(value), F.sum
             parts[f"__cc_{name}"], later[f"__cc_{name}"] = F.count(value), F.sum
@@ -323,7 +349,7 @@ def _carry(hot_rows, names, outputs, measures, descending) -> DataFrame | None:
 
 def _halo(hot_rows, names, order, carried, reach, earlier) -> DataFrame:
     """The `reach` rows just before (or after) each block, filed under that block."""
-    edge = Window.partitionBy(*names, _BLOCK).orderBy(F.col(_AT).desc() if earlier else F.col(_AT).asc())
+    edge = _spec([*names, _BLOCK], order, descending=earlier)
     fields = list(dict.fromkeys([_AT, *order, *carried]))
     fields = [f for f in fields if f not in names]
     edges = (
@@ -339,7 +365,6 @@ def _halo(hot_rows, names, order, carried, reach, earlier) -> DataFrame:
     ranked = F.sort_array("__near", asc=not earlier)
     return (
         rows.select(*names, _BLOCK, F.explode(F.slice(ranked, 1, reach)).alias("__row"))
-        .select(*names, _BLOCK, *[F.col(f"__row.{f}").alias(f) for f in fields])
+        .select(*names, _BLOCK, *[F.col(f"__row.{f}").alias(f) for f in fields if f != _AT])
         .withColumn(_HALO, F.lit(True))
-        .withColumn(_HOT, F.lit(True))
     )

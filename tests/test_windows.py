@@ -60,7 +60,7 @@ def test_blocks_equal_plain(events, keys, descending):
 
 def test_hot_key_is_split(events):
     hot = profile(events, ["k"], ["t", "id"], rows_per_task=64)
-    sizes = {r["k"]: len(r["__cuts"]) for r in hot.table.collect()}
+    sizes = {r["k"]: r["count"] for r in hot.fine.groupBy("k").count().collect()}
     assert sizes[1] >= 10 and sizes[None] >= 10
     assert all(k in (1, None) for k in sizes)
 
@@ -151,7 +151,7 @@ def test_rating_equals_recursion(spark, rows_per_task):
         data += [(e, i, s, o, h) for i, (s, o, h) in enumerate(games)]
     df = spark.createDataFrame(data, "e long, i long, season int, outcome int, home int")
     hot = profile(df, ["e"], ["i"], rows_per_task=rows_per_task)
-    assert (hot.table is not None) == (rows_per_task is not None)
+    assert (hot.fine is not None) == (rows_per_task is not None)
     out = affine_rating(df, ["e"], ["i"], "season", "outcome", "home", hot=hot)
     for r in out.collect():
         pre, post = want[r["e"]][r["i"]]
