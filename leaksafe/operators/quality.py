@@ -16,6 +16,12 @@ def unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
+def key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that repeat or have a missing part, in one aggregation."""
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in keys])
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | missing)
+
+
 def not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
     return df.filter(missing)

@@ -246,11 +246,16 @@ def needs(sql: str) -> list[str]:
     return list(dict.fromkeys(f for _, f, _, _ in string.Formatter().parse(sql) if f))
 
 
-def raw_frames(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All raw tables as lazy frames."""
+# Joined and grouped once, read by most raw tables.
+SHARED = ("held", "lines", "player_weeks")
+
+
+def raw_frames(spark: SparkSession, folder: str, save=None) -> dict[str, DataFrame]:
+    """All raw tables as lazy frames; `save(name, df)` may store the shared ones."""
     frames = {name: table(spark, folder, name) for name in TABLES}
     for name, sql in SQL.items():
-        frames[name] = spark.sql(sql, **{n: frames[n] for n in needs(sql)})
+        df = spark.sql(sql, **{n: frames[n] for n in needs(sql)})
+        frames[name] = save(name, df) if save and name in SHARED else df
     stadiums = frames["raw_stadium_metadata"]
     zones = geo.expand_validity(stadiums, "season_start", "season_end", FIRST_SEASON, LAST_SEASON)
     frames["raw_team_timezone_reference"] = zones.select(

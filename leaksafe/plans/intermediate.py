@@ -28,7 +28,7 @@ EXPLOSIVE_PASS, EXPLOSIVE_RUSH = 20, 10
 INJURY_GROUPS = ("QB", "OL", "WR", "TE", "RB", "DL", "LB", "CB", "S")
 
 
-@INTERMEDIATE.relation("stg_games", "stg_team_week", key=("game_id",))
+@INTERMEDIATE.relation("stg_games", "stg_team_week", key=("game_id",), materialise=True, partition=("season",))
 def int_game_base(games: DataFrame, sides: DataFrame) -> DataFrame:
     regular = sides.filter("season_type = 'regular'")
     spots = schedule.gaps(regular, ["team", "season"], TEAM_WEEK, "game_date")
@@ -208,7 +208,7 @@ PLAYER_RATIOS = {
 }
 
 
-@INTERMEDIATE.relation("stg_player_week", "stg_games", "stg_snap_counts_weekly", key=("season", "week", "player_id"))
+@INTERMEDIATE.relation("stg_player_week", "stg_games", "stg_snap_counts_weekly", key=("season", "week", "player_id"), materialise=True, partition=("season",))
 def int_player_game(players: DataFrame, games: DataFrame, snaps: DataFrame) -> DataFrame:
     held = games.filter(F.col("season_type").isin("regular", "postseason")).select(
         "game_id", "game_date", "season", "week", "home_team", "away_team"
@@ -385,7 +385,7 @@ def int_team_power_rating(games: DataFrame, form: DataFrame) -> DataFrame:
     return with_zone(out, {"elo_rating_postgame": 3})
 
 
-@INTERMEDIATE.relation("stg_weather_game_kickoff", key=("game_id",))
+@INTERMEDIATE.relation("stg_weather_game_kickoff", key=("game_id",), materialise=True, partition=("season",))
 def int_weather_game(weather: DataFrame) -> DataFrame:
     shut = F.col("roof_closed_flag") == 1
     outdoors = F.col("roof_closed_flag") == 0

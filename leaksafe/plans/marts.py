@@ -107,7 +107,7 @@ FORM_WEEK = (
 )
 
 
-@MARTS.relation("int_team_form", "int_injury_team_impact", key=("season", "week", "team"))
+@MARTS.relation("int_team_form", "int_injury_team_impact", key=("season", "week", "team"), materialise=True, partition=("season",))
 def mart_team_week_modeling(form, injuries) -> DataFrame:
     base = form.select("team", "season", "week", "game_id", "game_date", *FORM_WEEK.split())
     return assemble(base, [by_week(injuries, "team", keep(f"total_injury_burden {INJURY_BASE}"))])
@@ -140,6 +140,7 @@ ACTUALS = (
 @MARTS.relation(
     "int_player_form", "stg_team_week", "mart_team_week_modeling", "int_injury_team_impact", "raw_injuries", "int_player_game",
     key=("season", "week", "player_id"),
+    materialise=True, partition=("season",),
 )
 def mart_player_week_projection(form, sides, teams, injuries, reports, games) -> DataFrame:
     player = ["player_id", "season", "week"]
@@ -443,6 +444,7 @@ def _fair(lines: DataFrame, prob: str, name: str) -> DataFrame:
 @MARTS.relation(
     "int_game_base", "mart_team_week_modeling", "int_team_power_rating", "int_team_schedule_spot", "int_team_travel_game",
     "int_injury_team_impact", "int_weather_game", "stg_stadium", "int_market_open_close", key=("game_id",),
+    materialise=True, partition=("season",),
 )
 def mart_game_modeling(games, teams, ratings, spots, travel, injuries, weather, stadiums, lines) -> DataFrame:
     base = games.drop("pfr_game_id", "espn_game_id", "nfl_detail_id")

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leaksafe.plans.catalog import Catalog, materialise
+from leaksafe.plans.catalog import Catalog, Relation, materialise
 from leaksafe.plans.derived import raw_frames
 from leaksafe.plans.dimensions import DIMENSIONS
 from leaksafe.plans.intermediate import INTERMEDIATE
@@ -43,8 +43,11 @@ class Relations:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
-        self.frames: dict[str, DataFrame] = raw_frames(spark, folder)
         self.root = scratch(spark, "relations")
+        self.frames: dict[str, DataFrame] = raw_frames(spark, folder, self._save)
+
+    def _save(self, name: str, df: DataFrame) -> DataFrame:
+        return materialise(self.spark, Relation(name, (), lambda: df), df, self.root)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.frames:

@@ -328,7 +328,7 @@ def stg_external_odds_game(raw: DataFrame) -> DataFrame:
     return raw.sparkSession.createDataFrame([], EXTERNAL_ODDS)
 
 
-@STAGING.relation("raw_market_odds_snapshot", "raw_schedules")
+@STAGING.relation("raw_market_odds_snapshot", "raw_schedules", materialise=True, partition=("season",))
 def stg_market_game_line(raw: DataFrame, schedules: DataFrame) -> DataFrame:
     games = schedules.filter("game_type != 'PRE'").select(
         "game_id", F.col("season").cast("int").alias("season"), "home_team", "away_team", F.col("gameday").cast("date").alias("__day")
@@ -473,7 +473,7 @@ def weather_at_kickoff(
     )
 
 
-@STAGING.relation("stg_games", "raw_stadium_metadata", "stg_weather_game_hourly", key=("game_id",))
+@STAGING.relation("stg_games", "raw_stadium_metadata", "stg_weather_game_hourly", key=("game_id",), materialise=True, partition=("season",))
 def stg_weather_game_kickoff(games: DataFrame, stadiums: DataFrame, hourly: DataFrame) -> DataFrame:
     return weather_at_kickoff(games, stadiums, hourly)
 
