@@ -250,18 +250,22 @@ def needs(sql: str) -> list[str]:
 SHARED = ("held", "lines", "player_weeks")
 
 
-def raw_frames(spark: SparkSession, folder: str, save=None) -> dict[str, DataFrame]:
-    """All raw tables as lazy frames; `save(name, df)` may store the shared ones."""
-    frames = {name: table(spark, folder, name) for name in TABLES}
-    for name, sql in SQL.items():
-        df = spark.sql(sql, **{n: frames[n] for n in needs(sql)})
-        frames[name] = save(name, df) if save and name in SHARED else df
-    stadiums = frames["raw_stadium_metadata"]
-    zones = geo.expand_validity(stadiums, "season_start", "season_end", FIRST_SEASON, LAST_SEASON)
-    frames["raw_team_timezone_reference"] = zones.select(
-        "team", "season", "stadium_id", F.col("timezone").alias("home_timezone"), "latitude", "longitude"
-    )
-    pairs = frames["raw_schedules"].select("season", team("home_team").alias("home_team"), team("away_team").alias("away_team"))
+COMPUTED = ("raw_team_timezone_reference", "raw_team_travel_reference")
+
+
+def is_raw(name: str) -> bool:
+    return name in TABLES or name in SQL or name in COMPUTED
+
+
+def raw_frame(spark: SparkSession, folder: str, name: str, get) -> DataFrame:
+    """One raw table as a lazy frame; `get(name)` yields the tables it needs."""
+    if name in TABLES:
+        return table(spark, folder, name)
+    if name in SQL:
+        return spark.sql(SQL[name], **{n: get(n) for n in needs(SQL[name])})
+    zones = geo.expand_validity(get("raw_stadium_metadata"), "season_start", "season_end", FIRST_SEASON, LAST_SEASON)
+    if name == "raw_team_timezone_reference":
+        return zones.select("team", "season", "stadium_id", F.col("timezone").alias("home_timezone"), "latitude", "longitude")
+    pairs = get("raw_schedules").select("season", team("home_team").alias("home_team"), team("away_team").alias("away_team"))
     travel = geo.pair_distances(pairs, zones.select("team", "season", "latitude", "longitude", "timezone"))
-    frames["raw_team_travel_reference"] = travel.withColumn("ingestion_ts", F.lit("2024-01-01").cast("timestamp"))
-    return frames
+    return travel.withColumn("ingestion_ts", F.lit("2024-01-01").cast("timestamp"))

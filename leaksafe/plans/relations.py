@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from leaksafe.plans.catalog import Catalog, Relation, materialise
-from leaksafe.plans.derived import raw_frames
+from leaksafe.plans.derived import SHARED, is_raw, raw_frame
 from leaksafe.plans.dimensions import DIMENSIONS
 from leaksafe.plans.intermediate import INTERMEDIATE
 from leaksafe.plans.marts import MARTS
@@ -42,17 +42,18 @@ class Relations:
     """
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
+        self.spark, self.folder = spark, folder
         self.root = scratch(spark, "relations")
-        self.frames: dict[str, DataFrame] = raw_frames(spark, folder, self._save)
-
-    def _save(self, name: str, df: DataFrame) -> DataFrame:
-        return materialise(self.spark, Relation(name, (), lambda: df), df, self.root)
+        self.frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.frames:
-            relation = CATALOG.relations[name]
-            df = relation.build(*[self[n] for n in relation.needs])
+            if is_raw(name):
+                df = raw_frame(self.spark, self.folder, name, self.__getitem__)
+                relation = Relation(name, (), lambda: df, materialise=name in SHARED)
+            else:
+                relation = CATALOG.relations[name]
+                df = relation.build(*[self[n] for n in relation.needs])
             if relation.materialise:
                 df = materialise(self.spark, relation, df, self.root)
             self.frames[name] = df
