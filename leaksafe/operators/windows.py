@@ -125,25 +125,31 @@ def profile(
     sizes = {tuple(r[n] for n in names): r["__n"] for r in counts}
     blocks = {key: min(FAN * FAN, -(-size // limit)) for key, size in sizes.items()}
     shares = [
-        (*key, min(1.0, SAMPLES_PER_BLOCK * blocks[key] / size)) for key, size in sizes.items()
+        (*key, min(1.0, SAMPLES_PER_BLOCK * blocks[key] / size), blocks[key]) for key, size in sizes.items()
     ]
-    hot = spark.createDataFrame(shares, T.StructType([*key_fields, T.StructField("__share", T.DoubleType())]))
+    extra = [T.StructField("__share", T.DoubleType()), T.StructField("__blocks", T.IntegerType())]
+    hot = spark.createDataFrame(shares, T.StructType([*key_fields, *extra]))
     at = _position(_names(order))
     placed = df.select(*names, at.alias(_AT))
+    size, wanted = F.size("__sample"), F.col("__blocks")
+    # Evenly spaced sample points; only these reach the driver, one per block.
+    chosen = F.transform(
+        F.sequence(F.lit(1), wanted - 1),
+        lambda i: F.element_at("__sample", F.least(size, F.floor(i * size / wanted).cast("int") + 1)),
+    )
     samples = (
         placed.join(F.broadcast(hot), _same_key(placed, hot, names), "inner")
         .filter(F.rand(7) < F.col("__share"))
-        .groupBy(*[placed[n] for n in names])
+        .groupBy(*[placed[n] for n in names], "__blocks")
         .agg(F.sort_array(F.collect_list(_AT)).alias("__sample"))
+        .select(*[F.col(n) for n in names], chosen.alias("__chosen"))
         .collect()
     )
     coarse, fine = [], []
     for row in samples:
         key = tuple(row[n] for n in names)
-        points, wanted = row["__sample"], blocks[key]
         cuts = []
-        for i in range(1, wanted):
-            cut = points[min(len(points) - 1, i * len(points) // wanted)]
+        for cut in row["__chosen"]:
             if not cuts or cut != cuts[-1]:
                 cuts.append(cut)
         edges = [None, *cuts, None]  # block i lies between edges i and i + 1
@@ -153,13 +159,13 @@ def profile(
             fine += [(*key, start, i, edges[i], edges[i + 1]) for i in range(start, stop)]
     if not fine:
         return HotKeys(tuple(names))
-    at = T.StructField
-    bounds = [at("__lo", placed.schema[_AT].dataType), at("__hi", placed.schema[_AT].dataType)]
-    ranges = [*key_fields, at("__range", T.IntegerType())]
+    field = T.StructField
+    bounds = [field("__lo", placed.schema[_AT].dataType), field("__hi", placed.schema[_AT].dataType)]
+    ranges = [*key_fields, field("__range", T.IntegerType())]
     return HotKeys(
         tuple(names),
         spark.createDataFrame(coarse, T.StructType([*ranges, *bounds])),
-        spark.createDataFrame(fine, T.StructType([*ranges, at(_BLOCK, T.IntegerType()), *bounds])),
+        spark.createDataFrame(fine, T.StructType([*ranges, field(_BLOCK, T.IntegerType()), *bounds])),
     )
 
 
