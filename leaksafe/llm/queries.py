@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaksafe.llm import line_winnow, pii, secret_scan, syncmers
+from leaksafe.llm import language_id, line_winnow, packing, pii, secret_scan, syncmers, toxicity
 from leaksafe.llm.shared import documents
 
 QUERIES = {}
@@ -30,6 +30,21 @@ def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(documents(spark, sf_dir))
 
 
+@query("op4_packing")
+def pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir))
+
+
+@query("op6_language_id")
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(documents(spark, sf_dir))
+
+
+@query("op7_toxicity")
+def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxic_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 @query("op9_line_dedup")
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_winnow.dedup_lines(documents(spark, sf_dir))
