@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaksafe.llm import language_id, line_winnow, packing, pii, secret_scan, syncmers, toxicity
+from leaksafe.llm import html_extract, language_id, line_winnow, packing, pii, secret_scan, syncmers, toxicity
 from leaksafe.llm.shared import documents
 
 QUERIES = {}
@@ -45,6 +45,11 @@ def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxic_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@query("op8_html_extraction")
+def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_texts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 @query("op9_line_dedup")
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_winnow.dedup_lines(documents(spark, sf_dir))
