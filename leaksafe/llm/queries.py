@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaksafe.llm import html_extract, language_id, line_winnow, packing, pii, secret_scan, syncmers, toxicity
+from leaksafe.llm import decontaminate, html_extract, language_id, line_winnow, packing, pii, secret_scan, syncmers, toxicity
 from leaksafe.llm.shared import documents
 
 QUERIES = {}
@@ -35,6 +35,11 @@ def pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+@query("op5_decontamination")
+def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaked(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 @query("op6_language_id")
 def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(documents(spark, sf_dir))
