@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaksafe.llm import decontaminate, html_extract, language_id, line_winnow, packing, pii, secret_scan, syncmers, toxicity
+from leaksafe.llm import decontaminate, html_extract, language_id, line_winnow, ngram_join, packing, pii, secret_scan, syncmers, toxicity
 from leaksafe.llm.shared import documents
 
 QUERIES = {}
@@ -20,6 +20,11 @@ def query(name: str):
     return add
 
 
+@query("op1_ngram_join")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(documents(spark, sf_dir))
+
+
 @query("op2_personal_data")
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(documents(spark, sf_dir))
@@ -57,7 +62,7 @@ def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_line_dedup")
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = line_winnow.dedup_lines(documents(spark, sf_dir))
+    cleaned = line_winnow.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return cleaned.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), "lines_cut")
 
 
