@@ -192,7 +192,7 @@ def _scorer(models, langs: list[str]):
             out[lengths > 0, j] = np.add.reduceat(cost[place], starts) / lengths[lengths > 0]
         return out, lengths
 
-    def chosen(ids: list, texts: list[str | None]) -> pa.RecordBatch:
+    def chosen(texts: list[str | None]) -> list[pa.Array]:
         cost, n = score(texts)
         pred, confidence, rejected, best = [], [], [], []
         for row, size in zip(cost, n, strict=True):
@@ -209,34 +209,55 @@ def _scorer(models, langs: list[str]):
             limit = model.mean * (1 + REJECT_SHARE) + REJECT_ERRORS * model.spread / math.sqrt(draws)
             rejected.append(bool(row[k] > limit))
             best.append(float(row[k]))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(pred, pa.string()), pa.array(confidence, pa.float64()), pa.array(rejected, pa.bool_()), pa.array(best, pa.float64())],
-            ["__id", "lang_pred", "score", "rejected", "cross_entropy"],
-        )
+        return [pa.array(pred, pa.string()), pa.array(confidence, pa.float64()), pa.array(rejected, pa.bool_()), pa.array(best, pa.float64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list = []
-        texts: list[str | None] = []
-        size = 0
+        """Each batch with its text, the last column, replaced by the results; texts are scored in stretches of CHUNK characters."""
         for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids.append(i), texts.append(t.as_py())
-                size += len(texts[-1] or "")
-                if size >= CHUNK or len(ids) >= 20_000:
-                    yield chosen(ids, texts)
-                    ids, texts, size = [], [], 0
-        if ids:
-            yield chosen(ids, texts)
+            texts = batch.column(batch.num_columns - 1)
+            a, size = 0, 0
+            for b in range(1, batch.num_rows + 1):
+                size += len(texts[b - 1].as_py() or "")
+                if size >= CHUNK or b == batch.num_rows:
+                    part = batch.slice(a, b - a)
+                    columns = [*part.columns[:-1], *chosen(part.column(batch.num_columns - 1).to_pylist())]
+                    yield pa.RecordBatch.from_arrays(columns, [f"c{k}" for k in range(len(columns))])
+                    a, size = b, 0
 
     return run
 
 
+RESULT = ("lang_pred", "score", "rejected", "cross_entropy")
+_TYPES = ("string", "double", "boolean", "double")
+
+
+def annotate(docs: DataFrame, models: dict[str, LanguageModel], text_col: str = "text") -> DataFrame:
+    """(`__c0` .. for the columns of `docs` in order, then RESULT): whole rows with their results, without a join."""
+    held = docs.sparkSession.sparkContext.broadcast(models)
+    named = docs.select(*[F.col(c).alias(f"__c{k}") for k, c in enumerate(docs.columns)], F.col(text_col).alias("__text"))
+    shape = ", ".join([*(f"__c{k} {f.dataType.simpleString()}" for k, f in enumerate(docs.schema.fields)), *(f"{r} {t}" for r, t in zip(RESULT, _TYPES, strict=True))])
+    return named.mapInArrow(_named(_scorer(held, sorted(models)), len(docs.columns)), shape)
+
+
+def _named(run, width: int):
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, [*(f"__c{k}" for k in range(width)), *RESULT])
+
+    return renamed
+
+
+def known_language(docs: DataFrame, models: dict[str, LanguageModel], text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """`docs` without the rows whose language is rejected, the predicted language in `lang_col`."""
+    out = annotate(docs, models, text_col).where("not rejected")
+    return out.select(*[(F.col("lang_pred") if c == lang_col else F.col(f"__c{k}")).alias(c) for k, c in enumerate(docs.columns)])
+
+
 def identify(docs: DataFrame, models: dict[str, LanguageModel], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, lang_pred, score, rejected, cross_entropy (nats per symbol). The models hold at most `MODEL_ROWS` grams."""
-    held = docs.sparkSession.sparkContext.broadcast(models)
-    rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text"))
-    out = rows.mapInArrow(_scorer(held, sorted(models)), "__id long, lang_pred string, score double, rejected boolean, cross_entropy double")
-    return out.withColumnRenamed("__id", id_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__body"))
+    out = annotate(rows, models, "__body")
+    return out.select(F.col("__c0").alias(id_col), *RESULT)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
