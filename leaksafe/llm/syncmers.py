@@ -70,30 +70,6 @@ def matched_offsets(a: Column, b: Column) -> Column:
     )
 
 
-def with_next(rows: DataFrame, id_col: str, carried: list[str]) -> DataFrame:
-    """Add `next_<c>` of the next row in ascending id (after the last: the first), nulls where the id is null.
-
-    Blocks of ids are ordered each on its own; a block's last row takes the first row of the next block that exists,
-    found level by level over the block heads, so no task ever orders all rows.
-    """
-    # Rows without id are no neighbours: they are dealt to blocks of their own by their content.
-    ids = F.col(id_col).cast("long")
-    block = F.floor(ids / IDS_PER_BLOCK)
-    lone = F.xxhash64(*carried) % 4096
-    placed = rows.withColumn("__block", block).withColumn("__lone", F.when(ids.isNull(), lone))
-    order = Window.partitionBy("__block", "__lone").orderBy(ids, F.xxhash64(carried[0]), F.col(carried[0]))
-    placed = placed.withColumn("__next", F.lead(F.struct(*carried)).over(order)).withColumn("__head", F.row_number().over(order))
-    placed = written(placed)
-    heads = placed.where((F.col("__head") == 1) & F.col("__block").isNotNull())
-    follower = next_keys(heads.select("__block"), "__block")
-    firsts = follower.join(
-        heads.select(F.col("__block").alias("__following"), F.struct(*carried).alias("__first")), "__following"
-    ).select("__block", "__first")
-    out = placed.join(firsts, "__block", "left")
-    found = F.when(ids.isNotNull(), F.coalesce("__next", "__first"))
-    return out.select(*rows.columns, *[found[c].alias(f"next_{c}") for c in carried])
-
-
 def next_keys(keys: DataFrame, key: str, fan: int = 4096) -> DataFrame:
     """(key, __following): each distinct integer key with the next larger one, the last with the first.
 
@@ -117,24 +93,52 @@ def next_keys(keys: DataFrame, key: str, fan: int = 4096) -> DataFrame:
     return follow.select(F.col("__k").alias(key), F.col("__f").alias("__following"))
 
 
-def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Fingerprints of every text and of the text whose last quarter is overwritten with the next document's head."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    rows = rows.withColumn("anchors", anchors(F.col("text")))
-    rows = with_next(rows, "doc_id", ["text", "anchors"])
+def _compared(rows: DataFrame) -> DataFrame:
+    """(text, anchors, next_text, next_anchors) to the texts' fingerprints and likenesses; other columns stay."""
     n = F.length("text")
     cut = F.floor(n / 4).cast("int")
     head = F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), cut)
-    rows = rows.select(
-        "doc_id", "anchors", "next_anchors", n.cast("long").alias("n_chars"),
-        F.concat(F.substring("text", F.lit(1), n - cut), head).alias("edited"),
-    )
-    none = F.array().cast("array<bigint>")
+    rest = [c for c in rows.columns if c not in ("text", "anchors", "next_text", "next_anchors")]
+    rows = rows.select(*rest, "anchors", "next_anchors", n.cast("long").alias("n_chars"), F.concat(F.substring("text", F.lit(1), n - cut), head).alias("edited"))
     rows = rows.withColumn("edited_anchors", anchors(F.col("edited")))
     return rows.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        *rest, "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
         fingerprint(F.col("anchors")).alias("fingerprint"),
         fingerprint(F.col("edited_anchors")).alias("edited_fingerprint"),
         likeness(F.col("anchors"), F.col("edited_anchors")).alias("near_edited"),
-        likeness(F.col("anchors"), F.coalesce("next_anchors", none)).alias("near_next"),
+        likeness(F.col("anchors"), F.coalesce("next_anchors", F.array().cast("array<bigint>"))).alias("near_next"),
+    )
+
+
+def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Fingerprints of every text and of the text whose last quarter is overwritten with the next document's head.
+
+    The next document is the one with the next larger id, the first for the last. Blocks of ids are ordered each on its
+    own; a block's last row takes the first row of the next block that exists, found level by level over the blocks, so
+    no task ever orders all rows. Texts are shuffled once.
+    """
+    ids = F.col("doc_id").cast("long")
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    # Rows without id are no neighbours: they are dealt to blocks of their own by their content.
+    rows = rows.select("*", F.floor(ids / IDS_PER_BLOCK).alias("__block"), F.when(ids.isNull(), F.xxhash64("text") % 4096).alias("__lone"))
+    rows = rows.repartition("__block", "__lone").withColumn("anchors", anchors(F.col("text")))
+    order = Window.partitionBy("__block", "__lone").orderBy(ids, F.xxhash64("text"), "text")
+    following = F.when(ids.isNotNull(), F.lead(F.struct("text", "anchors")).over(order))
+    placed = rows.withColumn("__next", following).withColumn("__head", F.row_number().over(order) == 1)
+    last = F.col("__next").isNull() & F.col("__block").isNotNull()
+    edge = F.when(last | (F.col("__head") & F.col("__block").isNotNull()), F.struct("text", "anchors"))
+    placed = placed.select(
+        "doc_id", "__block", "__head", last.alias("__last"), edge.alias("__edge"), "text", "anchors",
+        F.col("__next.text").alias("next_text"), F.col("__next.anchors").alias("next_anchors"),
+    )
+    done = written(_compared(placed))
+    heads = done.where(F.col("__head") & F.col("__block").isNotNull()).select(F.col("__block").alias("__following"), F.col("__edge").alias("__first"))
+    follower = next_keys(heads.select(F.col("__following").alias("__block")), "__block")
+    ends = done.where("__last").select("doc_id", "__block", "__edge").join(follower, "__block").join(heads, "__following")
+    ends = _compared(
+        ends.select(
+            "doc_id", F.col("__edge.text").alias("text"), F.col("__edge.anchors").alias("anchors"),
+            F.col("__first.text").alias("next_text"), F.col("__first.anchors").alias("next_anchors"),
+        )
     )
+    return done.where(~F.col("__last")).select(*ends.columns).unionByName(ends)
