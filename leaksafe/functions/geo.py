@@ -72,20 +72,3 @@ def pair_distances(pairs: DataFrame, places: DataFrame, period: Sequence[str] =
     out = wanted.join(_roles(places, period, "home"), [*period, "home_team"], "left")
     out = out.join(_roles(places, period, "away"), [*period, "away_team"], "left")
     return travel_columns(out, **rules)
-
-
-def pair_matrix(
-    places: DataFrame, period: str = "season", *, self_pairs: bool = False, max_places: int = 2000, **rules
-) -> DataFrame:
-    """Travel between all places of a period, away → home: the output itself is every pair.
-
-    Meant for a small reference table, so its size per period is checked first; for large ones
-    use `pair_distances`, which only looks at pairs that occur.
-    """
-    widest = places.groupBy(period).count().agg(F.max("count")).first()[0] or 0
-    if widest > max_places:
-        raise ValueError(f"{widest} places in one period; use pair_distances")
-    both = _roles(places, [period], "home").join(F.broadcast(_roles(places, [period], "away")), period)
-    if not self_pairs:
-        both = both.filter(F.col("home_team") != F.col("away_team"))
-    return travel_columns(both, **rules)

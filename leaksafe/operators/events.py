@@ -71,10 +71,13 @@ def two_sided_rollup(
 ) -> DataFrame:
     """Roll the same events up by the two sides that took part in them.
 
-    Every side that appears in either role gets a row; a role it never had is NULL. Each role
-    is aggregated first and the two small results are joined, so events are never doubled.
+    Every side that appears in either role gets a row; a role it never had is NULL. Each role is
+    aggregated from one read of the events, and the two results, which share no measure, are put
+    side by side by a last aggregation over the sides.
     """
     mine = rollup(df.filter(F.col(own).isNotNull()).withColumn(entity, F.col(own)), [*keys, entity], spec_own)
     theirs = rollup(df.filter(F.col(other).isNotNull()).withColumn(entity, F.col(other)), [*keys, entity], spec_other)
-    sides = mine.select(*keys, entity).unionByName(theirs.select(*keys, entity)).distinct()
-    return sides.join(mine, [*keys, entity], "left").join(theirs, [*keys, entity], "left")
+    both = mine.unionByName(theirs, allowMissingColumns=True)
+    measures = [*spec_own, *spec_other]
+    # At most one row of a side holds a measure.
+    return both.groupBy(*keys, entity).agg(*[F.first(c, ignorenulls=True).alias(c) for c in measures])

@@ -7,13 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 500_000
-
-
-def _small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether a frame has at most `limit` rows; reads no further than that."""
-    return df.select(F.lit(1)).limit(limit + 1).count() <= limit
-
 
 def role_join(
     df: DataFrame,
@@ -70,9 +63,8 @@ def validity_join(
 ) -> DataFrame:
     """Join a dimension row whose inclusive [start, end] range holds `at`.
 
-    The key is an equi-join key, the range a residual. The dimension is broadcast only if a
-    count shows it is small; otherwise Spark joins by key with its own skew handling. A NULL
-    `end` means open.
+    The key is an equi-join key, the range a residual. Whether the dimension is broadcast is left
+    to the size Spark measures at run time; nothing is counted beforehand. A NULL `end` means open.
     """
     keys = [key] if isinstance(key, str) else list(key)
     at = F.col(at) if isinstance(at, str) else at
@@ -81,8 +73,6 @@ def validity_join(
     condition = (F.col(start) <= at) & (at <= F.coalesce(F.col(end), at))
     for k in keys:
         condition = condition & (df[k] == right[f"__k_{k}"])
-    if _small(dim):
-        right = F.broadcast(right)
     return df.join(right, condition, how).drop(*[f"__k_{k}" for k in keys])
 
 

@@ -3,10 +3,15 @@
 An entity's update depends on its own history only, so with d = rating − init each row is
 d ← d·(1 − revert if a new period started) + k·(outcome − expected). With P the running
 product of the reversion factors, d after row n is P_n · Σ δ_i / P_i: two running sums.
+
+P shrinks without end, so the sums start anew after every BLOCK of reversions, chosen so that P
+falls by a factor of 1e-100 in it: a block takes over the value at the end of the one before,
+and what lies further back is less than the last digit of a double.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -58,19 +63,33 @@ def affine_rating(
             "__delta": F.coalesce(k * (F.col(outcome) - expected), F.lit(0.0)),
         }
     )
-    out = ordered(out, keys, order, {"__rn": Running("sum", "__r", inclusive=True)}, hot=hot)
+    out = ordered(out, keys, order, {"__all": Running("sum", "__r", inclusive=True)}, hot=hot)
+    # With no reversion at all there is one block; with full reversion each is a block of its own.
+    block = 1 if keep <= 0 else math.ceil(100 / -math.log10(keep)) if keep < 1 else 2**62
+    out = out.withColumns({"__b": F.floor(F.col("__all") / block), "__rn": F.col("__all") % block})
     scaled = F.col("__delta") / F.pow(F.lit(keep), F.col("__rn"))
+    inside = [*keys, "__b"]
     out = ordered(
-        out, keys, order,
+        out, inside, order,
         {"__sum": Running("sum", scaled, inclusive=True), "__before": Running("sum", scaled)},
-        hot=hot,
+        hot=HotKeys(tuple(inside)) if hot.fine is None else None,
     )
-    d_post = F.pow(F.lit(keep), F.col("__rn")) * F.col("__sum")
-    d_prev = F.pow(F.lit(keep), F.col("__rn") - F.col("__r")) * F.coalesce(F.col("__before"), F.lit(0.0))
+    # The first row of a block sees the total of the block before in the row above; the block's other rows take it from there.
+    out = ordered(out, keys, order, {"__above": Frame("first", "__sum", -1, -1), "__was": Frame("first", "__b", -1, -1)}, hot=hot)
+    end = F.when(F.col("__b") > F.col("__was"), F.pow(F.lit(keep), F.lit(block - 1)) * F.col("__above"))
+    out = ordered(out.withColumn("__end", end), keys, order, {"__carry": Running("last", "__end", inclusive=True)}, hot=hot)
+    carry = F.coalesce("__carry", F.lit(0.0))
+    power = lambda n: F.pow(F.lit(keep), n)
+    d_post = power(F.col("__rn")) * F.col("__sum") + power(F.col("__rn") + 1) * carry
+    # Before the row: one reversion less if the row brings one.
+    steps = F.col("__rn") - F.col("__r")
+    d_prev = F.when(F.col("__before").isNull(), F.lit(0.0)).otherwise(power(steps) * F.col("__before")) + power(steps + 1) * carry
     out = out.withColumns(
         {
             pre: init + F.when(F.col("__new"), keep * d_prev).otherwise(d_prev),
             post: init + d_post,
         }
     )
-    return out.drop("__prev", "__new", "__r", "__delta", "__rn", "__sum", "__before").withMetadata(post, {"zone": 3})
+    return out.drop(
+        "__prev", "__new", "__r", "__delta", "__all", "__b", "__rn", "__sum", "__before", "__above", "__was", "__end", "__carry"
+    ).withMetadata(post, {"zone": 3})

@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from leaksafe.sources.tables import write_table
 
 
+#: Tasks that a partition's rows are spread over when a relation is written, so files per partition at most.
+FILES_PER_PARTITION = 16
+
+
 @dataclass(frozen=True)
 class Relation:
     """`build` takes the frames of `needs` in order. Shared, costly relations set `materialise`."""
@@ -64,17 +68,16 @@ def build(catalog: Catalog, sources: Mapping[str, DataFrame], targets: Sequence[
 def materialise(
     spark: SparkSession, relation: Relation, df: DataFrame, root: str, *, period: tuple[str, int] | None = None
 ) -> DataFrame:
-    """Write a relation and read it back, which cuts its lineage. An empty result leaves the table as it is.
+    """Write a relation and read it back, which cuts its lineage. An empty relation reads back as no rows.
 
-    With `period` only that partition of a partitioned relation is rebuilt; a relation without
-    that column is rebuilt whole.
+    With `period` only that partition of a partitioned relation is rebuilt, and stays as it is if
+    there is nothing for it; without, the whole table is replaced, partitions that are gone included.
     """
     path = f"{root}/{relation.name}"
-    if period and period[0] in df.columns and period[0] in relation.partition:
+    one = bool(period and period[0] in df.columns and period[0] in relation.partition)
+    if one:
         df = df.filter(F.col(period[0]) == period[1])
-    # Overwriting partitions replaces only those present, so nothing needs to be checked first.
-    if relation.partition or df.limit(1).count():
-        write_table(df, path, partition=relation.partition)
+    write_table(df, path, partition=relation.partition, files_per_partition=FILES_PER_PARTITION, replace="dynamic" if one else "static")
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 

@@ -429,7 +429,7 @@ def fair_probability(spark, sf):
     "upsert_latest",
     """
     WITH old AS (SELECT o_custkey, o_orderpriority, o_orderkey, o_orderdate, o_totalprice, 0 AS n FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
-    new AS (SELECT o_custkey, o_orderpriority, o_orderkey, o_orderdate, o_totalprice, 1 AS n FROM orders WHERE o_orderdate >= TIMESTAMP '1998-06-01' AND o_orderdate < TIMESTAMP '2000-06-01')
+    new AS (SELECT o_custkey, o_orderpriority, o_orderkey, o_orderdate, o_totalprice, 1 AS n FROM orders WHERE o_orderdate >= TIMESTAMP '1998-06-01')
     SELECT o_custkey, o_orderpriority, o_orderkey, o_orderdate, o_totalprice FROM (
       SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY n DESC, o_orderdate DESC, o_orderkey DESC) AS rn
       FROM (SELECT * FROM old UNION ALL SELECT * FROM new)) WHERE rn = 1
@@ -440,7 +440,7 @@ def upsert_latest(spark, sf):
     orders = table(spark, sf, "orders").select(*cols)
     at = F.col("o_orderdate")
     old = orders.filter(at < F.lit("1999-01-01").cast("timestamp_ntz"))
-    new = orders.filter((at >= F.lit("1998-06-01").cast("timestamp_ntz")) & (at < F.lit("2000-06-01").cast("timestamp_ntz")))
+    new = orders.filter(at >= F.lit("1998-06-01").cast("timestamp_ntz"))
     return facts.upsert(old, new, ["o_custkey", "o_orderpriority"], ["o_orderdate", "o_orderkey"])
 
 

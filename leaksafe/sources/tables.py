@@ -84,9 +84,10 @@ def with_lineage(
 
 
 def write_table(
-    df: DataFrame, path: str, *, partition: Sequence[str] = (), mode: str = "overwrite", files_per_partition: int | None = None
+    df: DataFrame, path: str, *, partition: Sequence[str] = (), mode: str = "overwrite", files_per_partition: int | None = None,
+    replace: str = "dynamic",
 ) -> str:
-    """Write Parquet (snappy). With partitions, only those present in `df` are replaced.
+    """Write Parquet (snappy). With partitions, only those present in `df` are replaced, or all with `replace="static"`.
 
     Rows are not pulled together by partition value, so one large partition never lands in one
     task. `files_per_partition` limits small files: rows of a partition spread over that many tasks.
@@ -97,7 +98,7 @@ def write_table(
         writer_df = df.repartition(*[F.col(c) for c in partition], spread)
     writer = writer_df.write.mode(mode).option("compression", "snappy")
     if partition:
-        writer = writer.partitionBy(*partition).option("partitionOverwriteMode", "dynamic")
+        writer = writer.partitionBy(*partition).option("partitionOverwriteMode", replace)
     writer.parquet(path)
     return path
 

@@ -21,15 +21,17 @@ def test_either_key_matches_once(frame, rows):
     assert rows(left.select("g", "team"), "g", "team")[-1] == (3, None)
 
 
-@pytest.mark.parametrize("limit", [joins.BROADCAST_ROWS, 0])
-def test_validity_is_inclusive(frame, rows, monkeypatch, limit):
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_validity_is_inclusive(spark, frame, rows, broadcast):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     facts_ = frame("k string, y int", ("a", 1999), ("a", 2000), ("a", 2002), ("a", 2003), ("b", 2000))
     dim = frame("k string, s int, e int, v string", ("a", 2000, 2002, "old"), ("a", 2003, None, "new"))
     out = joins.validity_join(facts_, dim, "k", "y", "s", "e")
     assert rows(out.select("k", "y", "v"), "k", "y") == [
         ("a", 1999, None), ("a", 2000, "old"), ("a", 2002, "old"), ("a", 2003, "new"), ("b", 2000, None)
     ]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_prior_period_and_fill(frame, rows):

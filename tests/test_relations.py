@@ -13,10 +13,22 @@ from leaksafe.functions import geo
 from leaksafe.operators import ml, quality
 from leaksafe.plans import data_tests, dimensions
 from leaksafe.plans.queries_relations import _Frames
+from leaksafe.plans.registry import QUERIES
 from leaksafe.plans.relations import CATALOG, relations
 from leaksafe.plans.staging import weather_at_kickoff
 
 
+def test_pair_distances(frame):
+    places = frame("season int, team string, latitude double, longitude double, timezone string", (2023, "NY", 40.7, -74.0, "America/New_York"), (2023, "LA", 34.0, -118.2, "America/Los_Angeles"), (2024, "NY", 40.7, -74.0, "America/New_York"))
+    games = frame("season int, home_team string, away_team string", (2023, "NY", "LA"), (2023, "NY", "LA"), (2024, "NY", "LA"))
+    out = {(r["season"], r["home_team"], r["away_team"]): r for r in geo.pair_distances(games, places).collect()}
+    assert set(out) == {(2023, "NY", "LA"), (2024, "NY", "LA")}
+    trip = out[2023, "NY", "LA"]  # away LA travels east
+    assert 3900 < trip["travel_km"] < 4000 and trip["timezone_shift_hours"] == 3.0
+    assert (trip["west_to_east_flag"], trip["east_to_west_flag"], trip["international_travel_flag"]) == (1, 0, 0)
+    assert out[2024, "NY", "LA"]["travel_km"] is None
+
+
 @pytest.fixture(scope="module")
 def built(spark):
     return relations(spark, SF)
@@ -83,17 +95,6 @@ def test_venue_zone_moves_the_kickoff(spark, frame):
     assert weather_at_kickoff(games, stadiums, hourly, zone_mode="venue").first()["temp_f"] == 18.0
 
 
-def test_pair_matrix(frame):
-    places = frame("season int, team string, latitude double, longitude double, timezone string", (2023, "NY", 40.7, -74.0, "America/New_York"), (2023, "LA", 34.0, -118.2, "America/Los_Angeles"), (2024, "NY", 40.7, -74.0, "America/New_York"))
-    out = {(r["home_team"], r["away_team"]): r for r in geo.pair_matrix(places).collect()}
-    assert set(out) == {("NY", "LA"), ("LA", "NY")}
-    trip = out[("NY", "LA")]  # away LA travels east
-    assert 3900 < trip["travel_km"] < 4000 and trip["timezone_shift_hours"] == 3.0
-    assert (trip["west_to_east_flag"], trip["east_to_west_flag"], trip["international_travel_flag"]) == (1, 0, 0)
-    with pytest.raises(ValueError, match="pair_distances"):
-        geo.pair_matrix(places, max_places=1)
-
-
 def test_model_run(spark, built, tmp_path):
     mart = built["mart_backtest_game_base"].withColumns(
         {"opening_spread": F.col("spread_line_nflverse"), "opening_total": F.col("total_line_nflverse"), "opening_home_win_prob": F.lit(0.5)}
@@ -116,7 +117,8 @@ def test_model_run(spark, built, tmp_path):
 def test_driver_contract(spark):
     queries, oracle = contract.queries(), contract.oracle_sql()
     assert set(oracle) <= set(queries)
-    assert set(queries) - set(oracle) <= {"gbt_scores", "relation_tests_all", "table_key_tests"}
+    assert set(QUERIES) <= set(queries)
+    assert set(QUERIES) - set(oracle) <= {"gbt_scores", "relation_tests_all", "table_key_tests"}
     assert contract.entry(spark).count() > 0
 
 

@@ -160,6 +160,18 @@ def test_rating_equals_recursion(spark, rows_per_task):
     assert out.schema["rating_post"].metadata["zone"] == 3
 
 
+@pytest.mark.parametrize("revert", [0.0, 0.33, 0.9, 1.0])
+def test_rating_over_a_long_history(spark, revert):
+    """One period per row, far beyond where the product of the reversions leaves the range of a double."""
+    rng = np.random.default_rng(8)
+    n = 5000
+    data = [("a", i, i, None if rng.random() < 0.05 else int(rng.random() < 0.5), int(rng.random() < 0.5)) for i in range(n)]
+    df = spark.createDataFrame(data, "e string, i long, s long, o int, h int")
+    got = affine_rating(df, ["e"], ["i"], "s", "o", "h", revert=revert).orderBy("i").select("rating_pre", "rating_post").collect()
+    want = _recursion([(s, o, h) for _, _, s, o, h in data], revert=revert)
+    assert max(abs(g[k] - w[k]) for g, w in zip(got, want) for k in (0, 1)) < 1e-6
+
+
 def test_rating_fixtures(frame, rows):
     df = frame("e string, i int, s int, o int, h int", ("a", 1, 1, 1, 0))
     out = affine_rating(df, ["e"], ["i"], "s", "o", "h").select("rating_pre", F.round("rating_post", 2))
