@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,11 +28,12 @@ from leaksafe.llm.shared import written
 
 BUCKETS = 1 << 17
 DIM = 16
-BAG = 8
-SAMPLE_ROWS = 4000
-ROUNDS = 300
+BAG = 3
+SAMPLE_ROWS = 2000
+ROUNDS = 120
 RATE = 0.05
-DECAY = 0.0005
+DECAY = 0.02
+MIN_TEXTS = 5
 #: Words of a training text that are read; longer ones are left out of the sample whole.
 SAMPLE_WORDS = 4000
 CACHE_WORDS = 400_000
@@ -52,7 +53,8 @@ def words(text: str | None) -> list[str]:
 
 def bag_bounds(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Half-overlapping stretches of BAG words that cover all n words."""
-    starts = np.arange(0, max(n - BAG // 2, 1), BAG // 2)
+    step = max(1, BAG // 2)
+    starts = np.arange(0, max(n - BAG + step, 1), step)
     return starts, np.minimum(starts + BAG, n)
 
 
@@ -83,28 +85,44 @@ def _soft_max(bags: np.ndarray, sharpness: float) -> float:
     return float(np.log(np.exp(sharpness * bags).mean() + 1e-300) / sharpness) if sharpness < 50 else float(bags.max())
 
 
-def fit(texts: list[list[str]], labels: np.ndarray, rounds: int = ROUNDS, seed: int = 7) -> Classifier:
+def fit(texts: Iterable[list[str]], labels: np.ndarray, rounds: int = ROUNDS, seed: int = 7) -> Classifier:
     """Full-batch descent with momentum over embeddings and softmax together; the pooling sharpens from the mean towards the maximum."""
     vocabulary: dict[str, int] = {}
-    sequence = np.array([vocabulary.setdefault(w, len(vocabulary)) for t in texts for w in t], dtype=np.int64)
+    parts = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in t], dtype=np.int32) for t in texts]
+    lengths = np.array([len(t) for t in parts])
+    sequence = np.concatenate(parts)
     subs = [subwords(w) for w in vocabulary]
-    sizes = np.array([len(s) for s in subs], dtype=np.int64)
-    flat = np.concatenate([np.array(s) for s in subs])
-    owner = np.repeat(np.arange(len(subs)), sizes)
+    sizes = np.array([len(s) for s in subs], dtype=np.int32)
+    flat = np.concatenate([np.array(s, dtype=np.int32) for s in subs])
+    owner = np.repeat(np.arange(len(subs), dtype=np.int32), sizes)
     edges = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    lengths = np.array([len(t) for t in texts])
+    del subs
+    n_words = len(sizes)
     bounds = [bag_bounds(n) for n in lengths]
     offset = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    a = np.concatenate([o + x[0] for o, x in zip(offset, bounds, strict=True)])
-    b = np.concatenate([o + x[1] for o, x in zip(offset, bounds, strict=True)])
+    a = np.concatenate([o + x[0] for o, x in zip(offset, bounds, strict=True)]).astype(np.int32)
+    b = np.concatenate([o + x[1] for o, x in zip(offset, bounds, strict=True)]).astype(np.int32)
     per_doc = np.array([len(x[0]) for x in bounds])
+    del bounds
     first = np.concatenate([[0], np.cumsum(per_doc)[:-1]])
-    doc_of = np.repeat(np.arange(len(texts)), per_doc)
+    doc_of = np.repeat(np.arange(len(lengths), dtype=np.int32), per_doc)
     width = np.maximum(b - a, 1)
     y = labels.astype(float)
     share = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
+    del parts
     rng = np.random.default_rng(seed)
     e = rng.normal(0, 0.1, (BUCKETS, DIM))
+    # A subword of very few texts says who wrote, not what: it keeps no vector, as do those never seen.
+    pairs = np.unique(np.repeat(np.arange(len(lengths)), lengths) * n_words + sequence)
+    spread = np.zeros(BUCKETS)
+    for own in np.array_split(pairs, max(1, len(pairs) // 50_000)):
+        # (text, bucket) pairs, counted once each; a text's pairs may fall in two parts, which counts a bucket twice at most.
+        doc, word = own // n_words, own % n_words
+        many = sizes[word]
+        inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        bucket = flat[np.repeat(edges[word], many) + inside]
+        spread += np.bincount(np.unique(np.repeat(doc, many) * BUCKETS + bucket) % BUCKETS, minlength=BUCKETS)
+    e[spread < MIN_TEXTS] = 0
     u = rng.normal(0, 0.5, (DIM, 2))
     c = np.zeros(2)
     steps = [[np.zeros_like(p), 1e-12] for p in (e, u, c)]
@@ -124,8 +142,9 @@ def fit(texts: list[list[str]], labels: np.ndarray, rounds: int = ROUNDS, seed:
         back = share * (p - y)
         on_bag = back[doc_of] * grown / sums[doc_of] / width
         change = np.bincount(a, on_bag, len(sequence) + 1) - np.bincount(b, on_bag, len(sequence) + 1)
-        on_word = np.bincount(sequence, np.cumsum(change)[:-1], len(subs))
+        on_word = np.bincount(sequence, np.cumsum(change)[:-1], n_words)
         on_bucket = np.bincount(flat, (on_word / sizes)[owner], BUCKETS)
+        on_bucket[spread < MIN_TEXTS] = 0
         turn = e.T @ on_bucket
         grads = (np.outer(on_bucket, direction), np.stack([-turn, turn], 1), np.array([-back.sum(), back.sum()]))
         # One rate for all buckets: those with much evidence move, those seen in a few texts hardly do.
@@ -151,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     y = np.array([label for _, label, _ in found])
     if len(set(y.tolist())) < 2:
         return None
-    return fit([words(t) for _, _, t in found], y)
+    return fit((words(t) for _, _, t in found), y)
 
 
 def _scorer(held):
