@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from leaksafe.llm import line_winnow, pii, queries, secret_scan, syncmers
@@ -150,34 +152,65 @@ def test_next_keys(spark):
     assert got == dict(zip(keys, keys[1:] + keys[:1], strict=True))
 
 
-def plain_dedup(rows, k, w, min_words, hashed):
-    """The rule itself, with every place compared in plain Python. rows: (row, id, text) in row order."""
-    split = {row: line_winnow_lines(t or "") for row, _, t in rows}
+def bare(line):
+    return re.sub(r"([.,;:!?]\x20|\n)$", "", line).strip(" \n\r\t")
+
+
+def signed(x):
+    return x - 2**64 if x >= 2**63 else x
+
+
+def chained(values):
+    """Spark's xxhash64 of several longs: each is the next one's seed."""
+    seed = 42
+    for v in values:
+        seed = xxhash.xxh64_intdigest(struct.pack("<q", v), seed=seed)
+    return signed(seed)
+
+
+def plain_words_of(text):
+    inner = text.strip(" \n\r\t")
+    return inner.count(" ") + inner.count("\n") + 1
+
+
+def plain_dedup(rows, k, w, min_words):
+    """The rule itself, place by place. rows: distinct (id, text)."""
+    split = {r: line_winnow_lines(r[1] or "") for r in rows}
+    hashed = {r: [signed(xxhash.xxh64_intdigest(bare(x).encode(), seed=42)) for x in split[r]] for r in rows}
+    low = (1 << line_winnow.PLACE_BITS) - 1
     marks = {}
-    for row, i, _ in rows:
-        h = [hashed[x.strip()] for x in split[row]]
-        grams = [hash(tuple(h[j : j + k])) for j in range(len(h) - k + 1)]
-        picked = set()
-        for j in range(max(len(grams) - w + 1, 1) if grams else 0):
-            part = range(j, min(j + w, len(grams)))
-            picked.add(min(part, key=lambda p: (grams[p], -p)))
+    for r in rows:
+        h = hashed[r]
+        grams = [chained(h[j : j + k]) for j in range(len(h) - k + 1)]
+        coded = [((g >> line_winnow.PLACE_BITS) << line_winnow.PLACE_BITS) | (low - p) for p, g in enumerate(grams)]
+        picked = {min(range(j, min(j + w, len(grams))), key=lambda p: coded[p]) for j in range(max(len(grams) - w + 1, min(1, len(grams))))}
         for p in picked:
-            marks.setdefault(grams[p], []).append(((i is not None, i or 0), row, p))
+            key = signed(xxhash.xxh64_intdigest((r[1] or "").encode(), seed=42))
+            marks.setdefault(grams[p], []).append((r[0], key, p, r))
     gone = {}
     for places in marks.values():
-        places.sort()
-        _, f, q = places[0]
-        for _, row, p in places[1:]:
-            a, b, shift = split[row], split[f], p - q
+        places.sort(key=lambda x: x[:3])
+        *_, q, f = places[0]
+        for _, _, p, r in places[1:]:
+            a, b, shift = hashed[r], hashed[f], p - q
             run = []
             for x in [*range(max(shift, 0), min(len(a), len(b) + shift)), None]:
-                if x is not None and a[x].strip() == b[x - shift].strip():
+                if x is not None and a[x] == b[x - shift]:
                     run.append(x)
                     continue
-                if len(run) >= k and sum(max(1, len(a[y].split())) for y in run) >= min_words:
-                    gone.setdefault(row, set()).update(run)
+                if len(run) >= k:
+                    gone.setdefault(r, set()).update(run)
                 run = []
-    return {row: "".join(x for j, x in enumerate(split[row]) if j not in gone.get(row, ())) for row, _, _ in rows}
+    for r, places in gone.items():
+        for x in sorted(places):
+            if x - 1 in places:
+                continue
+            run = [x]
+            while run[-1] + 1 in places:
+                run.append(run[-1] + 1)
+            if plain_words_of("".join(split[r][y] for y in run)) < min_words:
+                gone[r] = gone[r] - set(run)
+    return {r: "".join(x for j, x in enumerate(split[r]) if j not in gone.get(r, ())) for r in rows}
 
 
 def line_winnow_lines(t: str) -> list[str]:
@@ -190,7 +223,7 @@ def line_winnow_lines(t: str) -> list[str]:
 
 def test_winnowing_guarantee(spark):
     """Any run of k + w - 1 equal lines in two texts shares a fingerprint."""
-    passage = [words(100 + i, 8).replace(".", "").replace(",", "") + ".\n" for i in range(5)]
+    passage = [words(100 + i, 8).replace(".", "").replace(",", "") + ".\n" for i in range(line_winnow.K_LINES + line_winnow.WINDOW - 1)]
     rows = [(i, "".join(f"{words(i * 50 + j, 9)}\n" for j in range(4)) + "".join(passage) + words(i, 30)) for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.text for r in line_winnow.dedup_lines(docs).collect()}
@@ -199,6 +232,13 @@ def test_winnowing_guarantee(spark):
         assert "".join(passage) not in got[i] and got[i] == t.replace("".join(passage), "")
 
 
+def test_both_cuts_agree(spark, edge):
+    docs = spark.createDataFrame([(t,) for t in ("", "\n", "a, \nb", "a.  b\n", ".. x", "\n\nx. ", "a,b", ", ")], "text string")
+    for df in (docs, edge.where("text is not null")):
+        for r in df.select("text", line_winnow.lines(F.col("text")).alias("a"), line_winnow.line_hashes(F.col("text")).alias("b")).collect():
+            assert len(r.a) == len(r.b) and "".join(r.a) == r.text
+
+
 def test_line_dedup_edges(edge, spark):
     got = line_winnow.dedup_lines(edge)
     assert got.columns == [*edge.columns, "lines_cut"]
@@ -215,14 +255,12 @@ def test_line_dedup_edges(edge, spark):
 
 
 def test_line_dedup_on_documents(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").coalesce(1).orderBy("doc_id")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = {r.doc_id: r.text for r in line_winnow.dedup_lines(docs).collect()}
-    rows = [(n, r.doc_id, r.text) for n, r in enumerate(docs.collect())]
-    distinct = sorted({x.strip() for _, _, t in rows for x in line_winnow_lines(t)})
-    # Which gram is the minimum decides only which runs under the guarantee are found; longer ones always are.
-    mine = plain_dedup(rows, 3, 3, 20, {x: hash(x) for x in distinct})
-    changed = {i for n, i, t in rows if mine[n] != t}
-    assert changed and len(changed ^ {i for _, i, t in rows if got[i] != t}) <= 0.1 * len(changed)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = plain_dedup(rows, line_winnow.K_LINES, line_winnow.WINDOW, line_winnow.MIN_WORDS)
+    assert {i for i, t in rows if got[i] != t}
+    assert got == {i: t for (i, _), t in want.items()}
 
 
 def test_empty_tables(spark, edge):
