@@ -19,12 +19,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from leaksafe.session import checkpoint
 
 ROWS_PER_TASK = 4_000_000
-MAX_HOT_KEYS = 256
-FAN = 64  # cuts per level of the two-level block search, so at most FAN * FAN blocks per key
 SAMPLES_PER_BLOCK = 16
+BROADCAST_CUTS = 200_000  # rows of keys, bounds and totals that may be broadcast
 
 _ALL = "__all"
 _BLOCK = "__block"
@@ -61,7 +61,7 @@ class Frame:
 class HotKeys:
     """The blocks of a frame's hot keys; both tables are None if no key is hot.
 
-    `coarse` holds up to FAN consecutive ranges per key, `fine` up to FAN blocks per range.
+    `coarse` holds consecutive ranges per key, `fine` the blocks of each range.
     """
 
     keys: tuple[str, ...]
@@ -86,13 +86,6 @@ def _position(order: Sequence[str]) -> Column:
     return F.struct(*fields)
 
 
-def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
-
-
 def profile(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -102,71 +95,51 @@ def profile(
 ) -> HotKeys:
     """Find the keys too large for one task, and where to cut them.
 
-    One partial aggregation counts rows per key. Only the largest `MAX_HOT_KEYS` keys above
-    `rows_per_task` come to the driver; every further key holds less than 1/MAX_HOT_KEYS of
-    the rows. Cut points are taken from a small sample of those keys only. They decide the
-    balance of the tasks and never the result.
+    One partial aggregation counts rows per key; every key above `rows_per_task` is cut. Cut points
+    come from a sample of those keys' rows, `SAMPLES_PER_BLOCK` a block, ordered by a window per key.
+    They decide the balance of the tasks and never the result. Counts and cuts stay in tables: the
+    driver only learns whether there are any.
     """
     names = _names(keys)
     limit = rows_per_task or ROWS_PER_TASK
-    counts = (
-        df.groupBy(*names)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") > limit)
-        .orderBy(F.col("__n").desc())
-        .limit(MAX_HOT_KEYS)
-        .collect()
-    )
-    if not counts:
+    counts = df.groupBy(*names).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit)
+    hot = checkpoint(counts.withColumn("__blocks", F.ceil(F.col("__n") / limit)))
+    if hot.isEmpty():
         return HotKeys(tuple(names))
 
-    spark = df.sparkSession
-    key_fields = [T.StructField(n, df.schema[n].dataType, True) for n in names]
-    sizes = {tuple(r[n] for n in names): r["__n"] for r in counts}
-    blocks = {key: min(FAN * FAN, -(-size // limit)) for key, size in sizes.items()}
-    shares = [
-        (*key, min(1.0, SAMPLES_PER_BLOCK * blocks[key] / size), blocks[key]) for key, size in sizes.items()
-    ]
-    extra = [T.StructField("__share", T.DoubleType()), T.StructField("__blocks", T.IntegerType())]
-    hot = spark.createDataFrame(shares, T.StructType([*key_fields, *extra]))
-    at = _position(_names(order))
-    placed = df.select(*names, at.alias(_AT))
-    size, wanted = F.size("__sample"), F.col("__blocks")
-    # Evenly spaced sample points; only these reach the driver, one per block.
-    chosen = F.transform(
-        F.sequence(F.lit(1), wanted - 1),
-        lambda i: F.element_at("__sample", F.least(size, F.floor(i * size / wanted).cast("int") + 1)),
+    wide = hot.withColumnsRenamed({n: f"__k_{n}" for n in names})
+    placed = df.select(*names, _position(_names(order)).alias(_AT))
+    # A row is in the sample by its own hash, so that a task that runs twice picks the same rows.
+    share = F.least(F.lit(1.0), SAMPLES_PER_BLOCK * F.col("__blocks") / F.col("__n"))
+    draw = F.pmod(F.xxhash64(F.lit(7), *names, _AT), F.lit(1 << 20)) / float(1 << 20)
+    sample = placed.join(_sized(wide), _null_safe(names), "inner").filter(draw < share).select(*names, _AT, "__blocks")
+    own = Window.partitionBy(*names)
+    slot = F.floor((F.row_number().over(own.orderBy(_AT)) - 1) * F.col("__blocks") / F.count(F.lit(1)).over(own))
+    cuts = (
+        sample.withColumn("__slot", slot).filter(F.col("__slot") > 0)
+        .groupBy(*names, "__slot").agg(F.min(_AT).alias("__lo"))
+        .groupBy(*names, "__lo").agg(F.min("__slot").alias("__slot"))
     )
-    samples = (
-        placed.join(F.broadcast(hot), _same_key(placed, hot, names), "inner")
-        .filter(F.rand(7) < F.col("__share"))
-        .groupBy(*[placed[n] for n in names], "__blocks")
-        .agg(F.sort_array(F.collect_list(_AT)).alias("__sample"))
-        .select(*[F.col(n) for n in names], chosen.alias("__chosen"))
-        .collect()
+    # The block before the first cut has no lower bound, the one after the last no upper bound.
+    empty = F.lit(None).cast(placed.schema[_AT].dataType)
+    edges = cuts.unionByName(hot.select(*names, empty.alias("__lo"), F.lit(0).cast("bigint").alias("__slot")))
+    by_slot = own.orderBy("__slot")
+    fine = edges.select(
+        *names, "__lo", F.lead("__lo").over(by_slot).alias("__hi"),
+        (F.row_number().over(by_slot) - 1).cast("int").alias(_BLOCK), F.count(F.lit(1)).over(own).alias("__edges"),
     )
-    coarse, fine = [], []
-    for row in samples:
-        key = tuple(row[n] for n in names)
-        cuts = []
-        for cut in row["__chosen"]:
-            if not cuts or cut != cuts[-1]:
-                cuts.append(cut)
-        edges = [None, *cuts, None]  # block i lies between edges i and i + 1
-        for start in range(0, len(edges) - 1, FAN):
-            stop = min(start + FAN, len(edges) - 1)
-            coarse.append((*key, start, edges[start], edges[stop]))
-            fine += [(*key, start, i, edges[i], edges[i + 1]) for i in range(start, stop)]
-    if not fine:
-        return HotKeys(tuple(names))
-    field = T.StructField
-    bounds = [field("__lo", placed.schema[_AT].dataType), field("__hi", placed.schema[_AT].dataType)]
-    ranges = [*key_fields, field("__range", T.IntegerType())]
-    return HotKeys(
-        tuple(names),
-        spark.createDataFrame(coarse, T.StructType([*ranges, *bounds])),
-        spark.createDataFrame(fine, T.StructType([*ranges, field(_BLOCK, T.IntegerType()), *bounds])),
+    # Ranges of about as many blocks as there are ranges: a row meets few bounds on either level.
+    fan = F.ceil(F.sqrt("__edges"))
+    fine = checkpoint(fine.withColumn("__range", F.floor(F.col(_BLOCK) / fan).cast("int")).drop("__edges"))
+    coarse = fine.groupBy(*names, "__range").agg(
+        F.min_by("__lo", _BLOCK).alias("__lo"), F.max_by("__hi", _BLOCK).alias("__hi")
     )
+    return HotKeys(tuple(names), coarse, fine)
+
+
+def _sized(table: DataFrame) -> DataFrame:
+    """Broadcast a table of cuts if it is counted and small; otherwise Spark joins it as it sees fit."""
+    return F.broadcast(table) if table.count() <= BROADCAST_CUTS else table
 
 
 def _reached(order: Sequence[str], bound: str) -> Column:
@@ -187,12 +160,11 @@ def _inside(order: Sequence[str]) -> Column:
 def _place(df: DataFrame, names: Sequence[str], order: Sequence[str], hot: HotKeys, how: str) -> DataFrame:
     """Add the block of each hot row. Two lookups by key: the range, then the block within it.
 
-    Both sides are at most MAX_HOT_KEYS * FAN * FAN rows built on the driver, so they are
-    broadcast, and a row meets at most 2 * FAN bounds.
+    A key of n blocks has about the root of n ranges, so a row meets about twice that many bounds.
     """
-    table = F.broadcast(hot.coarse.withColumnsRenamed({n: f"__k_{n}" for n in names}))
+    table = _sized(hot.coarse.withColumnsRenamed({n: f"__k_{n}" for n in names}))
     df = df.join(table, _null_safe(names) & _inside(order), how).drop("__lo", "__hi", *[f"__k_{n}" for n in names])
-    table = F.broadcast(hot.fine.withColumnsRenamed({**{n: f"__k_{n}" for n in names}, "__range": "__k___range"}))
+    table = _sized(hot.fine.withColumnsRenamed({**{n: f"__k_{n}" for n in names}, "__range": "__k___range"}))
     same = _null_safe(names) & (F.col("__range") == F.col("__k___range"))
     return df.join(table, same & _inside(order), how).drop(
         "__lo", "__hi", "__range", "__k___range", *[f"__k_{n}" for n in names]
@@ -294,8 +266,8 @@ def _blocked(df, names, order, outputs, descending, hot) -> DataFrame:
     carry = _carry(hot_rows, names, outputs, measures, descending)
     if carry is None:
         return rows.select(*columns, *[F.col(f"__i_{n}").alias(n) for n in outputs])
-    # One row per hot key and block: at most MAX_HOT_KEYS * FAN * FAN short rows.
-    carry = F.broadcast(carry.withColumnsRenamed({n: f"__k_{n}" for n in grain}))
+    # One row per hot key and block, of whatever width the outputs have: Spark decides how to join it.
+    carry = carry.withColumnsRenamed({n: f"__k_{n}" for n in grain})
     rows = rows.join(carry, _null_safe(grain), "left")
     final = []
     for name, item in outputs.items():

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +9,7 @@ from leaksafe.operators import dash, evaluate, quality, rolling, scenario
 from leaksafe.operators import ml
 from leaksafe.plans.queries_time import ORDER, RATING_SQL, open_close, rated_orders, wide_mart
 from leaksafe.plans.registry import query, table
+from leaksafe.plans.relations import scratch
 from leaksafe.sources import payloads, tables
 from leaksafe.streaming import snapshots
 
@@ -559,27 +558,31 @@ def scenario_summary(spark, sf):
 # --- streams -----------------------------------------------------------------------------------
 
 
-def _stream(spark, sf, files: int = 1):
-    schema = table(spark, sf, "events").schema
-    stream = snapshots.read_snapshots(spark, sf, schema, "ts", files_per_trigger=files, pattern="events.parquet")
+def _stream(spark, sf):
+    """The events as a stream of five files, one a trigger: four stretches of time, the newest first, and repeated polls."""
+    events = table(spark, sf, "events")
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    cuts = [first + (last - first) * k / 4 for k in range(1, 4)]
+    folder = scratch(spark, "events")
+    bounds = list(zip([None, *cuts], [*cuts, None], strict=True))
+    for low, high in reversed(bounds):
+        part = events if low is None else events.filter(F.col("ts") >= F.lit(low))
+        (part if high is None else part.filter(F.col("ts") < F.lit(high))).coalesce(1).write.mode("append").parquet(folder)
+    events.filter(F.col("event_id") % 10 == 3).coalesce(1).write.mode("append").parquet(folder)
+    stream = snapshots.read_snapshots(spark, folder, events.schema, "ts", files_per_trigger=1)
     return stream.withColumn("book", F.get_json_object("props", "$.k").cast("int") % 5)
 
 
-def _folder(spark, name: str) -> str:
-    """A new folder in the shared checkpoint directory, or a temporary one where none is set."""
-    import uuid
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{root}/leaksafe-{name}-{uuid.uuid4().hex}"
-
-
-@query("stream_dedup", "SELECT user_id, event_type, ts, COUNT(*) AS rows, MIN(value) AS value FROM events GROUP BY 1, 2, 3")
+@query("stream_dedup", "SELECT user_id, event_type, ts, 1 AS rows, MIN(value) AS value FROM events GROUP BY 1, 2, 3")
 def stream_dedup(spark, sf):
-    out = _folder(spark, "dedup")
-    stream = snapshots.dedup_snapshots(_stream(spark, sf), ["user_id", "event_type"], "ts")
-    done = snapshots.drain(snapshots.to_table(stream, f"{out}/table", f"{out}/checkpoint"), lambda: spark.read.parquet(f"{out}/table"))
+    out = scratch(spark, "dedup")
+    stream = _stream(spark, sf)
+    done = snapshots.drain(
+        snapshots.append_new(stream, ["user_id", "event_type"], "ts", f"{out}/table", f"{out}/checkpoint"),
+        lambda: snapshots.read_appended(spark, f"{out}/table", stream.schema),
+    )
     return done.groupBy("user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts")).agg(
-        F.count(F.lit(1)).alias("rows"), F.min("value").alias("value")
+        F.count(F.lit(1)).cast("int").alias("rows"), F.min("value").alias("value")
     )
 
 
@@ -588,14 +591,17 @@ def stream_dedup(spark, sf):
     """
     SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, event_type, COUNT(DISTINCT CAST(json_extract(props, '$.k') AS INTEGER) % 5) AS book_count,
       ROUND(AVG(value), 6) AS consensus_line, MIN(value) AS line_min, MAX(value) AS line_max, ROUND(stddev_pop(value), 6) AS line_stddev
-    FROM events WHERE ts < (SELECT date_trunc('day', MAX(ts) - INTERVAL 2 HOUR) FROM events) GROUP BY 1, 2
+    FROM (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 10 = 3) GROUP BY 1, 2
     """,
 )
 def stream_consensus(spark, sf):
-    # Append mode emits a window once the watermark passes its end, so the last one stays open.
-    out = _folder(spark, "consensus")
-    stream = snapshots.windowed_consensus(_stream(spark, sf), ["event_type"], "ts", "2 hours", "1 day", "book", "value")
-    done = snapshots.drain(snapshots.to_table(stream, f"{out}/table", f"{out}/checkpoint"), lambda: spark.read.parquet(f"{out}/table"))
+    # The files come newest first: state must outlast the whole disorder for no row to be late.
+    out = scratch(spark, "consensus")
+    stream = snapshots.windowed_consensus(_stream(spark, sf), ["event_type"], "ts", "36500 days", "1 day", "book", "value")
+    done = snapshots.drain(
+        snapshots.consensus_table(stream, f"{out}/table", f"{out}/checkpoint"),
+        lambda: snapshots.read_consensus(spark, f"{out}/table", ["event_type"]),
+    )
     return done.select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "book_count",
         F.round("consensus_line", 6).alias("consensus_line"), "line_min", "line_max", F.round("line_stddev", 6).alias("line_stddev"),
@@ -610,12 +616,12 @@ def stream_consensus(spark, sf):
     """,
 )
 def stream_latest(spark, sf):
-    out = _folder(spark, "latest")
+    out = scratch(spark, "latest")
     stream = _stream(spark, sf).withColumn("cutoff", F.lit("2024-01-25").cast("timestamp"))
     query_ = snapshots.latest_per_key(
-        stream, ["user_id", "event_type"], "ts", f"{out}/table", f"{out}/checkpoint", cutoff="cutoff", tie=["event_id"]
+        stream, ["user_id", "event_type"], "ts", f"{out}/rows", f"{out}/checkpoint", cutoff="cutoff", tie=["event_id"]
     )
-    done = snapshots.drain(query_, lambda: snapshots.read_latest(spark, f"{out}/table"))
+    done = snapshots.drain(query_, lambda: snapshots.read_latest(spark, f"{out}/rows"))
     return done.select("user_id", "event_type", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "value")
 
 

@@ -10,9 +10,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
 from leaksafe.operators.consensus import consensus_columns
+from leaksafe.sources.tables import existing_partitions
 
 
 def read_snapshots(
@@ -27,19 +28,47 @@ def read_snapshots(
     return reader.parquet(path).withColumn(ts, F.col(ts).cast("timestamp"))
 
 
-def dedup_snapshots(stream: DataFrame, keys: Sequence[str], ts: str, delay: str = "2 hours") -> DataFrame:
-    """Drop repeated polls. The grain includes the snapshot time, so the result does not depend on batches.
+def append_new(stream: DataFrame, keys: Sequence[str], ts: str, path: str, checkpoint: str) -> StreamingQuery:
+    """Append the snapshots that the table does not hold yet, however late and in whatever batches they come.
 
-    State holds one entry per snapshot inside the delay only.
+    The grain is `keys` and the snapshot time. A batch is compared with the days it touches, and writes a folder
+    of its own, which a retry writes anew. Read with `read_appended`.
     """
     grain = list(dict.fromkeys([*keys, ts]))
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(grain)
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        fresh = batch.withColumn("__day", F.to_date(ts)).dropDuplicates(grain)
+        if number > 0:
+            held = spark.read.schema(_with_batch(fresh.schema)).parquet(path).filter(F.col("__batch") < number)
+            held = held.select(*[F.col(c).alias(f"__h_{c}") for c in [*grain, "__day"]])
+            same = F.col("__day").eqNullSafe(F.col("__h___day"))
+            for c in grain:
+                same = same & F.col(c).eqNullSafe(F.col(f"__h_{c}"))
+            fresh = fresh.join(held, same, "left_anti")
+        fresh.write.mode("overwrite").partitionBy("__day").parquet(f"{path}/__batch={number}")
+
+    return _all_available(stream.writeStream.foreachBatch(write), checkpoint)
+
+
+def _with_batch(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField("__batch", IntegerType())])
+
+
+def _all_available(writer, checkpoint: str) -> StreamingQuery:
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_appended(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The table written by `append_new`."""
+    day = StructField("__day", DateType())
+    return spark.read.schema(_with_batch(StructType([*schema.fields, day]))).parquet(path).drop("__batch", "__day")
 
 
 def windowed_consensus(
     stream: DataFrame, keys: Sequence[str], ts: str, delay: str, window: str, book: str, value: str, prob: str | None = None
 ) -> DataFrame:
-    """Consensus across books per tumbling window. Rows later than the delay are dropped.
+    """Consensus across books per tumbling window. A window's state is kept until the delay has passed.
 
     Books are counted exactly: a set of book codes per group, which is small by nature.
     """
@@ -59,40 +88,79 @@ def latest_rows(batch: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[st
     return batch.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("__r")).select(*keys, "__r.*")
 
 
+def consensus_table(consensus: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write every state of a `windowed_consensus` that changes in a batch; `read_consensus` takes the last of each.
+
+    Windows need not close to be seen, so the newest ones are there as well.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/__batch={number}")
+
+    return _all_available(consensus.writeStream.outputMode("update").foreachBatch(write), checkpoint)
+
+
+def read_consensus(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    rows = spark.read.parquet(path)
+    return latest_rows(rows, ["window_start", "window_end", *keys], "__batch").drop("__batch")
+
+
 def latest_per_key(
-    stream: DataFrame, keys: Sequence[str], ts: str, path: str, checkpoint: str, *, cutoff: str | None = None, tie: Sequence[str] = ()
+    stream: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    path: str,
+    checkpoint: str,
+    *,
+    cutoff: str | None = None,
+    tie: Sequence[str] = (),
+    buckets: int = 32,
 ) -> StreamingQuery:
     """Keep the latest snapshot per key (before its `cutoff` column, if given) in a table.
 
-    Every batch is reduced first, merged with the previous version and written as a new version
-    folder named after the batch. A batch that is retried rewrites its own folder from the
-    version before it, so the result is the same after a failure. Read with `read_latest`.
+    Keys are dealt to `buckets`, and a batch rewrites only those it touches: the bucket's last version and the
+    batch's own rows, reduced, become a version named after the batch. A retried batch rewrites the same
+    versions from the same ones before. Of each bucket the last two versions stay. Read with `read_latest`.
     """
     source = stream if cutoff is None else stream.filter(F.col(ts) < F.col(cutoff).cast("timestamp"))
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        fresh = latest_rows(batch, keys, ts, tie)
-        if number > 0:
-            before = spark.read.parquet(f"{path}/version={number - 1}")
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("__bucket")
+        reduced = latest_rows(batch, keys, ts, tie)
+        staged = f"{path}/staged/{number}"
+        reduced.select("*", bucket).write.mode("overwrite").parquet(staged)
+        fresh = spark.read.parquet(staged)
+        touched = sorted(r[0] for r in fresh.select("__bucket").distinct().collect())  # at most `buckets` numbers
+        before = {b: [v for v in existing_partitions(spark, f"{path}/table/__bucket={b}", "__version") if v < number] for b in touched}
+        folders = [f"{path}/table/__bucket={b}/__version={v[-1]}" for b, v in before.items() if v]
+        fresh = fresh.drop("__bucket")
+        if folders:
             # Not "incoming wins": a late row must not replace a newer one.
-            fresh = latest_rows(before.unionByName(fresh), keys, ts, tie)
-        fresh.write.mode("overwrite").parquet(f"{path}/version={number}")
+            fresh = latest_rows(spark.read.schema(fresh.schema).parquet(*folders).unionByName(fresh), keys, ts, tie)
+        out = fresh.select("*", bucket, F.lit(number).alias("__version"))
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("__bucket", "__version").parquet(f"{path}/table")
+        remove(spark, [f"{path}/table/__bucket={b}/__version={v}" for b, held in before.items() for v in held[:-1]] + [staged])
 
-    return (
-        source.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _all_available(source.writeStream.foreachBatch(merge), checkpoint)
 
 
-def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version written by `latest_per_key`."""
-    from leaksafe.sources.tables import existing_partitions
+def remove(spark: SparkSession, folders: Sequence[str]) -> None:
+    """Delete folders of superseded versions."""
+    jvm = spark.sparkContext._jvm
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
 
-    newest = max(existing_partitions(spark, path, "version"))
-    return spark.read.parquet(f"{path}/version={newest}")
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of every bucket written by `latest_per_key`."""
+    table = f"{path}/table"
+    folders = [
+        f"{table}/__bucket={b}/__version={existing_partitions(spark, f'{table}/__bucket={b}', '__version')[-1]}"
+        for b in existing_partitions(spark, table, "__bucket")
+    ]
+    return spark.read.parquet(*folders)
 
 
 def to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:

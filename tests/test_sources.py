@@ -172,20 +172,51 @@ def test_dedup_across_batches(spark, feed, tmp_path):
     path, schema = feed
     stream = snapshots.read_snapshots(spark, path, schema, "ts", files_per_trigger=1)
     out = str(tmp_path / "out")
-    query = snapshots.to_table(snapshots.dedup_snapshots(stream, ["k", "book"], "ts"), out, str(tmp_path / "cp"))
-    assert snapshots.drain(query, lambda: spark.read.parquet(out)).count() == 4
+    query = snapshots.append_new(stream, ["k", "book"], "ts", out, str(tmp_path / "cp"))
+    assert snapshots.drain(query, lambda: snapshots.read_appended(spark, out, stream.schema)).count() == 4
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_late_snapshots_are_kept(spark, tmp_path, files):
+    """A thousand snapshots over years in three files, the oldest last, then all of them again."""
+    path = str(tmp_path / "feed")
+    rows = spark.range(1000).selectExpr("id AS k", "timestamp'2020-01-01' + make_dt_interval(cast(id AS int)) AS ts", "id / 7 AS v")
+    for low, high in ((700, 1000), (300, 700), (0, 300), (0, 1000)):
+        rows.filter((F.col("k") >= low) & (F.col("k") < high)).coalesce(1).write.mode("append").parquet(path)
+    stream = snapshots.read_snapshots(spark, path, rows.schema, "ts", files_per_trigger=files)
+    out = str(tmp_path / "out")
+    query = snapshots.append_new(stream, ["k"], "ts", out, str(tmp_path / "cp"))
+    got = snapshots.drain(query, lambda: snapshots.read_appended(spark, out, stream.schema))
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in rows.collect())
 
 
 def test_consensus_windows(spark, feed, tmp_path):
     path, schema = feed
-    stream = snapshots.read_snapshots(spark, path, schema, "ts").dropDuplicates(["k", "book", "ts"])
     out = str(tmp_path / "out")
-    query = snapshots.to_table(
-        snapshots.windowed_consensus(snapshots.read_snapshots(spark, path, schema, "ts"), ["k"], "ts", "1 minute", "10 minutes", "book", "v"),
-        out, str(tmp_path / "cp"),
-    )
-    got = {(r["k"], r["book_count"], r["line_max"]) for r in snapshots.drain(query, lambda: spark.read.parquet(out)).collect()}
-    assert got == {("a", 2, 3.0), ("b", 1, 5.0)} and stream.isStreaming
+    stream = snapshots.read_snapshots(spark, path, schema, "ts", files_per_trigger=1)
+    consensus = snapshots.windowed_consensus(stream, ["k"], "ts", "1 day", "10 minutes", "book", "v")
+    query = snapshots.consensus_table(consensus, out, str(tmp_path / "cp"))
+    rows = snapshots.drain(query, lambda: snapshots.read_consensus(spark, out, ["k"])).collect()
+    # The window that is still open is there too.
+    assert {(r["k"], r["book_count"], r["line_max"]) for r in rows} == {("a", 2, 3.0), ("b", 1, 5.0), ("a", 1, 7.0)}
+
+
+def test_latest_rewrites_only_touched_buckets(spark, tmp_path):
+    path, out = str(tmp_path / "feed"), str(tmp_path / "out")
+    rows = spark.range(400).selectExpr("id % 40 AS k", "timestamp'2020-01-01' + make_dt_interval(cast(id AS int)) AS ts", "id AS v")
+    # The newest poll comes first; the last file touches one key.
+    rows.filter("v >= 200").coalesce(1).write.mode("append").parquet(path)
+    rows.filter("v < 200").coalesce(1).write.mode("append").parquet(path)
+    for v in (1000, 1001, 1002):
+        spark.sql(f"SELECT 7L AS k, timestamp'2030-01-01' + make_dt_interval({v}) AS ts, {v}L AS v").coalesce(1).write.mode("append").parquet(path)
+    stream = snapshots.read_snapshots(spark, path, rows.schema, "ts", files_per_trigger=1)
+    query = snapshots.latest_per_key(stream, ["k"], "ts", out, str(tmp_path / "cp"), buckets=8)
+    got = {r["k"]: r["v"] for r in snapshots.drain(query, lambda: snapshots.read_latest(spark, out)).collect()}
+    assert got == {k: 360 + k if k != 7 else 1002 for k in range(40)}
+    from leaksafe.sources.tables import existing_partitions
+
+    versions = [existing_partitions(spark, f"{out}/table/__bucket={b}", "__version") for b in range(8)]
+    assert sorted(versions)[-1] == [3, 4] and [v for v in versions if v != [3, 4]] == [[0, 1]] * 7
 
 
 def test_latest_keeps_the_newest(spark, feed, tmp_path):

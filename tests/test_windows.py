@@ -49,6 +49,20 @@ def _pandas(df, *cols):
     return df.select("id", *cols).toPandas().sort_values("id").reset_index(drop=True)
 
 
+def test_every_hot_key_is_cut(spark):
+    """Three hundred keys above the limit, one of them with far more blocks than the others."""
+    df = spark.range(300 * 40 + 4000).select(
+        F.when(F.col("id") < 12000, F.col("id") % 300).otherwise(7).alias("k"), F.col("id"), (F.col("id") % 11).cast("double").alias("v")
+    )
+    hot = profile(df, ["k"], ["id"], rows_per_task=20)
+    assert hot.fine.select("k").distinct().count() == 300
+    assert hot.fine.where("k = 7").count() > 100 and hot.coarse.where("k = 7").count() > 8
+    outputs = {"n": Running("count", None, inclusive=True), "total": Running("sum", "v"), "next": Frame("first", "v", 1, 1)}
+    plain = ordered(df, ["k"], ["id"], outputs)
+    cut = ordered(df, ["k"], ["id"], outputs, hot=hot)
+    pd.testing.assert_frame_equal(_pandas(plain, *outputs), _pandas(cut, *outputs), check_dtype=False)
+
+
 @pytest.mark.parametrize("keys", [["k"], []])
 @pytest.mark.parametrize("descending", [False, True])
 def test_blocks_equal_plain(events, keys, descending):
