@@ -404,7 +404,7 @@ def int_weather_game(weather: DataFrame) -> DataFrame:
     }
     winds = ["calm", "mild_wind", "moderate_wind", "strong_wind", "severe_wind"]
     temps = ["extreme_cold", "freezing", "cold", "cool", "mild", "warm", "hot"]
-    return weather.select(
+    out = weather.select(
         "game_id", "season", "week", "stadium_id", "roof_closed_flag", "open_air_weather_applicable", "weather_source_type",
         "forecast_run_ts", "temp_f", "apparent_temp_f", "wind_mph", "wind_gusts_mph", "wind_dir_deg", "precip_in", "rain_in",
         "snow_in", "snow_depth_in", "humidity_pct", "dew_point_f", "pressure_hpa", "weather_condition",
@@ -418,6 +418,9 @@ def int_weather_game(weather: DataFrame) -> DataFrame:
         F.when(shut, 0).otherwise(suppression).alias("total_suppression_score"),
         flag(outdoors & (temp < 32) & (wind >= 10)).alias("cold_wind_interaction"),
     )
+    # Observed at kickoff, so never known before; only where and under which roof is.
+    known = {"game_id", "season", "week", "stadium_id", "roof_closed_flag", "open_air_weather_applicable", "weather_source_type"}
+    return with_zone(out, {c: 3 for c in out.columns if c not in known})
 
 
 @INTERMEDIATE.relation(

@@ -382,7 +382,8 @@ def mart_total_modeling(games, teams, ratings, spots, injuries, weather, stadium
         }
     )
     out = out.drop("__spread", *[f"{s}__{m}" for s, _ in SIDES for m in summed.values()])
-    return with_zone(out, dict.fromkeys(["closing_total", "total_move_otc", "total_line_volatility"], 3))
+    late = ["closing_total", "total_move_otc", "total_line_volatility", "over_close_flag", "over_open_flag"]
+    return with_zone(out, dict.fromkeys(late, 3))
 
 
 @MARTS.relation(
@@ -505,7 +506,7 @@ def mart_game_modeling(games, teams, ratings, spots, travel, injuries, weather,
     out = placeholder(out, dict.fromkeys(later, "double"))
     late = (
         "closing_spread closing_total closing_home_ml spread_move total_move crossed_key_3_flag crossed_key_7_flag "
-        "crossed_key_10_flag spread_volatility spread_close_dispersion"
+        "crossed_key_10_flag spread_volatility spread_close_dispersion home_covered_close over_close_flag"
     )
     return with_zone(out, dict.fromkeys(late.split(), 3))
 
