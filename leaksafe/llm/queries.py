@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaksafe.llm import decontaminate, html_extract, language_id, line_winnow, ngram_join, packing, pii, secret_scan, syncmers, toxicity
+from leaksafe.llm import decontaminate, html_extract, language_id, line_winnow, ngram_join, oracle, packing, pii, secret_scan, syncmers, toxicity
 from leaksafe.llm.shared import documents
 
 QUERIES = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_ngram_join": oracle.OP1, "op3_secrets": oracle.OP3}
 
 
 def query(name: str):
