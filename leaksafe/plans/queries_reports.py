@@ -639,7 +639,7 @@ def gbt_scores(spark, sf):
     frames = ml.split(mart, "split")
     models = ml.train(
         frames["train"], frames["validation"], spec,
-        {"price": ("o_totalprice", "regression"), "win": ("outcome", "classification")}, max_iter=5,
+        {"price": ("o_totalprice", "regression"), "win": ("outcome", "classification")},
     )
     scored = ml.score(frames["test"], models)
     return scored.select("o_orderkey", "season", F.round("pred_price", 2).alias("pred_price"), F.round("pred_win", 4).alias("pred_win"))
