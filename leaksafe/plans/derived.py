@@ -14,7 +14,6 @@ from leaksafe.functions import geo
 from leaksafe.plans.registry import table
 from leaksafe.plans.staging import team
 
-FIRST_SEASON, LAST_SEASON = 2015, 2021
 STAMP = "CAST('2024-01-01 00:00:00' AS TIMESTAMP) AS ingestion_ts"
 
 
@@ -218,9 +217,9 @@ FROM {{placed}} GROUP BY o_custkey, season
 
 # The two tables the library computes itself: zones per team and season, and travel.
 ORACLE_ONLY = {
-    "raw_team_timezone_reference": f"""
-SELECT team, CAST(UNNEST(range(GREATEST(season_start, {FIRST_SEASON}), LEAST(season_end, {LAST_SEASON}) + 1)) AS INTEGER) AS season, stadium_id, timezone AS home_timezone,
-  latitude, longitude FROM {{raw_stadium_metadata}}
+    "raw_team_timezone_reference": """
+SELECT team, CAST(UNNEST(range(GREATEST(season_start, first_season), LEAST(season_end, last_season) + 1)) AS INTEGER) AS season, stadium_id, timezone AS home_timezone,
+  latitude, longitude FROM {raw_stadium_metadata}, (SELECT MIN(season) AS first_season, MAX(season) AS last_season FROM {placed}) s
 """,
     "trips": """
 SELECT DISTINCT g.season, g.home, g.away, h.latitude AS lat2, h.longitude AS lon2, h.home_timezone AS tz2, a.latitude AS lat1, a.longitude AS lon1, a.home_timezone AS tz1
@@ -263,7 +262,9 @@ def raw_frame(spark: SparkSession, folder: str, name: str, get) -> DataFrame:
         return table(spark, folder, name)
     if name in SQL:
         return spark.sql(SQL[name], **{n: get(n) for n in needs(SQL[name])})
-    zones = geo.expand_validity(get("raw_stadium_metadata"), "season_start", "season_end", FIRST_SEASON, LAST_SEASON)
+    # The seasons there are: one row of two numbers.
+    first, last = get("placed").agg(F.min("season"), F.max("season")).first()
+    zones = geo.expand_validity(get("raw_stadium_metadata"), "season_start", "season_end", first or 0, last or 0)
     if name == "raw_team_timezone_reference":
         return zones.select("team", "season", "stadium_id", F.col("timezone").alias("home_timezone"), "latitude", "longitude")
     pairs = get("raw_schedules").select("season", team("home_team").alias("home_team"), team("away_team").alias("away_team"))
