@@ -49,15 +49,32 @@ def zip_explode(spark, sf):
     return out.withColumn("hour", F.col("hour").cast("timestamp_ntz"))
 
 
-@query("row_hash", "SELECT o_orderkey, 16 AS hash_length, 'orders' AS source_name, 'parquet' AS source_file_type, '1' AS source_version FROM orders")
+@query(
+    "row_hash",
+    """
+    SELECT o_orderkey, 16 AS hash_length, 'orders' AS source_name, 'parquet' AS source_file_type, '1' AS source_version, o_orderkey % 3 <> 0 AS same_hash FROM orders
+    """,
+)
 def row_hash(spark, sf):
-    out = tables.with_lineage(table(spark, sf, "orders"), "orders", "parquet", "1")
-    # Hash values differ between engines; length and lineage columns do not.
-    return out.select(
-        "o_orderkey", F.length("row_hash").alias("hash_length"), "source_name", "source_file_type", "source_version"
+    """Hash values differ between engines. What they must do does not: equal rows equal hashes, a changed column another one."""
+    orders = table(spark, sf, "orders")
+    out = tables.with_lineage(orders, "orders", "parquet", "1")
+    changed = orders.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 3 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    again = tables.with_lineage(changed, "orders", "parquet", "2").select("o_orderkey", F.col("row_hash").alias("other"))
+    return out.join(again, "o_orderkey").select(
+        "o_orderkey", F.length("row_hash").alias("hash_length"), "source_name", "source_file_type", "source_version",
+        (F.col("row_hash") == F.col("other")).alias("same_hash"),
     )
 
 
+@query("row_hash_distinct", "SELECT COUNT(*) AS rows, COUNT(DISTINCT o_orderkey) AS hashes FROM (SELECT DISTINCT * FROM orders UNION ALL SELECT DISTINCT * FROM orders)")
+def row_hash_distinct(spark, sf):
+    """Every row twice: as many hashes as different rows."""
+    orders = table(spark, sf, "orders").distinct()
+    out = tables.with_lineage(orders.unionByName(orders), "orders", "parquet")
+    return out.agg(F.count("*").alias("rows"), F.count_distinct("row_hash").alias("hashes"))
+
+
 @query(
     "pending_keys",
     """
@@ -457,12 +474,11 @@ def entity_periods(spark, sf):
     "entity_log",
     """
     SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, o_orderstatus, ROUND(o_totalprice / 1000, 1) AS points FROM orders
-    WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE lower(c_name) LIKE '%mer#0%') AND o_orderstatus = 'F'
+    WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE lower(c_name) LIKE '%05%' AND lower(c_name) LIKE '%r%') AND o_orderstatus = 'F'
     """,
 )
 def entity_log(spark, sf):
-    # The name search finds every customer; a dashboard would type a longer term.
-    people = dash.search(table(spark, sf, "customer"), "c_name", "MER#0").select(F.col("c_custkey").alias("o_custkey"))
+    people = dash.search(dash.search(table(spark, sf, "customer"), "c_name", "05"), "c_name", "R").select(F.col("c_custkey").alias("o_custkey"))
     rows = table(spark, sf, "orders").join(people, "o_custkey", "left_semi")
     where = F.col("o_orderstatus") == "F"
     return dash.log(
