@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from leaksafe.operators import quality
 from leaksafe.plans import data_tests, relation_sql
-from leaksafe.plans.dimensions import key_checks
+from leaksafe.plans.dimensions import DIMENSIONS, key_checks
 from leaksafe.plans.registry import query
 from leaksafe.plans.relations import CATALOG, relations
 
@@ -150,6 +150,21 @@ def table_key_tests(spark, sf):
     return quality.run(spark, key_checks(_Frames(relations(spark, sf))))
 
 
+# The declared keys of all relations that have SQL.
+_KEYS = {n: list(r.key) for n, r in DIMENSIONS.relations.items() if r.key and n in relation_sql.SQL and n not in NOT_QUERIED}
+_KEY_REPORT = " UNION ALL ".join(
+    f"SELECT '{n}_key' AS check_name, CASE WHEN COUNT(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, COUNT(*) AS rows FROM "
+    f"(SELECT 1 FROM {n} GROUP BY {', '.join(k)} HAVING COUNT(*) > 1 OR {' OR '.join(f'{c} IS NULL' for c in k)}) t"
+    for n, k in _KEYS.items()
+)
+
+
+@query("relation_keys", relation_sql.compose_all(list(_KEYS), _KEY_REPORT))
+def relation_keys(spark, sf):
+    wanted = key_checks(_Frames(relations(spark, sf)))
+    return quality.run(spark, {f"{n}_key": wanted[f"{n}_key"] for n in _KEYS})
+
+
 @query(
     "market_coverage",
     relation_sql.compose(
