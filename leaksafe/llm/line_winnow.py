@@ -1,27 +1,32 @@
 """Repeated runs of lines, found by winnowing.
 
 A line here ends at a line break or after a punctuation mark and a space, so that a passage pasted into the middle of a
-paragraph still has whole lines. Hashes of `k` consecutive lines are winnowed: the rightmost minimum of every window of
-`w` is a fingerprint, so any run of k + w - 1 equal lines shares one. A fingerprint's occurrences are joined with its
-first occurrence only (by id, then place); on the diagonal so found, both texts are compared to both ends, and every
-equal run of at least `k` lines and `min_words` words is deleted from the later place. Only DataFrame functions.
-
-Cases: null text stays null; texts of fewer than k lines hold no run; repeated rows are ordered by row; the first of
-several equal texts stays whole; an empty table gives an empty result; other columns are passed on untouched.
+paragraph still has whole lines. Lines are compared without their outer blanks and closing mark. Hashes of `k`
+consecutive lines are winnowed: the rightmost minimum of every window of `w` is a fingerprint, so any run of k + w - 1
+equal lines shares one. A fingerprint's occurrences are joined with the first document that holds it (by id) only; on the
+diagonal so found both texts are compared to both ends. Equal runs of at least `k` lines are taken together where they
+overlap or touch, and those of at least `min_words` words are deleted from the later place. Only DataFrame functions.
+
+Cases: null text stays null; texts of fewer than k lines hold no run; of rows equal in id and text one is treated as any
+other and the rest are cut whole; rows that share an id but not the text are ordered by a hash of the text; the first of several
+equal texts stays whole; an empty table gives an empty result; other columns are passed on untouched.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leaksafe.llm.shared import indexes, let, written
 
-# A place right after a line break, or after a mark and one blank, each kept with the line before it.
+# A place right after a line break, or after a mark and one blank: the line keeps what ends it.
 LINE_END = r"(?<=\n)|(?<=[.,;:!?]\x20)"
+# The same cuts, with what ends a line left out.
+LINE_MARK = r"[.,;:!?]\x20|\n"
 K_LINES = 3
-WINDOW = 3
+WINDOW = 6
 MIN_WORDS = 20
+NO_ID = -(2**63)
 
 
 def lines(text: Column) -> Column:
@@ -29,115 +34,141 @@ def lines(text: Column) -> Column:
     return F.split(text, LINE_END, -1)
 
 
-def fingerprints(hashes: Column, k: int = K_LINES, w: int = WINDOW) -> Column:
-    """array of (hash, place): winnowed k-line hashes. Shorter sequences than a window give their one minimum."""
-    shape = "array<struct<hash:bigint,place:int>>"
-    grams = F.transform(indexes(F.size(hashes) - (k - 1)), lambda i: F.struct((F.xxhash64(*[hashes[i + j] for j in range(k)])).alias("hash"), (-i).alias("back")))
-    # The smallest (hash, -place) is the rightmost minimum.
-    chosen = lambda g: F.transform(indexes(F.greatest(F.size(g) - (w - 1), F.lit(1))), lambda i: F.array_min(F.slice(g, i + 1, F.lit(w))))
-    picked = let(grams, lambda g: F.when(F.size(g) > 0, F.array_distinct(chosen(g))).otherwise(F.slice(g, 1, 0)))
-    return F.transform(picked, lambda s: F.struct(s["hash"].alias("hash"), (-s["back"]).alias("place"))).cast(shape)
+def line_hashes(text: Column) -> Column:
+    return F.transform(F.split(text, LINE_MARK, -1), lambda x: F.xxhash64(F.trim(x, F.lit(" \n\r\t"))))
+
+
+def gram(hashes: Column, i: Column, k: int) -> Column:
+    return F.xxhash64(*[hashes[i + j] for j in range(k)])
+
 
+PLACE_BITS = 20
 
-def _runs(mine: Column, first: Column, words: Column, shift: Column, same: Column, k: int, min_words: int) -> Column:
-    """(from, to) of the equal runs on a diagonal: place i of `mine` against place i - shift of the first text.
 
-    `first` starts at place greatest(-shift, 0) of the first text, that is place greatest(shift, 0) of `mine`.
-    In one text compared with itself only later places count, which a positive shift ensures.
+def fingerprint_places(hashes: Column, k: int = K_LINES, w: int = WINDOW) -> Column:
+    """Places of the winnowed k-line hashes, in order. Shorter sequences than a window give their one minimum.
+
+    The high bits of a hash with the place counted down in the low ones make one number, whose minimum in a window is the
+    rightmost smallest hash.
     """
-    start = F.greatest(shift, F.lit(0))
-    n = F.least(F.size(first), F.size(mine) - start)
-    zero = F.lit(0)
-    seed = F.struct(
-        F.array().cast("array<struct<a:int,b:int>>").alias("out"), zero.alias("run"), zero.alias("words")
+    low = (1 << PLACE_BITS) - 1
+    coded = F.transform(
+        indexes(F.size(hashes) - (k - 1)),
+        lambda i: F.shiftleft(F.shiftright(gram(hashes, i, k), PLACE_BITS), PLACE_BITS).bitwiseOR(F.lit(low) - i.cast("bigint").bitwiseAND(F.lit(low))),
     )
 
-    def close(acc: Column, i: Column) -> Column:
-        keep = (acc["run"] >= k) & (acc["words"] >= min_words)
-        span = F.struct((start + i - acc["run"]).cast("int").alias("a"), (start + i).cast("int").alias("b"))
-        return F.when(keep, F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
-
-    def step(acc: Column, i: Column) -> Column:
-        equal = mine[start + i] == first[i]
-        return F.when(
-            equal,
-            F.struct(acc["out"].alias("out"), (acc["run"] + 1).alias("run"), (acc["words"] + words[start + i]).alias("words")),
-        ).otherwise(F.struct(close(acc, i).alias("out"), zero.alias("run"), zero.alias("words")))
-
-    return F.aggregate(indexes(n), seed, step, lambda acc: close(acc, n))
-
-
-def repeated_runs(
-    docs: DataFrame, id_col: str, text_col: str, k: int = K_LINES, w: int = WINDOW, min_words: int = MIN_WORDS
-) -> tuple[DataFrame, DataFrame]:
-    """(rows, runs): the rows with `__row` added, and per row an array of (a, b) line places to delete."""
-    rows = docs.withColumn("__row", F.monotonically_increasing_id())
-    # The row number depends on the file splits; a written copy fixes it for all later steps.
-    split = lines(F.coalesce(F.col(text_col), F.lit("")))
-    hashed = let(
-        split,
-        lambda ls: F.struct(
-            F.transform(ls, lambda x: F.xxhash64(F.trim(F.translate(x, "\n\t\r", "   ")))).alias("h"),
-            F.transform(ls, lambda x: F.size(F.split(F.trim(x), r"\s+"))).alias("n"),
-        ),
-    )
-    rows = written(rows)
-    table = rows.select("__row", F.col(id_col).cast("long").alias("id"), hashed.alias("x")).select("__row", "id", "x.h", "x.n")
-    table = written(table)
-    marks = table.select("__row", "id", F.size("h").alias("length"), F.explode(fingerprints(F.col("h"), k, w)).alias("f")).select(
-        "f.hash", F.struct("id", "__row", F.col("f.place").alias("place")).alias("at"), "length"
+    def chosen(c: Column) -> Column:
+        # A window starts at j, so its place is the one from j on with the low bits found.
+        place = lambda j, least: j + F.pmod(F.lit(low) - least.bitwiseAND(F.lit(low)) - j, F.lit(low + 1)).cast("int")
+        whole = F.transform(indexes(F.size(c) - (w - 1)), lambda j: place(j, F.least(*[c[j + x] for x in range(w)])))
+        short = F.array(place(F.lit(0), F.array_min(c)))
+        return F.when(F.size(c) >= w, F.array_distinct(whole)).when(F.size(c) > 0, short).otherwise(F.array().cast("array<int>"))
+
+    return let(coded, chosen)
+
+
+def equal_runs(mine: Column, other: Column, start: Column, k: int) -> Column:
+    """(a, b) stretches of at least k places of `mine` from `start` on that equal `other` place by place."""
+    n = F.least(F.size(other), F.size(mine) - start)
+    breaks = F.filter(indexes(n), lambda i: mine[start + i] != other[i])
+
+    def between(x: Column) -> Column:
+        ends = F.filter(indexes(F.size(x) - 1), lambda i: x[i + 1] - x[i] > k)
+        return F.transform(ends, lambda i: F.struct((start + x[i] + 1).alias("a"), (start + x[i + 1]).alias("b")))
+
+    return let(F.concat(F.array(F.lit(-1)), breaks, F.array(F.greatest(n, F.lit(0)))), between)
+
+
+def word_count(text: Column) -> Column:
+    """Blanks and line breaks between the outer ones, plus one."""
+    inner = F.trim(text, F.lit(" \n\r\t"))
+    bare = F.replace(F.replace(inner, F.lit(" "), F.lit("")), F.lit("\n"), F.lit(""))
+    return F.length(inner) - F.length(bare) + 1
+
+
+def _key(id_col: str, text_col: str) -> list[Column]:
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("__id"), F.xxhash64(F.col(text_col)).alias("__key")]
+
+
+def repeats(docs: DataFrame, id_col: str, text_col: str, k: int = K_LINES, w: int = WINDOW) -> DataFrame:
+    """(__id, __key, beside): for rows that share a fingerprint with an earlier document, the stretches to compare with.
+
+    `beside` is an array of (start, other): the line hashes of the first document on one diagonal, from the place `start` on.
+    """
+    hashed = docs.select(*_key(id_col, text_col), line_hashes(F.coalesce(F.col(text_col), F.lit(""))).alias("h"))
+    table = written(hashed.withColumn("f", let(F.col("h"), lambda h: fingerprint_places(h, k, w))))
+    marks = table.select("__id", "__key", "h", F.explode("f").alias("place")).select(
+        gram(F.col("h"), F.col("place"), k).alias("hash"), "__id", "__key", "place", F.size("h").alias("length")
     )
-    first = marks.groupBy("hash").agg(F.min("at").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = marks.join(first, "hash").where(F.col("at") > F.col("first"))
+    # Plain sums and minima of numbers, reduced before the shuffle however hot a fingerprint is.
+    counted = marks.groupBy("hash").agg(F.count("*").alias("n"), F.min("__id").alias("__first")).where("n > 1").drop("n")
+    repeated = marks.join(counted.hint("shuffle_hash"), "hash")
+    heads = repeated.where(F.col("__id") == F.col("__first")).groupBy("hash").agg(F.min(F.struct("__key", "place")).alias("head"))
+    later = repeated.join(heads, "hash").where(F.struct("__id", "__key", "place") > F.struct("__first", "head.__key", "head.place"))
     diagonals = later.select(
-        F.col("at.__row").alias("__row"), F.col("first.__row").alias("__first"),
-        (F.col("at.place") - F.col("first.place")).alias("shift"), "length",
+        "__id", "__key", "__first", F.col("head.__key").alias("__first_key"), (F.col("place") - F.col("head.place")).alias("shift"), "length"
     ).distinct()
-    # Only the stretch of the first text that can lie beside the later one travels with the pair.
-    begin = F.greatest(-F.col("shift"), F.lit(0))
-    beside = diagonals.join(table.select(F.col("__row").alias("__first"), F.col("h").alias("other")), "__first").select(
-        "__row", "shift", (F.col("__row") == F.col("__first")).alias("same"),
-        F.slice("other", begin + 1, F.col("length") - F.greatest(F.col("shift"), F.lit(0))).alias("other"),
+    # Of the first text only the stretch that can lie beside the later one travels with the pair.
+    begin, start = F.greatest(-F.col("shift"), F.lit(0)), F.greatest(F.col("shift"), F.lit(0))
+    firsts = table.where(F.size("f") > 0).select(F.col("__id").alias("__first"), F.col("__key").alias("__first_key"), F.col("h").alias("other"))
+    pairs = diagonals.join(firsts, ["__first", "__first_key"]).select(
+        "__id", "__key", F.struct(start.cast("int").alias("start"), F.slice("other", begin + 1, F.col("length") - start).alias("other")).alias("pair")
     )
-    runs = beside.join(table.select("__row", "h", "n"), "__row").select(
-        "__row", _runs(F.col("h"), F.col("other"), F.col("n"), F.col("shift"), F.col("same"), k, min_words).alias("runs")
-    )
-    gathered = runs.where(F.size("runs") > 0).select("__row", F.explode("runs").alias("r")).groupBy("__row").agg(
-        F.array_sort(F.collect_set("r")).alias("runs")
-    )
-    return rows, gathered
+    # All diagonals of one text meet here; there are at most as many as it has fingerprints.
+    return pairs.groupBy("__id", "__key").agg(F.collect_list("pair").alias("beside"))
+
+
+def _merged(spans: Column) -> Column:
+    """The union of spans as sorted stretches that neither overlap nor touch."""
+    seed = F.struct(F.array().cast("array<struct<a:int,b:int>>").alias("out"), F.lit(-1).alias("a"), F.lit(-1).alias("b"))
+    held = lambda acc: F.concat(acc["out"], F.array(F.struct(acc["a"].alias("a"), acc["b"].alias("b"))))
+
+    def step(acc: Column, r: Column) -> Column:
+        longer = F.struct(acc["out"].alias("out"), acc["a"].alias("a"), F.greatest(acc["b"], r["b"]).alias("b"))
+        fresh = F.struct(F.when(acc["a"] < 0, acc["out"]).otherwise(held(acc)).alias("out"), r["a"].alias("a"), r["b"].alias("b"))
+        return F.when(r["a"] <= acc["b"], longer).otherwise(fresh)
+
+    return F.aggregate(F.array_sort(F.array_distinct(spans)), seed, step, lambda acc: F.when(acc["a"] < 0, acc["out"]).otherwise(held(acc)))
 
 
 def dedup_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K_LINES, w: int = WINDOW, min_words: int = MIN_WORDS
 ) -> DataFrame:
     """`docs` with the later repeated runs cut out of the text, plus `lines_cut`, the number of lines deleted."""
-    rows, runs = repeated_runs(docs, id_col, text_col, k, w, min_words)
-    joined = rows.join(runs, "__row", "left")
+    found = repeats(docs, id_col, text_col, k, w)
+    keyed = docs.select(*_key(id_col, text_col), *[F.col(c).alias(f"c{n}") for n, c in enumerate(docs.columns)])
+    text = F.col(f"c{docs.columns.index(text_col)}")
+    joined = keyed.join(found, ["__id", "__key"], "left")
+    # Equal rows meet in the join's own partitioning: the second and later ones repeat the first from end to end.
+    twin = F.row_number().over(Window.partitionBy("__id", "__key").orderBy("__id")) > 1
+    joined = joined.withColumn("__twin", twin)
+
+    def long_enough(ls: Column, spans: Column) -> Column:
+        joined = lambda s: F.array_join(F.slice(ls, s["a"] + 1, s["b"] - s["a"]), "")
+        return F.filter(spans, lambda s: word_count(joined(s)) >= min_words)
+
+    def spans_of(ls: Column) -> Column:
+        runs = let(line_hashes(text), lambda mine: F.flatten(F.transform("beside", lambda p: equal_runs(mine, p["other"], p["start"], k))))
+        whole = F.array(F.struct(F.lit(0).alias("a"), F.size(ls).alias("b")))
+        spans = F.when(~F.col("__twin"), runs).when(F.size(ls) >= k, whole).otherwise(F.slice(whole, 1, 0))
+        return long_enough(ls, _merged(spans))
 
     def rebuild(ls: Column) -> Column:
-        # Sorted runs: the furthest end so far tells whether a line is inside one. Lines go in stretches between runs.
-        seed = F.struct(F.array().cast("array<string>").alias("kept"), F.lit(0).alias("at"), F.lit(0).alias("cut"))
-
-        def step(acc: Column, r: Column) -> Column:
-            gap = F.greatest(r["a"] - acc["at"], F.lit(0))
-            fresh = F.greatest(r["b"] - F.greatest(r["a"], acc["at"]), F.lit(0))
-            return F.struct(
-                F.concat(acc["kept"], F.slice(ls, acc["at"] + 1, gap)).alias("kept"),
-                F.greatest(acc["at"], r["b"]).alias("at"), (acc["cut"] + fresh).alias("cut"),
-            )
-
-        return F.aggregate(
-            F.col("runs"), seed, step,
-            lambda acc: F.struct(
-                F.array_join(F.concat(acc["kept"], F.slice(ls, acc["at"] + 1, F.size(ls))), "").alias("text"), acc["cut"].alias("cut")
-            ),
-        )
-
-    done = F.when(F.col("runs").isNotNull(), let(lines(F.col(text_col)), rebuild))
-    out = joined.withColumn("__done", done)
-    text = F.when(F.col("runs").isNotNull(), F.col("__done")["text"]).otherwise(F.col(text_col))
+        def cut(spans: Column) -> Column:
+            before = lambda i: F.when(i > 0, spans[i - 1]["b"]).otherwise(0)
+            kept = F.transform(indexes(F.size(spans)), lambda i: F.array_join(F.slice(ls, before(i) + 1, spans[i]["a"] - before(i)), ""))
+            rest = F.array_join(F.slice(ls, before(F.size(spans)) + 1, F.size(ls)), "")
+            gone = F.aggregate(spans, F.lit(0), lambda acc, s: acc + s["b"] - s["a"])
+            return F.struct(F.array_join(F.concat(kept, F.array(rest)), "").alias("text"), gone.alias("cut"))
+
+        return let(spans_of(ls), cut)
+
+    touched = (F.col("beside").isNotNull() | F.col("__twin")) & text.isNotNull()
+    as_is = F.struct(text.alias("text"), F.lit(0).alias("cut"))
+    # Exploding one element keeps the optimizer from working a text out again for every later use of it.
+    done = F.explode(F.array(F.when(touched, let(lines(text), rebuild)).otherwise(as_is))).alias("__done")
+    out = joined.select(*[F.col(f"c{n}") for n, c in enumerate(docs.columns) if c != text_col], done)
     return out.select(
-        *[text.alias(c) if c == text_col else F.col(c) for c in docs.columns],
-        F.coalesce(F.col("__done")["cut"], F.lit(0)).cast("long").alias("lines_cut"),
+        *[(F.col("__done.text") if c == text_col else F.col(f"c{n}")).alias(c) for n, c in enumerate(docs.columns)],
+        F.col("__done.cut").cast("long").alias("lines_cut"),
     )
