@@ -21,7 +21,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeats of runs of lines are cut out; a document that was nothing but repeats goes."""
-    cut = line_winnow.dedup_lines(docs)
+    cut = line_winnow.dedup_lines(docs, short=True)
     cut = cut.where((F.col("lines_cut") == 0) | (F.trim(F.col("text"), F.lit(" \n\r\t")) != ""))
     return cut.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 

@@ -1,13 +1,13 @@
-"""Repeated runs of lines, found by winnowing.
+"""Repeated runs of lines, found by the hashes of short stretches of lines.
 
 A line here ends at a line break or after a punctuation mark and a space, so that a passage pasted into the middle of a
-paragraph still has whole lines. Lines are compared without their outer blanks and closing mark. Hashes of `k`
-consecutive lines are winnowed: the rightmost minimum of every window of `w` is a fingerprint, so any run of k + w - 1
-equal lines shares one. A fingerprint's occurrences are joined with the first document that holds it (by id) only; on the
-diagonal so found both texts are compared to both ends. Equal runs of at least `k` lines are taken together where they
-overlap or touch, and those of at least `min_words` words are deleted from the later place. Only DataFrame functions.
+paragraph still has whole lines. Lines are compared without their outer blanks and closing mark. Every stretch of `k`
+lines has a hash, and so has every shorter one of `min_words` words or more. A stretch is a repeat if an earlier place (by
+id, then place) has the same hash. The lines of all repeats are taken together where they overlap, and those of at least
+`min_words` words are deleted; two short repeats that only stand side by side do not make a long one. So whatever run of whole lines of `min_words` words stands at an earlier place
+too is deleted, however few lines it has. Only DataFrame functions, and work and memory linear in the lines of a text.
 
-Cases: null text stays null; texts of fewer than k lines hold no run; of rows equal in id and text one is treated as any
+Cases: null text stays null; of rows equal in id and text one is treated as any
 other and the rest are cut whole; rows that share an id but not the text are ordered by a hash of the text; the first of several
 equal texts stays whole; an empty table gives an empty result; other columns are passed on untouched.
 """
@@ -24,7 +24,8 @@ LINE_END = r"(?<=\n)|(?<=[.,;:!?]\x20)"
 # The same cuts, with what ends a line left out.
 LINE_MARK = r"[.,;:!?]\x20|\n"
 K_LINES = 3
-WINDOW = 6
+#: Every place has its fingerprints; none is left to a neighbour.
+WINDOW = 1
 MIN_WORDS = 20
 NO_ID = -(2**63)
 
@@ -34,49 +35,22 @@ def lines(text: Column) -> Column:
     return F.split(text, LINE_END, -1)
 
 
-def line_hashes(text: Column) -> Column:
-    return F.transform(F.split(text, LINE_MARK, -1), lambda x: F.xxhash64(F.trim(x, F.lit(" \n\r\t"))))
-
-
-def gram(hashes: Column, i: Column, k: int) -> Column:
-    return F.xxhash64(*[hashes[i + j] for j in range(k)])
+def bare_lines(text: Column) -> Column:
+    return F.transform(F.split(text, LINE_MARK, -1), lambda x: F.trim(x, F.lit(" \n\r\t")))
 
 
-PLACE_BITS = 20
-
-
-def fingerprint_places(hashes: Column, k: int = K_LINES, w: int = WINDOW) -> Column:
-    """Places of the winnowed k-line hashes, in order. Shorter sequences than a window give their one minimum.
-
-    The high bits of a hash with the place counted down in the low ones make one number, whose minimum in a window is the
-    rightmost smallest hash.
-    """
-    low = (1 << PLACE_BITS) - 1
-    coded = F.transform(
-        indexes(F.size(hashes) - (k - 1)),
-        lambda i: F.shiftleft(F.shiftright(gram(hashes, i, k), PLACE_BITS), PLACE_BITS).bitwiseOR(F.lit(low) - i.cast("bigint").bitwiseAND(F.lit(low))),
-    )
-
-    def chosen(c: Column) -> Column:
-        # A window starts at j, so its place is the one from j on with the low bits found.
-        place = lambda j, least: j + F.pmod(F.lit(low) - least.bitwiseAND(F.lit(low)) - j, F.lit(low + 1)).cast("int")
-        whole = F.transform(indexes(F.size(c) - (w - 1)), lambda j: place(j, F.least(*[c[j + x] for x in range(w)])))
-        short = F.array(place(F.lit(0), F.array_min(c)))
-        return F.when(F.size(c) >= w, F.array_distinct(whole)).when(F.size(c) > 0, short).otherwise(F.array().cast("array<int>"))
-
-    return let(coded, chosen)
+def line_hashes(text: Column) -> Column:
+    return F.transform(bare_lines(text), lambda x: F.xxhash64(x))
 
 
-def equal_runs(mine: Column, other: Column, start: Column, k: int) -> Column:
-    """(a, b) stretches of at least k places of `mine` from `start` on that equal `other` place by place."""
-    n = F.least(F.size(other), F.size(mine) - start)
-    breaks = F.filter(indexes(n), lambda i: mine[start + i] != other[i])
+def hashes_and_words(text: Column, most: int) -> Column:
+    """The hashes of the lines as `h`, and as `n` their words, counted up to `most`."""
+    blanks = lambda x: F.octet_length(x) - F.octet_length(F.replace(x, F.lit(" "), F.lit("")))
+    words = lambda x: F.least(blanks(x) + 1, F.lit(most))
+    return let(bare_lines(text), lambda b: F.struct(F.transform(b, lambda x: F.xxhash64(x)).alias("h"), F.transform(b, words).alias("n")))
 
-    def between(x: Column) -> Column:
-        ends = F.filter(indexes(F.size(x) - 1), lambda i: x[i + 1] - x[i] > k)
-        return F.transform(ends, lambda i: F.struct((start + x[i] + 1).alias("a"), (start + x[i + 1]).alias("b")))
 
-    return let(F.concat(F.array(F.lit(-1)), breaks, F.array(F.greatest(n, F.lit(0)))), between)
+PLACE_BITS = 20
 
 
 def word_count(text: Column) -> Column:
@@ -90,52 +64,65 @@ def _key(id_col: str, text_col: str) -> list[Column]:
     return [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("__id"), F.xxhash64(F.col(text_col)).alias("__key")]
 
 
-def repeats(docs: DataFrame, id_col: str, text_col: str, k: int = K_LINES, w: int = WINDOW) -> DataFrame:
-    """(__id, __key, beside): for rows that share a fingerprint with an earlier document, the stretches to compare with.
+def stretch_hashes(table: DataFrame, k: int, min_words: int, short: bool) -> DataFrame:
+    """(hash, __id, __key, mark) of the stretches; mark is k times the first place, plus the number of lines less one.
 
-    `beside` is an array of (start, other): the line hashes of the first document on one diagonal, from the place `start` on.
+    A stretch whose two parts without its last and its first line have hashes of their own needs none: where it repeats, both do.
     """
-    hashed = docs.select(*_key(id_col, text_col), line_hashes(F.coalesce(F.col(text_col), F.lit(""))).alias("h"))
-    table = written(hashed.withColumn("f", let(F.col("h"), lambda h: fingerprint_places(h, k, w))))
-    marks = table.select("__id", "__key", "h", F.explode("f").alias("place")).select(
-        gram(F.col("h"), F.col("place"), k).alias("hash"), "__id", "__key", "place", F.size("h").alias("length")
-    )
-    # Plain sums and minima of numbers, reduced before the shuffle however hot a fingerprint is.
+    at = table.select("__id", "__key", "h", "n", F.explode(indexes(F.size("h") * k)).alias("mark"))
+    place = ((F.col("mark") - F.col("mark") % k) / k).cast("int")
+    at = at.select("__id", "__key", "h", "n", "mark", place.alias("place"), (F.col("mark") % k + 1).alias("length"))
+
+    def long_enough(first: int, length: int) -> Column:
+        if length == k or length == 0 or not short:
+            return F.lit(length == k)
+        return sum((F.get("n", F.col("place") + first + j) for j in range(1, length)), F.get("n", F.col("place") + first)) >= min_words
+
+    hashed = F.lit(None).cast("bigint")
+    for length in range(1, k + 1):
+        parts = long_enough(0, length - 1) & long_enough(1, length - 1)
+        needed = (F.col("length") == length) & (F.col("place") + length <= F.size("h")) & long_enough(0, length) & ~parts
+        hashed = F.when(needed, F.xxhash64(*[F.get("h", F.col("place") + j) for j in range(length)])).otherwise(hashed)
+    return at.select(hashed.alias("hash"), "__id", "__key", "mark").where("hash is not null")
+
+
+def repeats(docs: DataFrame, id_col: str, text_col: str, k: int = K_LINES, min_words: int = MIN_WORDS, short: bool = False) -> DataFrame:
+    """(__id, __key, marks): for rows with stretches that an earlier place has too, the marks of these, at most k a line."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    hashed = docs.select(*_key(id_col, text_col), hashes_and_words(text, min_words).alias("s"))
+    table = written(hashed).select("__id", "__key", "s.h", "s.n")
+    marks = stretch_hashes(table, k, min_words, short)
+    # Plain sums and minima of numbers, reduced before the shuffle however hot a stretch is.
     counted = marks.groupBy("hash").agg(F.count("*").alias("n"), F.min("__id").alias("__first")).where("n > 1").drop("n")
     repeated = marks.join(counted.hint("shuffle_hash"), "hash")
-    heads = repeated.where(F.col("__id") == F.col("__first")).groupBy("hash").agg(F.min(F.struct("__key", "place")).alias("head"))
-    later = repeated.join(heads, "hash").where(F.struct("__id", "__key", "place") > F.struct("__first", "head.__key", "head.place"))
-    diagonals = later.select(
-        "__id", "__key", "__first", F.col("head.__key").alias("__first_key"), (F.col("place") - F.col("head.place")).alias("shift"), "length"
-    ).distinct()
-    # Of the first text only the stretch that can lie beside the later one travels with the pair.
-    begin, start = F.greatest(-F.col("shift"), F.lit(0)), F.greatest(F.col("shift"), F.lit(0))
-    firsts = table.where(F.size("f") > 0).select(F.col("__id").alias("__first"), F.col("__key").alias("__first_key"), F.col("h").alias("other"))
-    pairs = diagonals.join(firsts, ["__first", "__first_key"]).select(
-        "__id", "__key", F.struct(start.cast("int").alias("start"), F.slice("other", begin + 1, F.col("length") - start).alias("other")).alias("pair")
-    )
-    # All diagonals of one text meet here; there are at most as many as it has fingerprints.
-    return pairs.groupBy("__id", "__key").agg(F.collect_list("pair").alias("beside"))
+    heads = repeated.where(F.col("__id") == F.col("__first")).groupBy("hash").agg(F.min(F.struct("__key", "mark")).alias("head"))
+    later = repeated.join(heads, "hash").where(F.struct("__id", "__key", "mark") > F.struct("__first", "head.__key", "head.mark"))
+    return later.groupBy("__id", "__key").agg(F.collect_set("mark").alias("marks"))
 
 
-def _merged(spans: Column) -> Column:
-    """The union of spans as sorted stretches that neither overlap nor touch."""
-    seed = F.struct(F.array().cast("array<struct<a:int,b:int>>").alias("out"), F.lit(-1).alias("a"), F.lit(-1).alias("b"))
-    held = lambda acc: F.concat(acc["out"], F.array(F.struct(acc["a"].alias("a"), acc["b"].alias("b"))))
+def _runs(marks: Column, k: int) -> Column:
+    """The lines of all marked stretches as sorted (a, b) runs, of stretches that overlap one."""
+    first = lambda m: ((m - m % k) / k).cast("int")
+    places = F.array_sort(F.array_distinct(F.flatten(F.transform(marks, lambda m: F.sequence(first(m), first(m) + m % k)))))
+    # Lines that a stretch holds together with the line before.
+    tied = F.flatten(F.transform(F.filter(marks, lambda m: m % k > 0), lambda m: F.sequence(first(m) + 1, first(m) + m % k)))
 
-    def step(acc: Column, r: Column) -> Column:
-        longer = F.struct(acc["out"].alias("out"), acc["a"].alias("a"), F.greatest(acc["b"], r["b"]).alias("b"))
-        fresh = F.struct(F.when(acc["a"] < 0, acc["out"]).otherwise(held(acc)).alias("out"), r["a"].alias("a"), r["b"].alias("b"))
-        return F.when(r["a"] <= acc["b"], longer).otherwise(fresh)
+    def between(e: Column) -> Column:
+        return F.transform(F.array_except(e["places"], e["tied"]), lambda a, j: F.struct(a.alias("a"), e["stops"][j].alias("b")))
 
-    return F.aggregate(F.array_sort(F.array_distinct(spans)), seed, step, lambda acc: F.when(acc["a"] < 0, acc["out"]).otherwise(held(acc)))
+    stops = lambda e: F.array_except(F.transform(e["places"], lambda x: x + 1), e["tied"])
+    found = let(F.struct(places.alias("places"), tied.alias("tied")), lambda e: F.struct(e["places"], e["tied"], stops(e).alias("stops")))
+    return let(found, between)
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K_LINES, w: int = WINDOW, min_words: int = MIN_WORDS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K_LINES, min_words: int = MIN_WORDS, short: bool = False
 ) -> DataFrame:
-    """`docs` with the later repeated runs cut out of the text, plus `lines_cut`, the number of lines deleted."""
-    found = repeats(docs, id_col, text_col, k, w)
+    """`docs` with the later repeated runs cut out of the text, plus `lines_cut`, the number of lines deleted.
+
+    Without `short` only runs of `k` lines or more count; with it any run of whole lines of `min_words` words does.
+    """
+    found = repeats(docs, id_col, text_col, k, min_words, short)
     keyed = docs.select(*_key(id_col, text_col), *[F.col(c).alias(f"c{n}") for n, c in enumerate(docs.columns)])
     text = F.col(f"c{docs.columns.index(text_col)}")
     joined = keyed.join(found, ["__id", "__key"], "left")
@@ -148,10 +135,9 @@ def dedup_lines(
         return F.filter(spans, lambda s: word_count(joined(s)) >= min_words)
 
     def spans_of(ls: Column) -> Column:
-        runs = let(line_hashes(text), lambda mine: F.flatten(F.transform("beside", lambda p: equal_runs(mine, p["other"], p["start"], k))))
         whole = F.array(F.struct(F.lit(0).alias("a"), F.size(ls).alias("b")))
-        spans = F.when(~F.col("__twin"), runs).when(F.size(ls) >= k, whole).otherwise(F.slice(whole, 1, 0))
-        return long_enough(ls, _merged(spans))
+        spans = F.when(~F.col("__twin"), _runs(F.col("marks"), k)).when(F.lit(short) | (F.size(ls) >= k), whole).otherwise(F.slice(whole, 1, 0))
+        return long_enough(ls, spans)
 
     def rebuild(ls: Column) -> Column:
         def cut(spans: Column) -> Column:
@@ -163,7 +149,7 @@ def dedup_lines(
 
         return let(spans_of(ls), cut)
 
-    touched = (F.col("beside").isNotNull() | F.col("__twin")) & text.isNotNull()
+    touched = (F.col("marks").isNotNull() | F.col("__twin")) & text.isNotNull()
     as_is = F.struct(text.alias("text"), F.lit(0).alias("cut"))
     # Exploding one element keeps the optimizer from working a text out again for every later use of it.
     done = F.explode(F.array(F.when(touched, let(lines(text), rebuild)).otherwise(as_is))).alias("__done")

@@ -62,7 +62,7 @@ def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_line_dedup")
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = line_winnow.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    cleaned = line_winnow.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"), short=True)
     return cleaned.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), "lines_cut")
 
 

@@ -263,6 +263,60 @@ def test_line_dedup_on_documents(spark):
     assert got == {i: t for (i, _), t in want.items()}
 
 
+def plain_passages(rows, min_words):
+    """Texts without the later repeats: every run of whole lines of min_words words, and every three lines, that stand earlier too."""
+    key = lambda r: (r[0], signed(xxhash.xxh64_intdigest(r[1].encode(), seed=42)))
+    seen, out = set(), {}
+    for r in sorted(rows, key=key):
+        split = line_winnow_lines(r[1])
+        h = [bare(x) for x in split]
+        gone, tied, n = set(), set(), len(h)
+        for a in range(n):
+            # Brute force over the lengths up to three; longer runs are made of these.
+            for b in range(a + 1, min(n, a + 3) + 1):
+                if b - a == 3 or sum(x.count(" ") + 1 for x in h[a:b]) >= min_words:
+                    if tuple(h[a:b]) in seen:
+                        gone.update(range(a, b))
+                        tied.update(range(a + 1, b))
+                    seen.add(tuple(h[a:b]))
+        for x in sorted(gone - tied):
+            b = next(y for y in range(x + 1, n + 1) if y not in tied)
+            if plain_words_of("".join(split[x:b])) < min_words:
+                gone -= set(range(x, b))
+        out[r[0]] = "".join(x for j, x in enumerate(split) if j not in gone)
+    return out
+
+
+def test_passages_of_few_lines_are_cut(spark):
+    line = lambda seed, n: words(seed, n).replace(".", "").replace(",", "") + ".\n"
+    for lines in ([52], [30, 25], [10, 30, 12], [12] * 4, [10] * 5, [9] * 6, [8] * 7):
+        passage = "".join(line(500 + j, n) for j, n in enumerate(lines))
+        rows = [(i, line(i * 9, 15) + line(i * 9 + 1, 7) + passage + line(i * 9 + 2, 11)) for i in range(12)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {r.doc_id: r.text for r in line_winnow.dedup_lines(docs, short=True).collect()}
+        assert got == {i: t if i == 0 else t.replace(passage, "") for i, t in rows}
+
+
+def test_line_dedup_cuts_every_repeated_passage(spark):
+    got = {r.doc_id: r.text for r in queries.QUERIES["op9_line_dedup"](spark, SF).collect()}
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    assert got == plain_passages(rows, line_winnow.MIN_WORDS)
+    # Whatever run of whole lines of 50 words a later text holds, no earlier one does.
+    seen = set()
+    for i, _ in sorted(rows):
+        own = [bare(x) for x in line_winnow_lines(dict(rows)[i])]
+        left = [bare(x) for x in line_winnow_lines(got[i])]
+        for h, check in ((left, True), (own, False)):
+            for a in range(len(h)):
+                n, b = 0, a
+                while b < len(h) and n < 50:
+                    n, b = n + h[b].count(" ") + 1, b + 1
+                if n >= 50 and check:
+                    assert tuple(h[a:b]) not in seen
+                elif n >= 50:
+                    seen.add(tuple(h[a:b]))
+
+
 def test_empty_tables(spark, edge):
     none = edge.limit(0)
     for build in (pii.personal_data, secret_scan.secrets, syncmers.edited_fingerprints, line_winnow.dedup_lines):
