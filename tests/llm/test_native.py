@@ -317,6 +317,15 @@ def test_line_dedup_cuts_every_repeated_passage(spark):
                     seen.add(tuple(h[a:b]))
 
 
+def test_a_text_of_equal_lines(spark):
+    """Work and memory grow with the lines of a text, not with their square."""
+    row = "| none | none | none |\n"
+    rows = [(1, row * 30_000 + "end of the first"), (2, row * 30_000 + "end of the second"), (3, "\n" * 30_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_winnow.dedup_lines(docs, short=True).collect()}
+    assert got == {1: row + "end of the first", 2: "end of the second", 3: "\n" * 30_000}
+
+
 def test_empty_tables(spark, edge):
     none = edge.limit(0)
     for build in (pii.personal_data, secret_scan.secrets, syncmers.edited_fingerprints, line_winnow.dedup_lines):
