@@ -4,8 +4,11 @@ A k-mer of words is an anchor if the smallest hash among its inner s-mers stands
 k-mer is an anchor depends on its own words alone, so an edit only moves the anchors that touch it, and equal stretches
 of two texts share their anchors. Only DataFrame functions.
 
-Cases: null text counts as empty; a text with fewer than k words has the hash of its whole word sequence as its only
-anchor, and one without words has none (empty fingerprint); two empty fingerprints are alike (1.0); repeated ids are
+A text without any such k-mer, which most of fewer words than k and a few more are, has all its s-mers as anchors instead,
+and whatever it is compared with is compared by s-mers too.
+
+Cases: null text counts as empty; a text with fewer than s words has the hash of its whole word sequence as its only
+anchor, and only one without words has none (empty fingerprint); two texts without words are alike (1.0); repeated ids are
 ordered by their text; a row without id has no next document. Only the id and text columns are read.
 """
 
@@ -21,34 +24,60 @@ S_WORDS = 2
 IDS_PER_BLOCK = 1024
 
 
-def positions(text: Column, k: int = K_WORDS, s: int = S_WORDS) -> Column:
-    """array of (position, hash) of the closed syncmers of a text, in order."""
+SHAPE = "array<struct<position:int,hash:bigint>>"
+
+
+def _words(text: Column) -> Column:
+    return F.filter(F.split(F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")), " "), lambda w: w != "")
+
+
+def _mers(words: Column, s: int) -> Column:
+    pair = [lambda i, j=j: words[i + j] for j in range(s)]
+    return F.transform(indexes(F.size(words) - (s - 1)), lambda i: F.xxhash64(*[f(i) for f in pair]))
+
+
+def _closed(words: Column, k: int, s: int) -> Column:
+    """array of (position, hash) of the closed syncmers."""
     inner = k - s + 1
-    shape = "array<struct<position:int,hash:bigint>>"
 
     def select(mers: Column) -> Column:
         window = lambda i: F.slice(mers, i + 1, F.lit(inner))
         closed = lambda i: let(F.array_min(window(i)), lambda low: (low == mers[i]) | (low == mers[i + inner - 1]))
         chosen = F.filter(indexes(F.size(mers) - (inner - 1)), closed)
-        return F.transform(chosen, lambda i: F.struct(i.alias("position"), F.xxhash64(window(i)).alias("hash"))).cast(shape)
-
-    def of_words(words: Column) -> Column:
-        pair = [lambda i, j=j: words[i + j] for j in range(s)]
-        mers = F.transform(indexes(F.size(words) - (s - 1)), lambda i: F.xxhash64(*[f(i) for f in pair]))
-        whole = F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(words).alias("hash"))).cast(shape)
-        return (
-            F.when(F.size(words) >= k, let(mers, select))
-            .when(F.size(words) > 0, whole)
-            .otherwise(F.array().cast(shape))
-        )
+        return F.transform(chosen, lambda i: F.struct(i.alias("position"), F.xxhash64(window(i)).alias("hash"))).cast(SHAPE)
+
+    return F.when(F.size(words) >= k, let(_mers(words, s), select)).otherwise(F.array().cast(SHAPE))
+
 
-    words = F.split(F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")), " ")
-    return let(F.filter(words, lambda w: w != ""), of_words)
+def _every(words: Column, s: int) -> Column:
+    """array of (position, hash) of all s-mers, or of the one sequence of fewer words."""
+    mers = F.transform(_mers(words, s), lambda h, i: F.struct(i.alias("position"), h.alias("hash"))).cast(SHAPE)
+    whole = F.array(F.struct(F.lit(0).alias("position"), F.xxhash64(words).alias("hash"))).cast(SHAPE)
+    return F.when(F.size(words) >= s, mers).when(F.size(words) > 0, whole).otherwise(F.array().cast(SHAPE))
+
+
+def positions(text: Column, k: int = K_WORDS, s: int = S_WORDS) -> Column:
+    """array of (position, hash) of the anchors of a text, in order: its closed syncmers or, without any, its s-mers."""
+    return let(_words(text), lambda w: let(_closed(w, k, s), lambda c: F.when(F.size(c) > 0, c).otherwise(_every(w, s))))
+
+
+def _hashes(places: Column) -> Column:
+    return F.array_distinct(F.transform(places, lambda a: a["hash"]))
 
 
 def anchors(text: Column, k: int = K_WORDS, s: int = S_WORDS) -> Column:
-    """Distinct syncmer hashes in order of first occurrence."""
-    return F.array_distinct(F.transform(positions(text, k, s), lambda a: a["hash"]))
+    """Distinct anchor hashes in order of first occurrence."""
+    return _hashes(positions(text, k, s))
+
+
+def closed_hashes(text: Column, k: int = K_WORDS, s: int = S_WORDS) -> Column:
+    """Distinct syncmer hashes; none for a text that has its s-mers as anchors."""
+    return let(_words(text), lambda w: _hashes(_closed(w, k, s)))
+
+
+def short_hashes(text: Column, s: int = S_WORDS) -> Column:
+    """Distinct s-mer hashes."""
+    return let(_words(text), lambda w: _hashes(_every(w, s)))
 
 
 def fingerprint(hashes: Column) -> Column:
@@ -62,6 +91,12 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
 
 
+def text_likeness(a: Column, a_text: Column, b: Column, b_text: Column) -> Column:
+    """Likeness of two texts by their closed syncmers, or by their s-mers if either has none."""
+    fine = likeness(short_hashes(a_text), short_hashes(b_text))
+    return F.when((F.size(a) == 0) | (F.size(b) == 0), fine).otherwise(likeness(a, b))
+
+
 def matched_offsets(a: Column, b: Column) -> Column:
     """Shifts between two texts' shared anchors (`positions` of each), commonest first: (shift, anchors)."""
     shared = F.flatten(F.transform(a, lambda x: F.transform(F.filter(b, lambda y: y["hash"] == x["hash"]), lambda y: y["position"] - x["position"])))
@@ -99,14 +134,18 @@ def _compared(rows: DataFrame) -> DataFrame:
     cut = F.floor(n / 4).cast("int")
     head = F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), cut)
     rest = [c for c in rows.columns if c not in ("text", "anchors", "next_text", "next_anchors")]
-    rows = rows.select(*rest, "anchors", "next_anchors", n.cast("long").alias("n_chars"), F.concat(F.substring("text", F.lit(1), n - cut), head).alias("edited"))
-    rows = rows.withColumn("edited_anchors", anchors(F.col("edited")))
+    edited = F.concat(F.substring("text", F.lit(1), n - cut), head).alias("edited")
+    follower = [F.coalesce("next_text", F.lit("")).alias("next_text"), F.coalesce("next_anchors", F.array().cast("array<bigint>")).alias("next_anchors")]
+    rows = rows.select(*rest, "text", "anchors", *follower, n.cast("long").alias("n_chars"), edited)
+    rows = rows.withColumn("edited_anchors", closed_hashes(F.col("edited")))
+    printed = lambda a, text: fingerprint(F.when(F.size(a) == 0, short_hashes(F.col(text))).otherwise(F.col(a)))
+    near = lambda a, text: text_likeness(F.col("anchors"), F.col("text"), F.col(a), F.col(text))
     return rows.select(
         *rest, "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint(F.col("anchors")).alias("fingerprint"),
-        fingerprint(F.col("edited_anchors")).alias("edited_fingerprint"),
-        likeness(F.col("anchors"), F.col("edited_anchors")).alias("near_edited"),
-        likeness(F.col("anchors"), F.coalesce("next_anchors", F.array().cast("array<bigint>"))).alias("near_next"),
+        printed("anchors", "text").alias("fingerprint"),
+        printed("edited_anchors", "edited").alias("edited_fingerprint"),
+        near("edited_anchors", "edited").alias("near_edited"),
+        near("next_anchors", "next_text").alias("near_next"),
     )
 
 
@@ -121,7 +160,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     # Rows without id are no neighbours: they are dealt to blocks of their own by their content.
     rows = rows.select("*", F.floor(ids / IDS_PER_BLOCK).alias("__block"), F.when(ids.isNull(), F.xxhash64("text") % 4096).alias("__lone"))
-    rows = rows.repartition("__block", "__lone").withColumn("anchors", anchors(F.col("text")))
+    rows = rows.repartition("__block", "__lone").withColumn("anchors", closed_hashes(F.col("text")))
     order = Window.partitionBy("__block", "__lone").orderBy(ids, F.xxhash64("text"), "text")
     following = F.when(ids.isNotNull(), F.lead(F.struct("text", "anchors")).over(order))
     placed = rows.withColumn("__next", following).withColumn("__head", F.row_number().over(order) == 1)

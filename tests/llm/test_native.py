@@ -146,6 +146,21 @@ def test_syncmers_are_context_free(spark):
     assert shift[0]["shift"] == 50
 
 
+def test_short_texts_have_fingerprints(spark):
+    """Every text with words has an anchor, and texts are only alike as far as they share words."""
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(n))) for i, n in enumerate([*range(1, 30)] * 4)]
+    docs = spark.createDataFrame([*rows, (1000, ""), (1001, " \n"), (1002, "one")], "doc_id long, text string")
+    got = {r.doc_id: r for r in syncmers.edited_fingerprints(docs).collect()}
+    for i, t in rows:
+        assert got[i].fingerprint and got[i].near_next == 0
+        # The last quarter of the characters is another text's; under 12 words all word pairs are compared.
+        assert got[i].near_edited > 0 or len(t.split()) < 4 or len(t.split()) >= syncmers.K_WORDS
+    assert len({got[i].fingerprint for i, _ in rows}) == len(rows)
+    assert got[1000].fingerprint == got[1001].fingerprint == "" and got[1000].near_next == 1 and got[1001].near_next == 0
+    plain = docs.select("doc_id", syncmers.fingerprint(syncmers.anchors(F.col("text"))).alias("f")).collect()
+    assert all(got[r.doc_id].fingerprint == r.f for r in plain)
+
+
 def test_next_keys(spark):
     keys = [-(2**62), -5, 0, 1, 2, 4095, 4096, 10**7, 2**62]
     got = {r.k: r["__following"] for r in syncmers.next_keys(spark.createDataFrame([(k,) for k in keys], "k long"), "k").collect()}
