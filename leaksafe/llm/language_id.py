@@ -29,9 +29,6 @@ from leaksafe.llm.shared import written
 ORDER = 4
 BITS = 10
 SYMBOLS = 1 << BITS
-#: Rows of the model that may be sent to executors. Beyond it, rare 4-grams of the highest order are left to the lower
-#: orders, as is usual in pruned models.
-MODEL_ROWS = 4_000_000
 CHUNK = 2_000_000
 #: A text is rejected from this many standard errors above its language's mean, and not below this share of the mean.
 REJECT_ERRORS = 12.0
@@ -159,18 +156,24 @@ def fit_language(keys: np.ndarray, counts: np.ndarray) -> LanguageModel:
     return model
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", model_rows: int = MODEL_ROWS) -> dict[str, LanguageModel]:
-    """A model for each language of the labelled rows."""
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", model_rows: int | None = None) -> dict[str, LanguageModel]:
+    """A model for each language of the labelled rows, of all its 4-grams.
+
+    Only a caller that sets `model_rows` gets a pruned model, without the rarest 4-grams.
+    """
     counts = written(gram_counts(docs, text_col, lang_col))
-    steps = [1 << j for j in range(48)]
-    sizes = counts.agg(*[F.sum(F.when(F.col("n") >= s, 1).otherwise(0)).alias(f"r{s}") for s in steps]).first()
-    least = next(s for s in steps if (sizes[f"r{s}"] or 0) <= model_rows)
-    table = counts.where(F.col("n") >= least).toArrow()
-    langs = np.array(table.column("lang").to_pylist(), dtype=object)
+    if model_rows is not None:
+        steps = [1 << j for j in range(48)]
+        sizes = counts.agg(*[F.sum(F.when(F.col("n") >= s, 1).otherwise(0)).alias(f"r{s}") for s in steps]).first()
+        least = next(s for s in steps if (sizes[f"r{s}"] or 0) <= model_rows)
+        counts = counts.where(F.col("n") >= least)
+    table = counts.toArrow()
+    names = table.column("lang").combine_chunks().dictionary_encode()
+    which = names.indices.to_numpy(zero_copy_only=False)
     keys, n = table.column("key").to_numpy(), table.column("n").to_numpy()
     models = {}
-    for lang in sorted(set(langs)):
-        own = langs == lang
+    for place, lang in sorted(enumerate(names.dictionary.to_pylist()), key=lambda x: x[1]):
+        own = which == place
         order = np.argsort(keys[own])
         models[lang] = fit_language(keys[own][order], n[own][order])
     return models
@@ -255,7 +258,7 @@ def known_language(docs: DataFrame, models: dict[str, LanguageModel], text_col:
 
 
 def identify(docs: DataFrame, models: dict[str, LanguageModel], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, lang_pred, score, rejected, cross_entropy (nats per symbol). The models hold at most `MODEL_ROWS` grams."""
+    """Per row: id, lang_pred, score, rejected, cross_entropy (nats per symbol). The models are broadcast whole."""
     rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__body"))
     out = annotate(rows, models, "__body")
     return out.select(F.col("__c0").alias(id_col), *RESULT)

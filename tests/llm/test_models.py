@@ -146,6 +146,17 @@ def test_model_rows_are_bounded(spark):
     assert sum(got[r.doc_id] == r.lang for r in sample) >= 48
 
 
+def test_every_gram_and_language_is_kept(spark):
+    """Millions of 4-grams of one language leave those of a rare one alone."""
+    rng = np.random.default_rng(4)
+    noise = ["".join(map(chr, 0x4E00 + rng.integers(0, 1000, 90_000))) for _ in range(50)]
+    docs = spark.createDataFrame([*((t, "noise") for t in noise), ("ein sehr seltener satz", "rare")], "text string, lang string")
+    models = language_id.train(docs)
+    assert set(models) == {"noise", "rare"} and len(models["noise"].orders[-1].grams) > 4_000_000
+    want = np.unique(language_id.grams(language_id.symbols("ein sehr seltener satz")))
+    assert (models["rare"].orders[-1].grams == want).all()
+
+
 def test_toxicity_held_out(spark):
     got = {r.doc_id: r for r in queries.QUERIES["op7_toxicity"](spark, SF).collect()}
     labels = [r for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
