@@ -1,7 +1,8 @@
 """Toxicity by averaged subword embeddings and a linear softmax, trained together in numpy.
 
 A word is the mean of the embeddings of its character 3- to 5-grams and of itself, hashed to a fixed table, so that a
-misspelling shares most of its vector with the word it hides. A bag is the mean over a short stretch of words, and a
+misspelling shares most of its vector with the word it hides. A run of letters longer than `PIECE` counts as half-overlapping
+pieces, each a word of its own, so that text without blanks is read whole and a toxic piece weighs as a word does. A bag is the mean over a short stretch of words, and a
 linear softmax scores it. A text of any length is judged by a soft maximum over its bags, and so is every training text:
 its label says that some stretch is toxic, not which one.
 
@@ -38,17 +39,24 @@ MIN_TEXTS = 5
 SAMPLE_WORDS = 4000
 CACHE_WORDS = 400_000
 WORD = re.compile(r"\w+")
+PIECE = 40
 
 
 def subwords(word: str) -> list[int]:
     """Buckets of the word and its character 3- to 5-grams."""
-    marked = f"<{word[:40]}>"
+    marked = f"<{word}>"
     parts = {marked} | {marked[i : i + n] for n in (3, 4, 5) for i in range(len(marked) - n + 1)}
     return [zlib.crc32(p.encode("utf-8", "replace")) % BUCKETS for p in sorted(parts)]
 
 
 def words(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+    return [piece for run in WORD.findall(text.lower()) for piece in pieces(run)] if text else []
+
+
+def pieces(run: str) -> list[str]:
+    """A run of up to PIECE characters whole, a longer one in stretches of PIECE that overlap by half."""
+    step = PIECE // 2
+    return [run] if len(run) <= PIECE else [run[a : a + PIECE] for a in range(0, len(run) - step, step)]
 
 
 def bag_bounds(n: int) -> tuple[np.ndarray, np.ndarray]:

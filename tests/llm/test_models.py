@@ -174,6 +174,23 @@ def test_misspellings_share_vectors():
     assert margin("horridscum") > margin("horridscumm") > 3 * abs(margin("gentle")) + 0.5
 
 
+def test_long_runs_are_read_whole():
+    run = "".join(chr(0x4E00 + j) for j in range(1234))
+    for n in (1, 39, 40, 41, 59, 60, 61, 80, 81, 1234):
+        parts = toxicity.pieces(run[:n])
+        assert all(len(p) <= toxicity.PIECE for p in parts)
+        # Whatever has up to half a piece's length stands whole in one of them.
+        size = min(n, toxicity.PIECE // 2)
+        assert all(any(run[a : a + size] in p for p in parts) for a in range(n - size + 1))
+    rng = np.random.default_rng(2)
+    clean = [words(int(s), 60).split() for s in rng.integers(1000, 9000, 120)]
+    toxic = [[*t[:30], "horridscum", *t[30:]] for t in clean[:60]]
+    model = toxicity.fit(clean[60:] + toxic, np.array([0] * 60 + [1] * 60))
+    score = lambda t: model.document(model.word_margins([toxicity.subwords(w) for w in toxicity.words(t)]))
+    glued = "_".join(re.sub("[^a-z]", "", w) for w in clean[70])
+    assert score(f"{glued}_horridscum") > score(glued) + 0.1 and score(f"{glued[:150]}_horridscum_{glued[150:]}") > score(glued) + 0.1
+
+
 def test_toxicity_edges(edge, spark):
     labels = spark.createDataFrame([(4, None), (7, 1), (7, 0), (6, 0), (None, 1)], "doc_id long, toxic int")
     got = toxicity.toxic_documents(edge, labels).collect()
