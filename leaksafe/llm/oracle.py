@@ -63,3 +63,29 @@ SELECT d.doc_id, COUNT(*) FILTER (kind = 'assign') AS n_assign, COUNT(*) FILTER
   COUNT(*) FILTER (verdict = 'live') AS n_live, COUNT(*) FILTER (verdict = 'example') AS n_example
 FROM documents d LEFT JOIN judged j USING (doc_id) GROUP BY d.doc_id
 """
+
+
+OP13 = r"""
+WITH tokens AS MATERIALIZED (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u
+  FROM documents),
+places AS (
+  SELECT doc_id, text, u, len(u) AS n, ('0x' || substr(h, 1, 8))::UBIGINT % (len(u) + 1) AS a,
+    ('0x' || substr(h, 9, 8))::UBIGINT % (len(u) + 1) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+        OR ('0x' || substr(h, 17, 8))::UBIGINT % 100 >= 90 THEN 'plain'
+      WHEN ('0x' || substr(h, 25, 8))::UBIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM tokens),
+sections AS (
+  SELECT doc_id, text, n::BIGINT AS n, form, array_to_string(u[1:least(a, b)::BIGINT], '') AS p,
+    array_to_string(u[least(a, b)::BIGINT + 1:greatest(a, b)::BIGINT], '') AS m,
+    array_to_string(u[greatest(a, b)::BIGINT + 1:], '') AS s
+  FROM places)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM sections
+"""

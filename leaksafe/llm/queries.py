@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaksafe.llm import decontaminate, html_extract, language_id, line_winnow, ngram_join, oracle, packing, pii, secret_scan, syncmers, toxicity
+from leaksafe.llm import decontaminate, fill_in_middle, html_extract, language_id, line_winnow, ngram_join, oracle, packing, pii, secret_scan, syncmers, toxicity
 from leaksafe.llm.shared import documents
 
 QUERIES = {}
-SQL: dict[str, str] = {"op1_ngram_join": oracle.OP1, "op3_secrets": oracle.OP3}
+SQL: dict[str, str] = {"op1_ngram_join": oracle.OP1, "op3_secrets": oracle.OP3, "op13_fill_in_middle": oracle.OP13}
 
 
 def query(name: str):
@@ -69,3 +69,8 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_fingerprints")
 def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.edited_fingerprints(documents(spark, sf_dir))
+
+
+@query("op13_fill_in_middle")
+def fill_in_the_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(documents(spark, sf_dir))
