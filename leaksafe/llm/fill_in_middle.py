@@ -2,11 +2,11 @@
 
 A text is a sequence of units, runs of ASCII letters or single other characters. Hashes of the document's id choose two
 places between units and a form: plain, prefix-suffix-middle or suffix-prefix-middle. No task assembles a text: the
-sections leave as pieces of at most `CHUNK` units, keyed by document and place in the output.
-`repartitionAndSortWithinPartitions` brings a document's pieces together in output order, and they stream into an
-incremental digest. For the restoration the output, as it streams by, is cut at its markers alone; its sections get their
-places in the original text as keys, and the same partitions are sorted anew. Documents stay in their partitions, so the
-second sort has no shuffle. Sorts spill; a task holds one piece at a time and a long document is no special case.
+sections leave as pieces of at most `CHUNK` units, keyed by document and place in the output. Repartitioning by document and
+sorting within partitions brings the pieces together in output order, and they stream into an incremental digest. For the
+restoration the output, as it streams by, is cut at its markers alone; its sections get their places in the original text as
+keys, and the same partitions are sorted anew. Documents stay where they are, so the second sort has no shuffle. The sorts
+are Spark's own and spill; a task holds one batch of pieces at a time and a long document is no special case.
 
 A piece's key is a digest of id and text together with the partition its row was read from, so lost tasks make the same
 keys again, and equal rows, however many, are spread over the tasks that read them. Equal rows of one partition share a
@@ -24,7 +24,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark import RDD
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,13 +39,23 @@ TRANSFORMED_PERCENT = 90
 SPM_PERCENT = 20
 SALT = "1:"
 CHUNK = 4096
-MOST_BYTES = 1 << 20
-DIGESTS = (
-    "doc_id long, n long, form string, prefix_chars long, middle_chars long, output_sha256 string, restored_sha256 string"
+MOST_BYTES = 1 << 16
+FLUSH_BYTES = 1 << 22
+HEAD = "doc_id long, n long, form string, prefix_chars long, middle_chars long"
+# A row at place 0 is a document's head; `output_sha256` and `copies` are known once the output has streamed by.
+PIECES = f"document binary, place int, k int, piece binary, {HEAD}, copies long, output_sha256 string"
+DIGESTS = f"{HEAD}, output_sha256 string, restored_sha256 string"
+TEXTS = f"{HEAD}, output string"
+_HEAD = [("doc_id", pa.int64()), ("n", pa.int64()), ("form", pa.string()), ("prefix_chars", pa.int64()), ("middle_chars", pa.int64())]
+_PIECES = pa.schema(
+    [("document", pa.binary()), ("place", pa.int32()), ("k", pa.int32()), ("piece", pa.binary())]
+    + _HEAD
+    + [("copies", pa.int64()), ("output_sha256", pa.string())]
 )
-TEXTS = "doc_id long, n long, form string, prefix_chars long, middle_chars long, output string"
+_DIGESTS = pa.schema([*_HEAD, ("output_sha256", pa.string()), ("restored_sha256", pa.string())])
+_TEXTS = pa.schema([*_HEAD, ("output", pa.large_string())])
 
-Key = tuple[bytes, tuple[int, int]]
+Rows = Iterator[tuple]
 
 
 def unit_starts(data: np.ndarray) -> np.ndarray:
@@ -118,50 +129,50 @@ def sections(output: Iterator[bytes], form: str) -> Iterator[tuple[int, bytes]]:
         yield place, held
 
 
-def _partition(key: Key) -> int:
-    return int.from_bytes(key[0][:8], "little")
+def _piece(document: bytes, place: int, k: int, part: bytes) -> tuple:
+    return (document, place, k, zlib.compress(part, 1), None, None, None, None, None, None, None)
 
 
 def _emit(salt: str):
-    def emit(partition: int, rows: Iterator) -> Iterator[tuple[Key, object]]:
+    def emit(rows: Rows) -> Rows:
+        partition = TaskContext.get().partitionId()
         for doc_id, text in rows:
             data = text.encode()
             document = hashlib.sha256(f"{partition}:{doc_id}:".encode() + hashlib.sha256(data).digest()).digest()[:16]
             head, output = pieces_of(doc_id, data, salt)
-            yield (document, (0, 0)), head
+            yield (document, 0, 0, None, *head, 1, None)
             for k, piece in enumerate(output):
-                yield (document, (1, k)), zlib.compress(piece, 1)
+                yield _piece(document, 1, k, piece)
 
     return emit
 
 
-def _documents(rows: Iterator[tuple[Key, object]]) -> Iterator[tuple[bytes, tuple, int, Iterator[bytes]]]:
-    """(document, head, how many equal rows, its pieces) from sorted pieces; equal pieces count once."""
+def _documents(rows: Rows) -> Iterator[tuple[bytes, tuple, int, str, Iterator[bytes]]]:
+    """(document, head, how many equal rows, digest of the output, pieces) from sorted rows; equal pieces count once."""
     row = next(rows, None)
     while row is not None:
-        (document, _), head = row
-        copies = 0
-        while row is not None and row[0] == (document, (0, 0)):
-            copies, row = copies + 1, next(rows, None)
+        document, head, output, copies = row[0], row[4:9], row[10], 0
+        while row is not None and row[:2] == (document, 0):
+            copies, row = copies + row[9], next(rows, None)
 
         def stream(document: bytes = document) -> Iterator[bytes]:
             nonlocal row
             before = None
-            while row is not None and row[0][0] == document:
-                if row[0] != before:
-                    before = row[0]
-                    yield zlib.decompress(row[1])
+            while row is not None and row[0] == document:
+                if row[1:3] != before:
+                    before = row[1:3]
+                    yield zlib.decompress(row[3])
                 row = next(rows, None)
 
         own = stream()
-        yield document, head, copies, own
+        yield document, head, copies, output, own
         for _ in own:  # what the reader left
             pass
 
 
-def _digest_output(rows: Iterator) -> Iterator[tuple[Key, object]]:
+def _digest_output(rows: Rows) -> Rows:
     """The digest of each output, and the pieces that its markers cut it into, keyed by their places in the text."""
-    for document, head, copies, output in _documents(rows):
+    for document, head, copies, _, output in _documents(rows):
         digest = hashlib.sha256()
 
         def seen(output=output, digest=digest) -> Iterator[bytes]:
@@ -170,12 +181,12 @@ def _digest_output(rows: Iterator) -> Iterator[tuple[Key, object]]:
                 yield piece
 
         for k, (place, part) in enumerate(sections(seen(), head[2])):
-            yield (document, (place, k)), zlib.compress(part, 1)
-        yield (document, (0, 0)), (head, copies, digest.hexdigest())
+            yield _piece(document, place, k, part)
+        yield (document, 0, 0, None, *head, copies, digest.hexdigest())
 
 
-def _digest_restored(rows: Iterator) -> Iterator[tuple]:
-    for _, (head, copies, output), _, text in _documents(rows):
+def _digest_restored(rows: Rows) -> Rows:
+    for _, head, copies, output, text in _documents(rows):
         digest = hashlib.sha256()
         for part in text:
             digest.update(part)
@@ -183,32 +194,52 @@ def _digest_restored(rows: Iterator) -> Iterator[tuple]:
             yield (*head, output, digest.hexdigest())
 
 
-def _assemble(rows: Iterator) -> Iterator[tuple]:
-    for _, head, copies, output in _documents(rows):
+def _assemble(rows: Rows) -> Rows:
+    for _, head, copies, _, output in _documents(rows):
         text = b"".join(output).decode()
         for _ in range(copies):
             yield (*head, text)
 
 
-def _sorted_pieces(docs: DataFrame, id_col: str, text_col: str, salt: str) -> tuple[RDD, int]:
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _over_batches(work, schema: pa.Schema):
+    """`work` over the rows of a partition, its results in batches of bounded size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def batch() -> pa.RecordBatch:
+            columns = zip(*held, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+        for row in work(row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True)):
+            held.append(row)
+            size += 100 + sum(len(v) for v in row if isinstance(v, bytes | str))
+            if size >= FLUSH_BYTES:
+                yield batch()
+                held, size = [], 0
+        if held:
+            yield batch()
+
+    return run
+
+
+def output_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salt: str = SALT) -> DataFrame:
+    """Documents' heads and compressed output pieces, each document in one partition and in output order."""
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    pieces = rows.select("doc_id", text_of("text")).rdd.mapPartitionsWithIndex(_emit(salt))
-    return pieces.repartitionAndSortWithinPartitions(parts, _partition), parts
+    pieces = rows.select("doc_id", text_of("text").alias("text")).mapInArrow(_over_batches(_emit(salt), _PIECES), PIECES)
+    return pieces.repartition("document").sortWithinPartitions("document", "place", "k")
 
 
 def transform(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salt: str = SALT) -> DataFrame:
     """One row per document with its transformed text."""
-    pieces, _ = _sorted_pieces(docs, id_col, text_col, salt)
-    return docs.sparkSession.createDataFrame(pieces.mapPartitions(_assemble), TEXTS, verifySchema=False)
+    return output_pieces(docs, id_col, text_col, salt).mapInArrow(_over_batches(_assemble, _TEXTS), TEXTS)
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salt: str = SALT) -> DataFrame:
     """One row per document with the digests of its transformed text and of the text rebuilt from that."""
-    pieces, parts = _sorted_pieces(docs, id_col, text_col, salt)
-    cut = pieces.mapPartitions(_digest_output, preservesPartitioning=True)
-    restored = cut.repartitionAndSortWithinPartitions(parts, _partition)
-    return docs.sparkSession.createDataFrame(restored.mapPartitions(_digest_restored), DIGESTS, verifySchema=False)
+    cut = output_pieces(docs, id_col, text_col, salt).mapInArrow(_over_batches(_digest_output, _PIECES), PIECES)
+    restored = cut.sortWithinPartitions("document", "place", "k")
+    return restored.mapInArrow(_over_batches(_digest_restored, _DIGESTS), DIGESTS)
 
 
 def restore(output: Column, form: Column) -> Column:
