@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaksafe.llm import decontaminate, fill_in_middle, html_extract, language_id, line_winnow, ngram_join, oracle, packing, piece_codec, pii, secret_scan, syncmers, toxicity
+from leaksafe.llm import decontaminate, fill_in_middle, html_extract, language_id, line_winnow, ngram_join, oracle, packing, piece_codec, pii, secret_scan, syncmers, toxicity, whitening
 from leaksafe.llm.shared import documents
 
 QUERIES = {}
@@ -71,11 +71,16 @@ def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.edited_fingerprints(documents(spark, sf_dir))
 
 
-@query("op13_fill_in_middle")
-def fill_in_the_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fill_in_middle.digests(documents(spark, sf_dir))
-
-
 @query("op11_piece_codec")
 def piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.round_trip(documents(spark, sf_dir))
+
+
+@query("op12_whitening")
+def whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op13_fill_in_middle")
+def fill_in_the_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(documents(spark, sf_dir))
