@@ -27,6 +27,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -196,16 +197,19 @@ class Normalizer:
 
 
 class Segments(dict):
-    """Ids by segment; short segments are kept until there are too many."""
+    """Ids by segment, as bytes of 32-bit numbers. Of short segments the latest are kept, in two generations."""
 
     def __init__(self, model: Model):
         super().__init__()
-        self.model = model
+        self.model, self.older = model, {}
 
-    def __missing__(self, segment: str) -> tuple[int, ...]:
-        ids = self.model.merged(segment)
+    def __missing__(self, segment: str) -> bytes:
+        ids = self.older.get(segment)
+        if ids is None:
+            ids = np.array(self.model.merged(segment), np.int32).tobytes()
         if len(segment) <= KEPT_CHARS:
             if len(self) >= KEPT_SEGMENTS:
+                self.older = dict(self)
                 self.clear()
             self[segment] = ids
         return ids
@@ -321,7 +325,8 @@ class Model:
     def encode(self, text: str, add_end: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids, and the first and the end byte of each in the original text."""
         normal, source = self.normalize(text)
-        ids = np.fromiter(chain.from_iterable(map(self.segments.__getitem__, chain.from_iterable(self.cut(normal)))), np.int32)
+        found = map(self.segments.__getitem__, chain.from_iterable(self.cut(normal)))
+        ids = np.frombuffer(b"".join(found), np.int32)
         chars, lead = self.chars[ids], self.lead[ids]
         first = np.flatnonzero(lead)
         chars[first + lead[first] - 1] += 1
@@ -384,7 +389,10 @@ def _decoder(path: str):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model(path)
         for batch in batches:
-            texts = [own.decode(ids.as_py() or []) for ids in batch.column(batch.num_columns - 1)]
+            lists = batch.column(batch.num_columns - 1)
+            ids = lists.flatten().to_pylist() if lists.values.null_count else lists.flatten().to_numpy().tolist()
+            sizes = np.cumsum([0, *(n or 0 for n in pc.list_value_length(lists).to_pylist())]).tolist()
+            texts = [own.decode(ids[a:b]) for a, b in zip(sizes, sizes[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], [*batch.schema.names[:-1], "decoded"])
 
     return decode
