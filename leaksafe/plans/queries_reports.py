@@ -574,18 +574,28 @@ def scenario_summary(spark, sf):
 # --- streams -----------------------------------------------------------------------------------
 
 
+POLLS = 4
+
+
 def _stream(spark, sf):
-    """The events as a stream of five files, one a trigger: four stretches of time, the newest first, and repeated polls."""
+    """The events as a stream of polls, one a trigger: stretches of time, the newest first, and a poll of repeats at last.
+
+    A poll comes a day after the one before. Each is as many files as Spark has tasks for it.
+    """
     events = table(spark, sf, "events")
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
-    cuts = [first + (last - first) * k / 4 for k in range(1, 4)]
+    cuts = [first + (last - first) * k / POLLS for k in range(1, POLLS)]
+    files = spark.sparkContext.defaultParallelism
     folder = scratch(spark, "events")
-    bounds = list(zip([None, *cuts], [*cuts, None], strict=True))
-    for low, high in reversed(bounds):
+    polls = []
+    for low, high in reversed(list(zip([None, *cuts], [*cuts, None], strict=True))):
         part = events if low is None else events.filter(F.col("ts") >= F.lit(low))
-        (part if high is None else part.filter(F.col("ts") < F.lit(high))).coalesce(1).write.mode("append").parquet(folder)
-    events.filter(F.col("event_id") % 10 == 3).coalesce(1).write.mode("append").parquet(folder)
-    stream = snapshots.read_snapshots(spark, folder, events.schema, "ts", files_per_trigger=1)
+        polls.append(part if high is None else part.filter(F.col("ts") < F.lit(high)))
+    polls.append(events.filter(F.col("event_id") % 10 == 3))
+    for k, poll in enumerate(polls):
+        poll = poll.withColumn("polled", F.lit(last).cast("timestamp") + F.expr(f"INTERVAL {k} DAYS"))
+        poll.repartition(files, "event_id").write.mode("append").parquet(folder)
+    stream = snapshots.read_snapshots(spark, folder, poll.schema, "ts", files_per_trigger=files)
     return stream.withColumn("book", F.get_json_object("props", "$.k").cast("int") % 5)
 
 
@@ -594,7 +604,7 @@ def stream_dedup(spark, sf):
     out = scratch(spark, "dedup")
     stream = _stream(spark, sf)
     done = snapshots.drain(
-        snapshots.append_new(stream, ["user_id", "event_type"], "ts", f"{out}/table", f"{out}/checkpoint"),
+        snapshots.append_new(stream, ["user_id", "event_type"], "ts", f"{out}/table", f"{out}/checkpoint", delay="1 day", arrived="polled"),
         lambda: snapshots.read_appended(spark, f"{out}/table", stream.schema),
     )
     return done.groupBy("user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts")).agg(
@@ -611,12 +621,12 @@ def stream_dedup(spark, sf):
     """,
 )
 def stream_consensus(spark, sf):
-    # The files come newest first: state must outlast the whole disorder for no row to be late.
     out = scratch(spark, "consensus")
-    stream = snapshots.windowed_consensus(_stream(spark, sf), ["event_type"], "ts", "36500 days", "1 day", "book", "value")
+    keys = ["event_type"]
+    parts = snapshots.consensus_parts(_stream(spark, sf), keys, "ts", "1 day", "book", "value", delay="1 day", arrived="polled")
     done = snapshots.drain(
-        snapshots.consensus_table(stream, f"{out}/table", f"{out}/checkpoint"),
-        lambda: snapshots.read_consensus(spark, f"{out}/table", ["event_type"]),
+        snapshots.consensus_table(parts, keys, f"{out}/table", f"{out}/checkpoint"),
+        lambda: snapshots.read_consensus(spark, parts, keys, f"{out}/table"),
     )
     return done.select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "book_count",
@@ -634,10 +644,11 @@ def stream_consensus(spark, sf):
 def stream_latest(spark, sf):
     out = scratch(spark, "latest")
     stream = _stream(spark, sf).withColumn("cutoff", F.lit("2024-01-25").cast("timestamp"))
-    query_ = snapshots.latest_per_key(
-        stream, ["user_id", "event_type"], "ts", f"{out}/rows", f"{out}/checkpoint", cutoff="cutoff", tie=["event_id"]
+    keys, tie = ["user_id", "event_type"], ["event_id"]
+    done = snapshots.drain(
+        snapshots.latest_per_key(stream, keys, "ts", f"{out}/rows", f"{out}/checkpoint", cutoff="cutoff", tie=tie),
+        lambda: snapshots.read_latest(spark, f"{out}/rows", stream.schema, keys, "ts", tie),
     )
-    done = snapshots.drain(query_, lambda: snapshots.read_latest(spark, f"{out}/rows"))
     return done.select("user_id", "event_type", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "value")
 
 

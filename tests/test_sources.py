@@ -178,10 +178,10 @@ def test_dedup_across_batches(spark, feed, tmp_path):
 
 @pytest.mark.parametrize("files", [1, 3])
 def test_late_snapshots_are_kept(spark, tmp_path, files):
-    """A thousand snapshots over years in three files, the oldest last, then all of them again."""
+    """Two hundred snapshots over as many days in three files, the oldest last, then all of them again."""
     path = str(tmp_path / "feed")
-    rows = spark.range(1000).selectExpr("id AS k", "timestamp'2020-01-01' + make_dt_interval(cast(id AS int)) AS ts", "id / 7 AS v")
-    for low, high in ((700, 1000), (300, 700), (0, 300), (0, 1000)):
+    rows = spark.range(200).selectExpr("id AS k", "timestamp'2020-01-01' + make_dt_interval(cast(id AS int)) AS ts", "id / 7 AS v")
+    for low, high in ((140, 200), (60, 140), (0, 60), (0, 200)):
         rows.filter((F.col("k") >= low) & (F.col("k") < high)).coalesce(1).write.mode("append").parquet(path)
     stream = snapshots.read_snapshots(spark, path, rows.schema, "ts", files_per_trigger=files)
     out = str(tmp_path / "out")
@@ -190,33 +190,140 @@ def test_late_snapshots_are_kept(spark, tmp_path, files):
     assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in rows.collect())
 
 
+@pytest.fixture
+def days_feed(spark, tmp_path):
+    """Twelve daily polls of 100 rows, each with the day before once more, and two polls of days long gone."""
+    path = str(tmp_path / "feed")
+    schema = "k int, book int, ts timestamp, v double, arrived timestamp"
+    day = lambda d: spark.range(100).selectExpr(
+        "cast(id % 7 AS int) AS k", "cast(id % 3 AS int) AS book", f"timestamp'2024-01-01' + make_dt_interval({d}, 0, cast(id AS int)) AS ts",
+        f"id / 7.0 + {d} AS v",
+    )
+    polls = [day(d) if d == 0 else day(d).unionByName(day(d - 1)) for d in range(12)] + [day(-30).unionByName(day(3)), day(-31).unionByName(day(11))]
+    for n, poll in enumerate(polls):
+        poll = poll.withColumn("arrived", F.expr(f"timestamp'2024-01-01' + make_dt_interval({n}, 12)")).selectExpr(*[c.split()[0] for c in schema.split(", ")])
+        poll.selectExpr("*").withColumn("v", F.col("v").cast("double")).coalesce(1).write.mode("append").parquet(path)
+    return path, schema, polls
+
+
+def test_dedup_reads_the_touched_days_only(spark, days_feed, tmp_path, monkeypatch):
+    """The state stays bounded, rows on time are compared with nothing, late ones with their own days."""
+    path, schema, _ = days_feed
+    stream = snapshots.read_snapshots(spark, path, schema, "ts", files_per_trigger=1)
+    out, read, held = str(tmp_path / "out"), [], snapshots.held_rows
+
+    def spy(spark, fields, table, days, before):
+        rows = held(spark, fields, table, days, before)
+        read.append((int(before), days, len(rows.inputFiles())))
+        return rows
+
+    monkeypatch.setattr(snapshots, "held_rows", spy)
+    query = snapshots.append_new(stream, ["k", "book"], "ts", out, str(tmp_path / "cp"), delay="2 days", arrived="arrived")
+    got = snapshots.drain(query, lambda: snapshots.read_appended(spark, out, stream.schema))
+    assert got.count() == got.dropDuplicates(["k", "book", "ts"]).count() == 14 * 100
+    assert [(n, days) for n, days, _ in read] == [(12, ["2023-12-02", "2024-01-04"]), (13, ["2023-12-01"])]
+    assert all(files <= 8 for _, _, files in read)  # what one batch wrote of a day
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(kept) <= 6 * 100
+
+
+def test_a_failed_batch_appends_once(spark, days_feed, tmp_path, monkeypatch):
+    path, schema, _ = days_feed
+    stream = snapshots.read_snapshots(spark, path, schema, "ts", files_per_trigger=2)
+    out, calls, clean = str(tmp_path / "out"), [], snapshots.remove
+
+    def fail_once(spark, paths):
+        calls.append(paths)
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        clean(spark, paths)
+
+    monkeypatch.setattr(snapshots, "remove", fail_once)
+    run = lambda: snapshots.append_new(stream, ["k", "book"], "ts", out, str(tmp_path / "cp"), delay="2 days", arrived="arrived")
+    with pytest.raises(Exception, match="lost"):
+        run().awaitTermination()
+    got = snapshots.drain(run(), lambda: snapshots.read_appended(spark, out, stream.schema))
+    assert got.count() == got.dropDuplicates(["k", "book", "ts"]).count() == 14 * 100
+
+
 def test_consensus_windows(spark, feed, tmp_path):
     path, schema = feed
     out = str(tmp_path / "out")
     stream = snapshots.read_snapshots(spark, path, schema, "ts", files_per_trigger=1)
-    consensus = snapshots.windowed_consensus(stream, ["k"], "ts", "1 day", "10 minutes", "book", "v")
-    query = snapshots.consensus_table(consensus, out, str(tmp_path / "cp"))
-    rows = snapshots.drain(query, lambda: snapshots.read_consensus(spark, out, ["k"])).collect()
+    parts = snapshots.consensus_parts(stream, ["k"], "ts", "10 minutes", "book", "v")
+    query = snapshots.consensus_table(parts, ["k"], out, str(tmp_path / "cp"))
+    rows = snapshots.drain(query, lambda: snapshots.read_consensus(spark, parts, ["k"], out)).collect()
     # The window that is still open is there too.
     assert {(r["k"], r["book_count"], r["line_max"]) for r in rows} == {("a", 2, 3.0), ("b", 1, 5.0), ("a", 1, 7.0)}
 
 
-def test_latest_rewrites_only_touched_buckets(spark, tmp_path):
+@pytest.mark.parametrize("fails", [0, 2, 5])
+def test_late_rows_join_closed_windows(spark, days_feed, tmp_path, monkeypatch, fails):
+    """State goes when a stretch closes, late rows are merged into folded days, a batch that fails halfway counts nothing twice."""
+    path, schema, polls = days_feed
+    out, calls, clean = str(tmp_path / "out"), [], snapshots.remove
+
+    def failing(spark, paths):
+        calls.append(paths)
+        if len(calls) == fails:
+            raise RuntimeError("lost")
+        clean(spark, paths)
+
+    monkeypatch.setattr(snapshots, "remove", failing)
+    stream = snapshots.read_snapshots(spark, path, schema, "ts", files_per_trigger=1)
+    parts = snapshots.consensus_parts(stream, ["k"], "ts", "1 hour", "book", "v", prob="v", delay="1 day", arrived="arrived")
+    run = lambda: snapshots.consensus_table(parts, ["k"], out, str(tmp_path / "cp"))
+    query = run()
+    if fails:
+        with pytest.raises(Exception, match="lost"):
+            query.awaitTermination()
+        query = run()
+    got = snapshots.drain(query, lambda: snapshots.read_consensus(spark, parts, ["k"], out))
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(kept) <= 6 * 7 * 2  # the groups of six stretches of arrival out of fourteen
+    assert snapshots.folded(spark, out) > 0
+    rows = polls[0]
+    for poll in polls[1:]:
+        rows = rows.unionByName(poll)
+    want = rows.groupBy(F.window("ts", "1 hour").alias("w"), "k").agg(
+        F.countDistinct("book"), F.round(F.avg("v"), 9), F.min("v"), F.max("v"), F.round(F.stddev_pop("v"), 9), F.round(F.avg("v"), 9)
+    )
+    cols = ["book_count", F.round("consensus_line", 9), "line_min", "line_max", F.round("line_stddev", 9), F.round("consensus_prob", 9)]
+    same = lambda df: sorted(tuple(r) for r in df.collect())
+    assert same(got.select("window_start", "k", *cols)) == same(want.select("w.start", "k", *want.columns[2:]))
+
+
+def test_latest_writes_what_a_batch_brings(spark, tmp_path):
+    """Batches of 1 % of the keys write about 1 % of the rows; buckets are merged by size and split as they grow."""
     path, out = str(tmp_path / "feed"), str(tmp_path / "out")
-    rows = spark.range(400).selectExpr("id % 40 AS k", "timestamp'2020-01-01' + make_dt_interval(cast(id AS int)) AS ts", "id AS v")
-    # The newest poll comes first; the last file touches one key.
-    rows.filter("v >= 200").coalesce(1).write.mode("append").parquet(path)
-    rows.filter("v < 200").coalesce(1).write.mode("append").parquet(path)
-    for v in (1000, 1001, 1002):
-        spark.sql(f"SELECT 7L AS k, timestamp'2030-01-01' + make_dt_interval({v}) AS ts, {v}L AS v").coalesce(1).write.mode("append").parquet(path)
-    stream = snapshots.read_snapshots(spark, path, rows.schema, "ts", files_per_trigger=1)
-    query = snapshots.latest_per_key(stream, ["k"], "ts", out, str(tmp_path / "cp"), buckets=8)
-    got = {r["k"]: r["v"] for r in snapshots.drain(query, lambda: snapshots.read_latest(spark, out)).collect()}
-    assert got == {k: 360 + k if k != 7 else 1002 for k in range(40)}
-    from leaksafe.sources.tables import existing_partitions
-
-    versions = [existing_partitions(spark, f"{out}/table/__bucket={b}", "__version") for b in range(8)]
-    assert sorted(versions)[-1] == [3, 4] and [v for v in versions if v != [3, 4]] == [[0, 1]] * 7
+    n = 40_000
+    rows = lambda keys, poll: keys.selectExpr("id AS k", f"timestamp'2020-01-01' + make_dt_interval({poll}) AS ts", f"id * 100 + {poll} AS v")
+    rows(spark.range(n), 50).coalesce(1).write.mode("append").parquet(path)
+    rows(spark.range(n), 3).coalesce(1).write.mode("append").parquet(path)  # late: nothing of it stays
+    for poll in range(60, 66):
+        start = (poll - 60) * n // 100
+        rows(spark.range(start, start + n // 100), poll).coalesce(1).write.mode("append").parquet(path)
+    stream = snapshots.read_snapshots(spark, path, "k long, ts timestamp, v long", "ts", files_per_trigger=1)
+    query = snapshots.latest_per_key(stream, ["k"], "ts", out, str(tmp_path / "cp"), bucket_bytes=60_000)
+    read = lambda: snapshots.read_latest(spark, out, stream.schema, ["k"], "ts")
+    got = {r["k"]: r["v"] for r in snapshots.drain(query, read).collect()}
+    assert got == {k: k * 100 + (60 + k // (n // 100) if k < 6 * n // 100 else 50) for k in range(n)}
+    parts = snapshots._parts(spark, out)
+    assert {b.split("_")[0] for b in parts} == {"4"} and len(parts) == 16  # 8 buckets were too large
+    count = lambda p: sum(spark.read.parquet(f"{out}/__bucket={b}/__part={p}").count() for b in parts if p in parts[b])
+    assert count("m0000000001") == n
+    for batch in range(2, 8):
+        assert count(f"d{batch:010d}") == n // 100 and count(f"m{batch:010d}") == 0
+
+
+def test_buckets_of_any_depth(spark):
+    assert snapshots.leaves([], 1) == ["1_0", "1_1"]
+    assert snapshots.leaves(["1_0", "2_1"], 1) == ["1_0", "2_1", "2_3"]  # 1_1 was split, one half has no rows yet
+    assert snapshots.leaves(["1_0", "1_1", "3_1", "2_3"], 1) == ["1_0", "2_3", "3_1", "3_5"]  # a left-over parent gets no rows
+    rows = spark.range(200).selectExpr("id", "xxhash64(id) AS __hash")
+    for bits in (["1_0", "1_1"], ["1_0", "2_3", "3_1", "3_5"]):
+        dealt = snapshots._dealt(rows, bits).collect()
+        assert sorted(r["id"] for r in dealt) == list(range(200)) and {r["__bucket"] for r in dealt} == set(bits)
 
 
 def test_latest_keeps_the_newest(spark, feed, tmp_path):
@@ -225,7 +332,7 @@ def test_latest_keeps_the_newest(spark, feed, tmp_path):
     stream = stream.withColumn("cutoff", F.lit("2024-01-01 00:10:00").cast("timestamp"))
     out = str(tmp_path / "out")
     query = snapshots.latest_per_key(stream, ["k"], "ts", out, str(tmp_path / "cp"), cutoff="cutoff", tie=["book"])
-    got = snapshots.drain(query, lambda: snapshots.read_latest(spark, out))
+    got = snapshots.drain(query, lambda: snapshots.read_latest(spark, out, stream.schema, ["k"], "ts", ["book"]))
     assert sorted((r["k"], r["v"]) for r in got.collect()) == [("a", 3.0), ("b", 5.0)]
 
 
