@@ -390,9 +390,9 @@ def _decoder(path: str):
         own = model(path)
         for batch in batches:
             lists = batch.column(batch.num_columns - 1)
-            ids = lists.flatten().to_pylist() if lists.values.null_count else lists.flatten().to_numpy().tolist()
-            sizes = np.cumsum([0, *(n or 0 for n in pc.list_value_length(lists).to_pylist())]).tolist()
-            texts = [own.decode(ids[a:b]) for a, b in zip(sizes, sizes[1:], strict=False)]
+            ids = lists.flatten().to_numpy()
+            ends = np.cumsum([0, *(n or 0 for n in pc.list_value_length(lists).to_pylist())])
+            texts = [own.decode(ids[a:b].tolist()) for a, b in zip(ends, ends[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], [*batch.schema.names[:-1], "decoded"])
 
     return decode
