@@ -1,12 +1,12 @@
-"""Per-entity rating with period reversion, as window sums instead of recursion.
+"""Per-entity rating with period reversion, as sums and a bounded scan instead of recursion.
 
-An entity's update depends on its own history only, so with d = rating − init each row is
-d ← d·(1 − revert if a new period started) + k·(outcome − expected). With P the running
-product of the reversion factors, d after row n is P_n · Σ δ_i / P_i: two running sums.
-
-P shrinks without end, so the sums start anew after every BLOCK of reversions, chosen so that P
-falls by a factor of 1e-100 in it: a block takes over the value at the end of the one before,
-and what lies further back is less than the last digit of a double.
+An entity's update depends on its own history only: with d = rating − init each row is
+d ← d·(1 − revert if a new period started) + k·(outcome − expected), an affine map. Maps compose, so a whole period is one map:
+within it only the row's own changes add up, and only its first row can bring a reversion. Rows therefore need one window, a
+running sum per period. Periods, aggregated before any shuffle, are put into spans that begin with a reversion, and a span's
+map takes d to keep·d + its sum. What a span begins with is the composition of the maps before it, evaluated from the
+oldest to the newest, without powers and without division. A map more than `reach` spans back counts for less than 1e-100 and is
+left out, which bounds the scan.
 """
 
 from __future__ import annotations
@@ -14,10 +14,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leaksafe.operators.windows import Frame, HotKeys, Running, ordered, profile
+from leaksafe.operators.windows import HotKeys, Running, ordered
 
 
 def affine_rating(
@@ -40,56 +40,72 @@ def affine_rating(
     """Add the rating before and after each row, and the row's position.
 
     `outcome` is 1, 0 or NULL (no change, and then no reversion is carried into the rating
-    after the row). A first row always uses the home expectation. The rating after the row is
-    tagged zone 3.
+    after the row). A first row always uses the home expectation. Periods must not fall along
+    `order`. `hot` is a profile of `[*keys, period]`; without it one is made. The rating after
+    the row is tagged zone 3.
     """
-    if hot is None:
-        hot = profile(df, keys, order)
     keep = 1.0 - revert
     expected_home = 1.0 / (1.0 + 10.0 ** (-hfa / 400.0))
     expected_away = 1.0 / (1.0 + 10.0 ** (hfa / 400.0))
+    inside = [*keys, period]
+    change = lambda expected: F.coalesce(k * (F.col(outcome) - expected), F.lit(0.0))
+    expected = F.when(F.col(home) == 1, expected_home).otherwise(expected_away)
 
-    out = ordered(
-        df, keys, order,
-        {"__prev": Frame("first", period, -1, -1), seq: Running("count", None, inclusive=True)},
-        hot=hot,
+    place = F.struct(*[F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v")).alias(f"o{i}") for i, c in enumerate(order)])
+    row = F.struct(F.col(outcome).isNotNull().alias("counts"), (change(expected_home) - change(expected)).alias("more"))
+    periods = df.groupBy(*inside).agg(
+        F.sum(change(expected)).alias("__s"), F.count(F.lit(1)).alias("__n"), F.min(place).alias("__at"), F.min_by(row, place).alias("__first")
     )
-    new_period = F.col("__prev").isNotNull() & (F.col(period) > F.col("__prev"))
-    expected = F.when((F.col(home) == 1) | (F.col(seq) == 1), expected_home).otherwise(expected_away)
-    out = out.withColumns(
-        {
-            "__new": new_period,
-            "__r": F.when(new_period & F.col(outcome).isNotNull(), 1).otherwise(0),
-            "__delta": F.coalesce(k * (F.col(outcome) - expected), F.lit(0.0)),
-        }
+    by_period = Window.partitionBy(*keys).orderBy("__at")
+    before = by_period.rowsBetween(Window.unboundedPreceding, -1)
+    reverts = F.col("__first.counts") & F.col(period).isNotNull()
+    periods = periods.select(
+        "*", F.sum(reverts.cast("long")).over(by_period.rowsBetween(Window.unboundedPreceding, 0)).alias("__span"),
+        F.sum("__n").over(before).alias("__earlier"),
+    ).withColumn("__s", F.col("__s") + F.when(F.col("__earlier").isNull(), F.col("__first.more")).otherwise(0.0))
+
+    # The composition of the spans before each span; with full reversion only the last of them counts.
+    spans = periods.groupBy(*keys, "__span").agg(F.sum("__s").alias("__s"))
+    by_span = Window.partitionBy(*keys).orderBy("__span")
+    if 0 < keep < 1:
+        reach = math.ceil(100 / -math.log10(keep))
+        maps = F.collect_list("__s").over(by_span.rowsBetween(-reach, -1))
+        begins = keep * F.aggregate(maps, F.lit(0.0), lambda d, s: d * keep + s)
+    else:
+        begins = keep * F.coalesce(F.sum("__s").over(by_span.rowsBetween(Window.unboundedPreceding if keep else -1, -1)), F.lit(0.0))
+    spans = spans.select(*keys, "__span", begins.alias("__begins"))
+    within = Window.partitionBy(*keys, "__span").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    periods = periods.withColumn("__sum", F.coalesce(F.sum("__s").over(within), F.lit(0.0)))
+    starts = _joined(periods, spans, [*keys, "__span"]).select(
+        *inside, (F.col("__begins") + F.col("__sum")).alias("__start"), "__earlier", "__first"
     )
-    out = ordered(out, keys, order, {"__all": Running("sum", "__r", inclusive=True)}, hot=hot)
-    # With no reversion at all there is one block; with full reversion each is a block of its own.
-    block = 1 if keep <= 0 else math.ceil(100 / -math.log10(keep)) if keep < 1 else 2**62
-    out = out.withColumns({"__b": F.floor(F.col("__all") / block), "__rn": F.col("__all") % block})
-    scaled = F.col("__delta") / F.pow(F.lit(keep), F.col("__rn"))
-    inside = [*keys, "__b"]
-    out = ordered(
-        out, inside, order,
-        {"__sum": Running("sum", scaled, inclusive=True), "__before": Running("sum", scaled)},
-        hot=HotKeys(tuple(inside)) if hot.fine is None else None,
+
+    rows = ordered(
+        df.withColumn("__delta", change(expected)), inside, order,
+        {"__in": Running("sum", "__delta", inclusive=True), "__rn": Running("count", None, inclusive=True)},
+        hot=hot,
     )
-    # The first row of a block sees the total of the block before in the row above; the block's other rows take it from there.
-    out = ordered(out, keys, order, {"__above": Frame("first", "__sum", -1, -1), "__was": Frame("first", "__b", -1, -1)}, hot=hot)
-    end = F.when(F.col("__b") > F.col("__was"), F.pow(F.lit(keep), F.lit(block - 1)) * F.col("__above"))
-    out = ordered(out.withColumn("__end", end), keys, order, {"__carry": Running("last", "__end", inclusive=True)}, hot=hot)
-    carry = F.coalesce("__carry", F.lit(0.0))
-    power = lambda n: F.pow(F.lit(keep), n)
-    d_post = power(F.col("__rn")) * F.col("__sum") + power(F.col("__rn") + 1) * carry
-    # Before the row: one reversion less if the row brings one.
-    steps = F.col("__rn") - F.col("__r")
-    d_prev = F.when(F.col("__before").isNull(), F.lit(0.0)).otherwise(power(steps) * F.col("__before")) + power(steps + 1) * carry
+    out = _joined(rows, starts, inside)
+    opens, first = F.col("__rn") == 1, F.col("__earlier").isNull()
+    more = F.when(first, F.col("__first.more")).otherwise(0.0)
+    d_post = F.col("__start") + F.col("__in") + more
+    d_pre = d_post - F.col("__delta") - F.when(opens, more).otherwise(0.0)
+    # A first row without outcome shows the reversion, and nothing carries it on.
+    shown = opens & ~first & ~F.col("__first.counts") & F.col(period).isNotNull()
     out = out.withColumns(
         {
-            pre: init + F.when(F.col("__new"), keep * d_prev).otherwise(d_prev),
+            pre: init + F.when(shown, keep * d_pre).otherwise(d_pre),
             post: init + d_post,
+            seq: F.col("__rn") + F.coalesce("__earlier", F.lit(0)),
         }
     )
-    return out.drop(
-        "__prev", "__new", "__r", "__delta", "__all", "__b", "__rn", "__sum", "__before", "__above", "__was", "__end", "__carry"
-    ).withMetadata(post, {"zone": 3})
+    return out.select(*df.columns, seq, pre, post).withMetadata(post, {"zone": 3})
+
+
+def _joined(rows: DataFrame, side: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Each row with its one row of `side`; NULL meets NULL."""
+    side = side.withColumnsRenamed({c: f"__j_{c}" for c in on})
+    same = F.lit(True)
+    for c in on:
+        same = same & F.col(c).eqNullSafe(F.col(f"__j_{c}"))
+    return rows.join(side, same).drop(*[f"__j_{c}" for c in on])

@@ -369,7 +369,7 @@ def int_team_power_rating(games: DataFrame, form: DataFrame) -> DataFrame:
     )
     order = ["season", "week", "game_id"]
     rated = affine_rating(
-        regular, ["team"], order, "season", "win_flag", "home_flag", pre="pre", post="post", hot=profile(regular, ["team"], order)
+        regular, ["team"], order, "season", "win_flag", "home_flag", pre="pre", post="post", hot=profile(regular, ["team", "season"], order)
     )
     attack, defence = F.col("epa_pp_blended"), F.col("def_epa_pp_blended")
     power = form.select(

@@ -472,10 +472,11 @@ def wide_mart(spark, sf):
     keys = ["o_custkey", "season"]
     base = order_form(spark, sf)
     orders = table(spark, sf, "orders").withColumn("season", F.year("o_orderdate"))
-    # A customer that is hot decides both windows; profile the wider key once per use.
+    # Form and rating run over the same keys in the same order: one profile serves both.
+    hot = profile(orders, keys, ORDER)
     form = rolling.lagged(
         base, keys, ORDER, ["o_totalprice", "return_rate"], {"std": None},
-        names={("o_totalprice", "std"): "price_std", ("return_rate", "std"): "rate_std"}, hot=profile(orders, keys, ORDER),
+        names={("o_totalprice", "std"): "price_std", ("return_rate", "std"): "rate_std"}, hot=hot,
     )
     nations = (
         table(spark, sf, "customer")
@@ -483,7 +484,7 @@ def wide_mart(spark, sf):
         .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
     out = form.withColumns(_sides())
-    out = affine_rating(out, ["o_custkey"], ORDER, "season", "outcome", "home", hot=profile(orders, ["o_custkey"], ORDER))
+    out = affine_rating(out, ["o_custkey"], ORDER, "season", "outcome", "home", hot=hot)
     out = marts.assemble(out, [marts.Join(nations, {"o_custkey": "c_custkey"}, {"nation": "n_name", "region": "r_name"})])
     out = out.withColumns(
         {"lines_available": F.col("n_lines").isNotNull().cast("int"), "split": marts.temporal_split("season", 1998, 1999)}

@@ -155,7 +155,7 @@ def _recursion(games, k=20.0, init=1500.0, hfa=65.0, revert=0.33):
     return out
 
 
-@pytest.mark.parametrize("rows_per_task", [None, 20])
+@pytest.mark.parametrize("rows_per_task", [None, 10])
 def test_rating_equals_recursion(spark, rows_per_task):
     rng = np.random.default_rng(5)
     data, want = [], {}
@@ -164,7 +164,7 @@ def test_rating_equals_recursion(spark, rows_per_task):
         want[e] = _recursion(games)
         data += [(e, i, s, o, h) for i, (s, o, h) in enumerate(games)]
     df = spark.createDataFrame(data, "e long, i long, season int, outcome int, home int")
-    hot = profile(df, ["e"], ["i"], rows_per_task=rows_per_task)
+    hot = profile(df, ["e", "season"], ["i"], rows_per_task=rows_per_task)
     assert (hot.fine is not None) == (rows_per_task is not None)
     out = affine_rating(df, ["e"], ["i"], "season", "outcome", "home", hot=hot)
     for r in out.collect():
