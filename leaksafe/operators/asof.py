@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leaksafe.functions.clocks import epoch
@@ -147,11 +147,45 @@ def latest_safe_forecast(
     *,
     prefix: str = "",
 ) -> DataFrame:
-    """Bitemporal pick: the latest run strictly before the cutoff, then its target nearest to `at`."""
+    """Bitemporal pick: the latest run strictly before the cutoff, then its target nearest to `at`.
+
+    Each distinct question (key, cutoff, instant) is answered once. Questions and runs, both distinct, share a time line per
+    key, which carries the latest run to each question; questions and facts then share one per key and run, read
+    in both directions. So the facts are exchanged once, by key and run, which spreads a key with many rows; rows that
+    ask the same meet only in the join that brings the answers back, whose skew Spark splits. Nothing is counted
+    beforehand. Ties as in `nearest`; rows without a match stay, with NULL.
+    """
     cols = list(cols or [c for c in right.columns if c not in on])
-    runs = right.filter(F.col(run_ts).isNotNull()).select(*on, run_ts).distinct().withColumn("__run_tie", F.lit(0))
-    with_run = latest_before(left, runs, on, cutoff, run_ts, "__run_tie", cols=[run_ts], prefix="__latest_")
-    run = f"__latest_{run_ts}"
-    targets = right.withColumn(run, F.col(run_ts).cast("timestamp"))
-    with_run = with_run.withColumn(run, F.col(run).cast("timestamp"))
-    return nearest(with_run, targets, [*on, run], at, target_ts, tie, cols, prefix=prefix).drop(run)
+    moment = lambda c: F.col(c).cast("timestamp")
+    asked = [*on, "__cut", "__t"]
+    left = left.select("*", moment(cutoff).alias("__cut"), moment(at).alias("__t"))
+    questions = left.select(*asked).dropna().distinct()
+    facts = right.select(*on, moment(run_ts).alias("__run"), moment(target_ts).alias("__t"), F.col(tie).alias("__tie"), F.struct(*cols).alias("__right"))
+    facts = facts.dropna(subset=["__run", *on])
+
+    runs = facts.select(*on, "__run").distinct().select("*", F.col("__run").alias("__x"), F.lit(1).alias("__side"))
+    line = questions.select("*", F.col("__cut").alias("__x"), F.lit(0).alias("__side")).unionByName(runs, allowMissingColumns=True)
+    earlier = Window.partitionBy(*on).orderBy("__x", "__side").rowsBetween(Window.unboundedPreceding, -1)
+    line = line.withColumn("__latest", F.max("__run").over(earlier)).where((F.col("__side") == 0) & F.col("__latest").isNotNull())
+    questions = line.select(*asked, F.col("__latest").alias("__run"), F.lit(1).alias("__side"))
+
+    facts = facts.where(F.col("__t").isNotNull()).select("*", F.lit(0).alias("__side"), F.col("__t").alias("__at"))
+    line = questions.unionByName(facts, allowMissingColumns=True)
+    own = Window.partitionBy(*on, "__run")
+    onward, back = own.orderBy("__t", "__side", "__tie"), own.orderBy(F.desc("__t"), "__side", "__tie")
+    so_far = lambda c, order: F.last(c, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    line = line.select(
+        *asked, "__side",
+        so_far("__right", onward).alias("__back"), so_far("__right", back).alias("__ahead"),
+        so_far("__at", onward).alias("__back_t"), so_far("__at", back).alias("__ahead_t"),
+    )
+    behind_by, ahead_by = epoch("__t") - epoch("__back_t"), epoch("__ahead_t") - epoch("__t")
+    use_back = F.col("__back_t").isNotNull() & (F.col("__ahead_t").isNull() | (behind_by <= ahead_by))
+    match = F.when(use_back, F.col("__back")).otherwise(F.col("__ahead"))
+    answers = line.where(F.col("__side") == 1).select(*[F.col(c).alias(f"__q_{c}") for c in asked], match.alias("__match"))
+    same = F.lit(True)
+    for c in asked:
+        same = same & (left[c] == answers[f"__q_{c}"])
+    out = left.join(answers, same, "left")
+    kept = [c for c in left.columns if c not in ("__cut", "__t")]
+    return out.select(*[left[c] for c in kept], *[F.col("__match").getField(c).alias(prefix + c) for c in cols])

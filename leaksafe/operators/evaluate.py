@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leaksafe.functions.features import _c
-from leaksafe.operators.windows import Running, ordered
+from leaksafe.operators.windows import global_rank
 
 EPS = 1e-7
 
@@ -172,22 +172,13 @@ def line_value(df: DataFrame, pred, open_, close) -> DataFrame:
     )
 
 
-def line_value_tiles(
-    df: DataFrame, pred, open_, close, tie: Sequence[str], tiles: int = 4, *, rows_per_task: int | None = None
-) -> DataFrame:
-    """The same agreement per tile of movement size: exact tiles over the whole frame.
-
-    Positions come from `ordered` with no key, which cuts a large frame into blocks, so no task
-    sees all rows.
-    """
-    rows = _line_rows(df, pred, open_, close).select("__size", "__agree", *tie)
-    rows = ordered(
-        rows, [], ["__size", *tie], {"__rn": Running("count", None, inclusive=True)}, rows_per_task=rows_per_task
-    )
-    base, extra = divmod(rows.count(), tiles)  # the first `extra` tiles hold one row more
+def line_value_tiles(df: DataFrame, pred, open_, close, tie: Sequence[str], tiles: int = 4) -> DataFrame:
+    """The same agreement per tile of movement size: exact tiles over the whole frame, by `global_rank`."""
+    rows = global_rank(_line_rows(df, pred, open_, close).select("__size", "__agree", *tie), ["__size", *tie], "__rn", "__all")
+    base, extra = F.floor(F.col("__all") / tiles), F.col("__all") % tiles  # the first `extra` tiles hold one row more
     wide = extra * (base + 1)
     tile = F.when(F.col("__rn") <= wide, F.ceil(F.col("__rn") / (base + 1))).otherwise(
-        extra + F.ceil((F.col("__rn") - wide) / max(base, 1))
+        extra + F.ceil((F.col("__rn") - wide) / F.greatest(base, F.lit(1)))
     )
     return rows.groupBy(tile.cast("int").alias("movement_tile")).agg(
         F.count(F.lit(1)).alias("n"),

@@ -52,6 +52,49 @@ def either_key_join(
     return matched.unionByName(missing, allowMissingColumns=True)
 
 
+LEVELS = 16  # widths of interval bins: 16 to the level, up to what a long holds
+OPEN = LEVELS  # the level of ranges without end
+
+
+def _ordinal(value: Column, kind: str) -> Column:
+    """A number whose order is that of the values, for dates, instants and numbers."""
+    if kind == "date":
+        return F.unix_date(value).cast("bigint")
+    if kind.startswith("timestamp"):
+        return F.unix_micros(value.cast("timestamp"))
+    return F.floor(value).cast("bigint")
+
+
+def _bin(level: int, value: Column) -> Column:
+    return F.lit(0).cast("bigint") if level == OPEN else F.shiftright(value, 4 * level)
+
+
+def interval_bins(dim: DataFrame, start: str, end: str) -> DataFrame:
+    """The rows of a dimension once for each bin their range touches: one or two, as wide as the range or up to 16 times wider."""
+    kind = dim.schema[start].dataType.simpleString()
+    low, high = _ordinal(F.col(start), kind), _ordinal(F.col(end), dim.schema[end].dataType.simpleString())
+    length = high.cast("double") - low.cast("double")
+    level, bins = F.lit(OPEN), F.array(F.lit(0).cast("bigint"))
+    for k in reversed(range(LEVELS)):
+        fits = F.col(end).isNotNull() & (length < float(16**k))
+        level = F.when(fits, k).otherwise(level)
+        bins = F.when(fits, F.array_distinct(F.array(_bin(k, low), _bin(k, high)))).otherwise(bins)
+    real = dim.where(F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(start) <= F.col(end))))
+    return real.select("*", level.alias("__level"), F.explode(bins).alias("__bin"))
+
+
+def _candidates(asked: DataFrame, dim: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+    """(key, at) with every range of the key that shares a bin, before the range itself is looked at."""
+    binned = interval_bins(dim, start, end)
+    # The widths there are, at most LEVELS + 1. A question looks into one bin of each.
+    levels = binned.agg(F.sort_array(F.collect_set("__level"))).scalar()
+    place = _ordinal(F.col("__at"), asked.schema["__at"].dataType.simpleString())
+    spots = F.array(*[_bin(k, place) for k in range(LEVELS + 1)])
+    asked = asked.select(*keys, "__at", F.explode(levels).alias("__level"), spots.alias("__spots"))
+    asked = asked.select(*keys, "__at", "__level", F.get("__spots", F.col("__level")).alias("__bin"))
+    return asked.join(binned, [*keys, "__level", "__bin"]).drop("__level", "__bin")
+
+
 def validity_join(
     df: DataFrame,
     dim: DataFrame,
@@ -61,19 +104,25 @@ def validity_join(
     end: str = "season_end",
     how: str = "left",
 ) -> DataFrame:
-    """Join a dimension row whose inclusive [start, end] range holds `at`.
+    """Join a dimension row whose inclusive [start, end] range holds `at`. A NULL `end` means open.
 
-    The key is an equi-join key, the range a residual. Whether the dimension is broadcast is left
-    to the size Spark measures at run time; nothing is counted beforehand. A NULL `end` means open.
+    Each distinct (key, at) is looked up once, in bins: a range lies in the one or two bins of its own width that it touches,
+    and a question looks into one bin of every width that occurs, by equality of key, width and bin. So a key with many
+    versions pairs a question with the few around it, not with all. The answers come back in a plain equi-join,
+    whose skew Spark splits. Nothing is counted beforehand.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    at = F.col(at) if isinstance(at, str) else at
+    rows = df.withColumn("__at", F.col(at) if isinstance(at, str) else at)
     kept = [c for c in dim.columns if c not in keys]
-    right = dim.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *kept)
-    condition = (F.col(start) <= at) & (at <= F.coalesce(F.col(end), at))
-    for k in keys:
-        condition = condition & (df[k] == right[f"__k_{k}"])
-    return df.join(right, condition, how).drop(*[f"__k_{k}" for k in keys])
+    side = dim.select(*keys, *[F.col(c).alias(f"__d_{c}") for c in kept])
+    low, high = F.col(f"__d_{start}"), F.col(f"__d_{end}")
+    found = _candidates(rows.select(*keys, "__at").dropna().distinct(), side, keys, f"__d_{start}", f"__d_{end}")
+    found = found.where((low <= F.col("__at")) & (F.col("__at") <= F.coalesce(high, F.col("__at"))))
+    answers = found.select(*[F.col(c).alias(f"__k_{c}") for c in [*keys, "__at"]], *[F.col(f"__d_{c}").alias(c) for c in kept])
+    same = F.lit(True)
+    for c in [*keys, "__at"]:
+        same = same & (rows[c] == answers[f"__k_{c}"])
+    return rows.join(answers, same, how).drop("__at", *[f"__k_{c}" for c in [*keys, "__at"]])
 
 
 def prior_period(

@@ -225,6 +225,27 @@ def ordered(
     return _blocked(df, names, order, outputs, descending, hot).drop(*drop)
 
 
+def global_rank(df: DataFrame, order: Sequence[str], rank: str = "rank", total: str = "total") -> DataFrame:
+    """Add the position of each row in the whole frame, from 1, and the number of rows.
+
+    `order` must be a total order. Rows are dealt to ranges of it and sorted there, whatever their number, so equal values
+    spread over tasks as the later columns of `order` tell them apart. Positions within a range and one count per
+    range add up. The dealt rows are kept in the checkpoint folder, for ranges are drawn by sampling and both the counts
+    and the rows must see the same.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id())
+    placed = checkpoint(placed).withColumns({"__range": F.shiftright("__id", 33), "__place": F.col("__id").bitwiseAND((1 << 33) - 1)})
+    counts = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    by_range = Window.partitionBy(F.lit(0)).orderBy("__range")  # one row per range
+    sums = counts.select(
+        "__range", F.coalesce(F.sum("__n").over(by_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
+        F.sum("__n").over(Window.partitionBy(F.lit(0))).alias(total),
+    )
+    out = placed.join(F.broadcast(sums), "__range").withColumn(rank, F.col("__before") + F.col("__place") + 1)
+    return out.select(*df.columns, rank, total)
+
+
 def _blocked(df, names, order, outputs, descending, hot) -> DataFrame:
     columns = df.columns
     # A plain column is its own measure; expressions and row counts become columns of their own.

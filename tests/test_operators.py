@@ -34,6 +34,39 @@ def test_validity_is_inclusive(spark, frame, rows, broadcast):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+@pytest.mark.parametrize("kind", ["int", "date", "timestamp", "double"])
+def test_validity_equals_brute_force(spark, kind):
+    """Overlapping, open, empty and missing ranges, questions before all and after all of them."""
+    rng = np.random.default_rng(3)
+    ranges = [(i, int(rng.integers(0, 3)), int(rng.integers(-50, 50)), int(rng.integers(0, 40)) ** 2) for i in range(120)]
+    ranges = [(i, k, None if i % 17 == 0 else a, None if i % 11 == 0 else a + n - (9 if i % 13 == 0 else 0)) for i, k, a, n in ranges]
+    asked = [(i, None if i % 19 == 0 else int(rng.integers(0, 4)), None if i % 23 == 0 else int(rng.integers(-100, 2000))) for i in range(300)]
+    cast = {"int": "{}", "date": "date_add(date'2000-01-01', {})", "timestamp": "timestamp'2000-01-01' + make_dt_interval({})", "double": "{} + 0.5D"}[kind]
+    dim = spark.createDataFrame(ranges, "d int, k int, s int, e int").selectExpr("d", "k", cast.format("s") + " AS s", cast.format("e") + " AS e")
+    rows_ = spark.createDataFrame(asked, "i int, k int, at int").selectExpr("i", "k", cast.format("at") + " AS at")
+    want = []
+    for i, k, at in asked:
+        found = [d for d, dk, s, e in ranges if k == dk and at is not None and s is not None and s <= at and (e is None or at <= e)]
+        want += [(i, d) for d in found] or [(i, None)]
+    key = lambda r: (r[0], r[1] or -1)
+    for how, expected in (("left", want), ("inner", [w for w in want if w[1] is not None])):
+        out = joins.validity_join(rows_, dim, "k", "at", "s", "e", how)
+        assert out.columns == ["i", "k", "at", "d", "s", "e"]
+        assert sorted(((r["i"], r["d"]) for r in out.collect()), key=key) == sorted(expected, key=key)
+
+
+def test_many_versions_of_one_key_stay_linear(spark):
+    """One key with 100,000 versions and 100,000 questions."""
+    n = 100_000
+    dim = spark.range(n).selectExpr("'a' AS k", "id * 5 AS s", f"if(id = {n - 1}, null, id * 5 + id % 5) AS e", "id AS v")
+    asked = spark.range(n).selectExpr("'a' AS k", "id * 7 % 500000 AS __at").distinct()
+    pairs = joins._candidates(asked, dim, ["k"], "s", "e").count()
+    assert pairs < 8 * n
+    out = joins.validity_join(asked.withColumnRenamed("__at", "at"), dim, "k", "at", "s", "e")
+    right = F.when((F.col("at") % 5 <= F.floor(F.col("at") / 5) % 5) | (F.col("at") >= 5 * (n - 1)), F.floor(F.col("at") / 5))
+    assert out.filter(~F.col("v").eqNullSafe(right)).count() == 0 and out.count() == n
+
+
 def test_prior_period_and_fill(frame, rows):
     now = frame("k string, p int", ("a", 1), ("a", 2))
     agg = frame("k string, p int, v int", ("a", 1, 10))

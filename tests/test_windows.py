@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from leaksafe.operators import asof, evaluate, rolling, schedule
 from leaksafe.operators.ratings import affine_rating
-from leaksafe.operators.windows import Frame, Running, ordered, profile
+from leaksafe.operators.windows import Frame, Running, global_rank, ordered, profile
 
 OUTPUTS = {
     "n": Running("count", None, inclusive=True),
@@ -271,14 +273,49 @@ def test_first_and_last_ignore_missing_order(frame, rows):
     assert rows(asof.last_per_key(df, ["k"], "t", ["v"]), "k")[0] == ("a", 2, 2)
 
 
-@pytest.mark.parametrize("rows_per_task", [None, 40])
-def test_tiles_equal_ntile(spark, rows_per_task):
+@pytest.mark.parametrize("n", [0, 3, 501])
+def test_tiles_equal_ntile(spark, n):
     rng = np.random.default_rng(2)
     # A third of all rows share one movement.
-    data = [(i, float(rng.normal()), 3.0, 3.0 - (1.0 if i % 3 == 0 else float(rng.integers(0, 9)))) for i in range(501)]
+    data = [(i, float(rng.normal()), 3.0, 3.0 - (1.0 if i % 3 == 0 else float(rng.integers(0, 9)))) for i in range(n)]
     df = spark.createDataFrame(data, "id long, pred double, o double, c double")
-    out = evaluate.line_value_tiles(df, "pred", "o", "c", ["id"], rows_per_task=rows_per_task)
+    out = evaluate.line_value_tiles(df.repartition(5), "pred", "o", "c", ["id"])
     got = {r["movement_tile"]: (r["n"], round(r["mean_movement"], 9)) for r in out.collect()}
     sizes = sorted((abs(o - c), i) for i, _, o, c in data)
     tiles = np.array_split(np.array([s for s, _ in sizes]), 4)
-    assert got == {i + 1: (len(t), round(float(t.mean()), 9)) for i, t in enumerate(tiles)}
+    assert got == {i + 1: (len(t), round(float(t.mean()), 9)) for i, t in enumerate(tiles) if len(t)}
+
+
+def test_global_rank_spreads_ties(spark):
+    """Equal values lie in several ranges, and ranks have no gap."""
+    df = spark.range(4000).selectExpr("id", "cast(if(id % 3 = 0, 5, id % 11) AS int) AS v")
+    out = global_rank(df.repartition(6, "id"), ["v", "id"])
+    rows = sorted(tuple(r) for r in out.collect())
+    want = {i: k + 1 for k, (_, i) in enumerate(sorted((5 if i % 3 == 0 else i % 11, i) for i in range(4000)))}
+    assert [(i, r, t) for i, _, r, t in rows] == [(i, want[i], 4000) for i in range(4000)]
+    assert out.groupBy(F.spark_partition_id()).count().count() > 1
+
+
+def test_safe_forecast_equals_brute_force(spark):
+    """Ties, NULLs and repeated questions; one exchange of the facts, by key and run."""
+    rng = np.random.default_rng(7)
+    left = [(i, None if i % 13 == 0 else int(rng.integers(0, 4)), None if i % 17 == 0 else int(rng.integers(0, 40)), int(rng.integers(0, 60))) for i in range(300)]
+    left += [(300 + i, 1, 20, 30) for i in range(200)]  # a third of all rows ask the same
+    right = [(i, None if i % 19 == 0 else int(rng.integers(0, 4)), int(rng.integers(0, 40)) // 4 * 4, None if i % 23 == 0 else int(rng.integers(0, 60))) for i in range(400)]
+    at = lambda c: F.timestamp_seconds(F.col(c) * 3600).alias(c)
+    lefts = spark.createDataFrame(left, "id long, k long, cutoff long, at long").select("id", "k", at("cutoff"), at("at"))
+    rights = spark.createDataFrame(right, "rid long, k long, run long, target long").select("rid", "k", at("run"), at("target"))
+    out = asof.latest_safe_forecast(lefts, rights, ["k"], "cutoff", "run", "at", "target", "rid", ["rid"], prefix="f_")
+    assert out.columns == ["id", "k", "cutoff", "at", "f_rid"]
+    want = []
+    for i, k, cutoff, when in left:
+        runs = [r[2] for r in right if k is not None and r[1] == k and cutoff is not None and r[2] < cutoff]
+        options = [r for r in right if runs and r[1] == k and r[2] == max(runs) and r[3] is not None]
+        best = min(options, key=lambda r: (abs(r[3] - when), r[3], -r[0])) if options else None
+        want.append((i, best[0] if best else None))
+    assert sorted((r["id"], r["f_rid"]) for r in out.collect()) == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # Distinct runs, and the facts once.
+    assert len(re.findall(r"Exchange hashpartitioning\(k#\d+L, __run#", plan)) == 2
+
+
