@@ -215,7 +215,7 @@ def test_common_subsequence():
 
 def test_pipeline_stages(spark):
     """Each stage's output against its own input by plain rules."""
-    from tests.llm.test_native import plain_dedup
+    from tests.llm.test_native import plain_passages
     from leaksafe.llm import line_winnow
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
@@ -229,8 +229,9 @@ def test_pipeline_stages(spark):
             assert docs.columns == columns
     assert len(out["language_id"]) >= 0.995 * len(given)
     assert {(r.doc_id, r.text) for r in out["language_id"]} <= {(r.doc_id, r.text) for r in given}
-    cut = plain_dedup([(r.doc_id, r.text) for r in out["language_id"]], line_winnow.K_LINES, line_winnow.WINDOW, line_winnow.MIN_WORDS)
-    assert {r.doc_id: r.text for r in out["line_dedup"]} == {r[0]: t for r, t in cut.items() if t.strip(" \n\r\t") or t == r[1]}
+    before = {r.doc_id: r.text for r in out["language_id"]}
+    cut = plain_passages([*before.items()], line_winnow.MIN_WORDS)
+    assert {r.doc_id: r.text for r in out["line_dedup"]} == {i: t for i, t in cut.items() if t.strip(" \n\r\t") or t == before[i]}
     assert all(r.n_chars == len(r.text) for r in out["line_dedup"])
     rows = sorted((r.doc_id, r.text) for r in out["line_dedup"])
     first = {i for (i, _), (_, least) in zip(rows, plain_components(rows), strict=True) if i == least}
