@@ -607,7 +607,10 @@ RECURSIVE = {"rated"}
 
 
 def compose(name: str, final: str) -> str:
-    """`final` over everything `name` needs, as one statement."""
+    """`final` over everything `name` needs, as one statement that works out each relation once.
+
+    Relations are materialised: under an outer LIMIT the engine otherwise never ends on some of the marts.
+    """
     done: dict[str, str] = {}
 
     def visit(n: str) -> None:
@@ -619,7 +622,7 @@ def compose(name: str, final: str) -> str:
         done[n] = text.format(**{x: x for x in derived.needs(text)}).strip()
 
     visit(name)
-    body = ",\n".join(f"{n} AS ({text})" for n, text in done.items())
+    body = ",\n".join(f"{n} AS MATERIALIZED ({text})" for n, text in done.items())
     return f"WITH RECURSIVE {body}\n{final}"
 
 
