@@ -99,6 +99,22 @@ def by_segment(df: DataFrame, actual, pred, segments: Mapping[str, object]) -> D
     return rows.groupBy("segment", "label").agg(*regression_columns("__a", "__p"))
 
 
+def by_sets(df: DataFrame, actual, pred, dims: Mapping[str, object], sets: Sequence[Sequence[str]]) -> DataFrame:
+    """Regression metrics for several groupings at once, `()` for all rows, in one pass over the input.
+
+    `grouping` names the columns a row is grouped by; columns it is not grouped by are NULL, as are labels that are.
+    """
+    labels = {f"__d{i}": _c(c).cast("string") for i, c in enumerate(dims.values())}
+    place = dict(zip(dims, labels, strict=True))
+    rows = df.select(_c(actual).alias("__a"), _c(pred).alias("__p"), *[c.alias(n) for n, c in labels.items()])
+    grouped = rows.groupingSets([[place[d] for d in s] for s in sets], *[F.col(c) for c in labels])
+    flags = [F.grouping(c).alias(f"__g{c}") for c in labels]
+    out = grouped.agg(*regression_columns("__a", "__p"), *flags)
+    names = F.concat_ws("+", *[F.when(F.col(f"__g{c}") == 0, F.lit(d)) for d, c in place.items()])
+    metrics = [c for c in out.columns if not c.startswith("__")]
+    return out.select(names.alias("grouping"), *[F.col(c).alias(d) for d, c in place.items()], *metrics)
+
+
 def by_period(df: DataFrame, actual, pred, period: str, line: str | None = None) -> DataFrame:
     """Regression metrics per period, and how often prediction and outcome fall on the same side of the line."""
     a, p = _c(actual), _c(pred)

@@ -276,6 +276,30 @@ def contract(df: DataFrame, rule: Contract, source: str = "") -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def contract_report(df: DataFrame, rule: Contract, source: str = "") -> DataFrame:
+    """A row per required column: whether it is there with the right type, its NULLs and its unknown values. One scan.
+
+    Nothing is raised, so a feed that breaks its contract is reported whole.
+    """
+    types = dict(df.dtypes)
+    counts, rows = [F.count(F.lit(1)).alias("__n")], []
+    for i, (col, family) in enumerate(rule.required.items()):
+        present = col in types
+        value = F.lower(F.col(col)) if rule.lower and present else F.col(col)
+        accepted = list(rule.accepted.get(col, ()))
+        unknown = F.count_if(~value.isin(accepted)) if present and accepted else F.lit(0).cast("bigint")
+        missing = F.count_if(F.col(col).isNull()) if present else F.count(F.lit(1))
+        counts += [missing.alias(f"__m{i}"), unknown.alias(f"__u{i}")]
+        kept = present and (family is None or _family(types[col]) == family)
+        rows.append(
+            F.struct(
+                F.lit(source).alias("source"), F.lit(col).alias("column_name"), F.lit(present).alias("present"), F.lit(kept).alias("type_ok"),
+                F.col(f"__m{i}").alias("missing"), F.col(f"__u{i}").alias("unknown"), F.col("__n").alias("rows"),
+            )
+        )
+    return df.agg(*counts).select(F.inline(F.array(*rows)))
+
+
 # --- coverage and registry ------------------------------------------------------------------
 
 
@@ -305,6 +329,29 @@ def source_registry(spark: SparkSession, sources: Iterable[Mapping]) -> DataFram
     return spark.createDataFrame(rows, _REGISTRY)
 
 
+def registered_coverage(registry: DataFrame, rows: DataFrame, source: str, period: str) -> DataFrame:
+    """What the tables hold of each registered source, and sources in them that nobody registered.
+
+    `status` is ok, late (data begin after the registered start), absent, disabled (switched off, yet there are data) or
+    unregistered.
+    """
+    held = rows.groupBy(F.col(source).alias("__source")).agg(
+        F.min(period).alias("first_period"), F.max(period).alias("last_period"), F.count(F.lit(1)).alias("rows")
+    )
+    out = registry.join(held, F.col("source_name") == F.col("__source"), "full_outer")
+    status = (
+        F.when(F.col("source_name").isNull(), "unregistered")
+        .when(~F.col("enabled"), F.when(F.col("rows").isNull(), "off").otherwise("disabled"))
+        .when(F.col("rows").isNull(), "absent")
+        .when(F.col("first_period") > F.col("coverage_start"), "late")
+        .otherwise("ok")
+    )
+    return out.select(
+        F.coalesce("source_name", "__source").alias("source_name"), "enabled", "coverage_start", "first_period", "last_period",
+        F.coalesce("rows", F.lit(0)).alias("rows"), status.alias("status"),
+    )
+
+
 # --- leakage zones --------------------------------------------------------------------------
 
 ALWAYS_SAFE, CONDITIONAL, NEVER = 1, 2, 3

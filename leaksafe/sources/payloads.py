@@ -13,6 +13,7 @@ from leaksafe.functions.odds import implied_prob, to_decimal
 from leaksafe.operators.clean import remap_expr, standardise
 from leaksafe.operators.quality import ContractViolation
 from leaksafe.operators.reshape import pair_rows, wide_to_long
+from leaksafe.operators.windows import global_rank
 from leaksafe.sources.tables import with_lineage, write_table
 
 # Payload market keys and their names in the contract.
@@ -136,6 +137,11 @@ def _contract_rows(games: DataFrame, variants, source: str, book: str) -> DataFr
     return price_columns(rows)
 
 
+def numbered(df: DataFrame, order: Sequence[str], out: str = "line_no") -> DataFrame:
+    """Lines of a file numbered from 1 in a total order, by ranges of it rather than in one task."""
+    return global_rank(df, list(order), out, "__total").drop("__total")
+
+
 def alternating_lines(
     df: DataFrame, line_no: str, season: int, rules: Sequence[tuple[str, str]] = (), *, source="alternating_csv", book="consensus"
 ) -> DataFrame:

@@ -103,6 +103,57 @@ def write_table(
     return path
 
 
+def content_digest(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per partition the number of rows and two sums over their hashes: equal whatever the order of rows or files.
+
+    Repeated rows count (the plain sum tells them apart, where exclusive-or alone would cancel pairs). Parts
+    add up, so rows are reduced before the shuffle.
+    """
+    columns = [c for c in sorted(df.columns) if c not in by]
+    hashed = df.select(*by, F.xxhash64(*[F.col(f"`{c}`") for c in columns], *[F.col(f"`{c}`").isNull() for c in columns]).alias("__h"))
+    return hashed.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("__h").cast("decimal(38,0)")).alias("hash_sum"), F.bit_xor("__h").alias("hash_xor")
+    )
+
+
+def refresh_changed(df: DataFrame, path: str, by: Sequence[str]) -> DataFrame:
+    """Reload a partitioned table, writing anew only partitions whose rows differ from what is there.
+
+    Returns a row per partition: `status` is new, rewritten, unchanged, or kept (in the table, not in `df`, left as it is).
+    What the table holds is told by digests beside it (`path`.digests), or from its rows where there are none.
+    Data are written before digests: a run that fails in between writes the same partitions again. The newest two versions
+    of the digests stay.
+    """
+    spark, beside = df.sparkSession, f"{path}.digests"
+    came = content_digest(df, by)
+    versions = existing_partitions(spark, beside, "version")
+    if versions:
+        held = spark.read.schema(came.schema).parquet(f"{beside}/version={versions[-1]}")
+    else:
+        held = content_digest(read_or_stub(spark, path, df.schema), by)
+    held = held.withColumnsRenamed({c: f"__held_{c}" for c in held.columns})
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__held_{c}"))
+    both = came.withColumn("__came", F.lit(True)).join(held, same, "full_outer")
+    equal = F.lit(True)
+    for c in ("rows", "hash_sum", "hash_xor"):
+        equal = equal & F.col(c).eqNullSafe(F.col(f"__held_{c}"))
+    status = F.when(F.col("__came").isNull(), "kept").when(F.col("__held_rows").isNull(), "new").when(equal, "unchanged").otherwise("rewritten")
+    either = [F.when(F.col("__came").isNull(), F.col(f"__held_{c}")).otherwise(F.col(c)).alias(c) for c in came.columns]
+    # One row per partition: read back, because the tables it comes from change now.
+    version = f"{beside}/version={versions[-1] + 1 if versions else 0}"
+    both.select(*either, status.alias("status")).write.mode("overwrite").parquet(f"{beside}/planned")
+    planned = spark.read.parquet(f"{beside}/planned")
+    todo = planned.filter(F.col("status").isin("new", "rewritten")).select(*[F.col(c).alias(f"__todo_{c}") for c in by])
+    wanted = F.lit(True)
+    for c in by:
+        wanted = wanted & F.col(c).eqNullSafe(F.col(f"__todo_{c}"))
+    write_table(df.join(todo, wanted, "left_semi"), path, partition=by)
+    planned.drop("status").write.mode("overwrite").parquet(version)
+    return planned.select(*by, "status", "rows")
+
+
 def write_report(df: DataFrame, path: str, kind: str = "csv") -> str:
     writer = df.write.mode("overwrite")
     if kind == "csv":
@@ -132,6 +183,12 @@ def partitions_to_refresh(existing: Iterable[int], wanted: Iterable[int], always
     return list(dict.fromkeys([w for w in wanted if w not in have] + list(always)))
 
 
+def path_part(name: str, type_: str = "string", path: Column | None = None) -> Column:
+    """The value of `name=value` in a row's file path (or any path), NULL where it has none."""
+    found = F.regexp_extract(F.input_file_name() if path is None else path, f"(?:^|/){name}=([^/]+)", 1)
+    return F.when(found != "", found).try_cast(type_)
+
+
 def expand_range(spark: SparkSession, start: int, end: int, name: str = "season") -> DataFrame:
     """All integers of an inclusive range, as a column."""
     return spark.range(start, end + 1).select(F.col("id").cast("int").alias(name))

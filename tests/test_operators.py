@@ -91,6 +91,32 @@ def test_rules_agree_with_checks(spark, frame):
     assert got == {**want, **dict.fromkeys(("broken", "broken_key", "no_table"), ("ERROR", None)), "none": ("PASS", 0), "none_twice": ("PASS", 0)}
 
 
+def test_contracts_are_reported_whole(frame, rows):
+    rule = quality.Contract({"a": "numeric", "b": None, "c": None, "gone": None}, {"c": ("x", "y")}, lower=True)
+    df = frame("a string, b int, c string", ("1", None, "X"), (None, 2, "z"), ("3", None, None))
+    out = quality.contract_report(df, rule, "s")
+    assert rows(out, "column_name") == [
+        ("s", "a", True, False, 1, 0, 3), ("s", "b", True, True, 2, 0, 3), ("s", "c", True, True, 1, 1, 3), ("s", "gone", False, False, 3, 0, 3)
+    ]
+    assert rows(quality.contract_report(df.limit(0), rule), "column_name")[0] == ("", "a", True, False, 0, 0, 0)
+
+
+def test_metrics_by_sets(frame):
+    """Each grouping as by itself, a NULL label apart from `all`."""
+    rng = np.random.default_rng(4)
+    data = [(float(rng.normal()), float(rng.normal()), [None, "u", "v"][i % 3], i % 2) for i in range(60)]
+    df = frame("a double, p double, g string, h int", *data)
+    out = evaluate.by_sets(df, "a", "p", {"g": "g", "h": "h"}, [[], ["g"], ["g", "h"]])
+    got = {(r["grouping"], r["g"], r["h"]): (r["n"], round(r["rmse"], 9)) for r in out.collect()}
+    want = {}
+    for name, label in (("", lambda r: (None, None)), ("g", lambda r: (r[2], None)), ("g+h", lambda r: (r[2], str(r[3])))):
+        for key in {label(r) for r in data}:
+            rest = [r[0] - r[1] for r in data if label(r) == key]
+            want[(name, *key)] = (len(rest), round(float(np.sqrt(np.mean(np.square(rest)))), 9))
+    assert got == want
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
 def test_prior_period_and_fill(frame, rows):
     now = frame("k string, p int", ("a", 1), ("a", 2))
     agg = frame("k string, p int, v int", ("a", 1, 10))

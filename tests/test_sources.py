@@ -153,6 +153,59 @@ def test_snapshots_are_appended_once(frame):
     assert [tuple(r) for r in payloads.append_snapshots(new, old, ["k", "t"]).collect()] == [("a", 2, 6)]
 
 
+# --- refresh by content --------------------------------------------------------------------
+
+
+def test_refresh_writes_changed_partitions_only(spark, frame, tmp_path):
+    """Order, files and NULLs do not matter, repeats and moved values do; partitions that are not given stay."""
+    path = str(tmp_path / "t")
+    schema = "k int, v string, w double, p int"
+    data = [(i, None if i % 5 == 0 else f"v{i}", i / 3, i % 6) for i in range(60)]
+    report = lambda rows: {r["p"]: (r["status"], r["rows"]) for r in tables.refresh_changed(frame(schema, *rows).repartition(3), path, ["p"]).collect()}
+    files = lambda: {p: sorted(f.name for f in (tmp_path / "t" / f"p={p}").glob("*.parquet")) for p in range(6)}
+    assert report(data) == {p: ("new", 10) for p in range(6)}
+    before = files()
+    assert report(list(reversed(data))) == {p: ("unchanged", 10) for p in range(6)} and files() == before
+    moved = [(k, "" if v is None and p == 1 else v, w, p) for k, v, w, p in data if p != 2]  # a NULL becomes empty, partition 2 is not given
+    moved += [r for r in data if r[3] == 3][:2] * 2 + [(99, None, None, None)]
+    moved = [(k, v, w, p) if p != 4 else (k, v, data[(k + 6) % 60][2], p) for k, v, w, p in moved]  # values change places
+    got = report(moved)
+    assert got == {0: ("unchanged", 10), 1: ("rewritten", 10), 2: ("kept", 10), 3: ("rewritten", 14), 4: ("rewritten", 10), 5: ("unchanged", 10), None: ("new", 1)}
+    assert {p for p in range(6) if files()[p] != before[p]} == {1, 3, 4}
+    held = sorted(map(str, map(tuple, tables.read_table(spark, path).select("k", "v", "w", "p").collect())))
+    assert held == sorted(map(str, moved + [r for r in data if r[3] == 2]))
+
+
+def test_refresh_after_a_failure(spark, frame, tmp_path, monkeypatch):
+    """Data are written before digests: what failed in between is written again. Without digests the rows tell."""
+    path = str(tmp_path / "t")
+    rows = [(i, i % 3) for i in range(30)]
+    tables.refresh_changed(frame("k int, p int", *rows), path, ["p"])
+    import shutil
+
+    changed = [(k + (p == 1), p) for k, p in rows]
+    write = tables.write_table
+
+    def fail(*args, **kwargs):
+        write(*args, **kwargs)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(tables, "write_table", fail)
+    with pytest.raises(RuntimeError):
+        tables.refresh_changed(frame("k int, p int", *changed), path, ["p"])
+    monkeypatch.undo()
+    status = lambda: {r["p"]: r["status"] for r in tables.refresh_changed(frame("k int, p int", *changed), path, ["p"]).collect()}
+    assert status() == {0: "unchanged", 1: "rewritten", 2: "unchanged"}
+    shutil.rmtree(path + ".digests")
+    assert status() == dict.fromkeys(range(3), "unchanged")
+
+
+def test_values_in_paths(spark):
+    paths = spark.createDataFrame([("/a/season=2020/week=3/x.parquet",), ("season=1999/x",), ("/a/preseason=7/x",), ("/a/season=abc/x",), (None,)], "p string")
+    out = paths.select(tables.path_part("season", "int", F.col("p")).alias("s"), tables.path_part("week", path=F.col("p")).alias("w"))
+    assert [tuple(r) for r in out.collect()] == [(2020, "3"), (1999, None), (None, None), (None, None), (None, None)]
+
+
 # --- streams ---------------------------------------------------------------------------------
 
 
