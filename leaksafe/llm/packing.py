@@ -32,6 +32,7 @@ from leaksafe.llm.shared import text_of
 WINDOW = 1024
 TIERS = (1024, 512, 256, 128)
 END_ID = 0
+SPECIAL = {"<|endoftext|>": 50256}  # the vocabulary's added token; in a text it is one id, as the `tokenizers` file has it
 FLUSH_TOKENS = 256 * 1024
 STEP_GROUPS = 8
 RANKS = "byte_bpe_50k.tiktoken"
@@ -51,12 +52,12 @@ def encoder(ranks_path: str, pattern: str):
 
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
 
 def token_ids(text: str, ranks_path: str, pattern: str) -> np.ndarray:
     """The ids of a text and its end token, as little-endian unsigned 32-bit numbers."""
-    ids = encoder(ranks_path, pattern).encode_ordinary(text)
+    ids = encoder(ranks_path, pattern).encode(text, allowed_special="all")
     ids.append(END_ID)
     return np.array(ids, dtype="<u4")
 

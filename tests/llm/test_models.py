@@ -25,9 +25,7 @@ def edge(spark):
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
 
 
 def check_pieces(pieces, ids_of):
@@ -75,7 +73,7 @@ def test_packing_edges(edge, tokenizer):
 
 def test_ids_are_those_of_the_tokenizer(tokenizer):
     pattern, path = public_tokenizers.PATTERN, str(public_tokenizers.path(packing.RANKS))
-    odd = ["", " ", "\n\n  x", "<|endoftext|> a", "naïve café 東京 😀👩‍👩‍👧", "a" * 5000, "1234567 12.5%", "don't WE'LL", "  x\t\r\n ", "\x00\x1f�", words(3, 500)]
+    odd = ["", " ", "\n\n  x", "<|endoftext|> a", "a <|endoftext|><|endoftext|>  b<|endoftext", "x" * 20 + "<|endoftext|>", "naïve café 東京 😀👩‍👩‍👧", "a" * 5000, "1234567 12.5%", "don't WE'LL", "  x\t\r\n ", "\x00\x1f�", words(3, 500)]
     for t in odd:
         assert packing.token_ids(t, path, pattern).tolist() == tokenizer.encode(t, add_special_tokens=False).ids + [0]
 
