@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from leaksafe.plans import derived, intermediate, marts
+from leaksafe.plans import derived
+from leaksafe.plans import oracle_columns as named
 from leaksafe.plans.staging import NOT_A_PLAY, POSITION_GROUPS, SPREAD_KEYS, TOTAL_KEYS, WEATHER_CODES
 
 SQL: dict[str, str] = {}
@@ -271,15 +272,15 @@ def blended(m: str) -> str:
 
 
 SQL["int_team_form"] = f"""
-SELECT f.*, {', '.join(f'p.{c}' for c in intermediate.PRIOR)}, {blended('epa_pp')}, {blended('def_epa_pp')}
+SELECT f.*, {', '.join(f'p.{c}' for c in named.PRIOR)}, {blended('epa_pp')}, {blended('def_epa_pp')}
 FROM (SELECT team, season, week, game_id, game_date, points_for, points_against, margin, win_flag, ROW_NUMBER() OVER (PARTITION BY team, season ORDER BY week, game_id) AS game_num_in_season,
-        {lagged(intermediate.FORM_STD, 's')}, {lagged(intermediate.FORM_L5, 'l5')}, {lagged(intermediate.FORM_L3, 'l3')}, COUNT(*) OVER s AS games_played_std, CAST(SUM(win_flag) OVER l5 AS BIGINT) AS wins_l5
+        {lagged(named.FORM_STD, 's')}, {lagged(named.FORM_L5, 'l5')}, {lagged(named.FORM_L3, 'l3')}, COUNT(*) OVER s AS games_played_std, CAST(SUM(win_flag) OVER l5 AS BIGINT) AS wins_l5
       FROM {{int_team_game}} WHERE season_type = 'regular' WINDOW {frames('team, season', l5=5, l3=3)}) f
-LEFT JOIN (SELECT team AS t, season + 1 AS y, {', '.join(f'AVG({c}) AS {o}' for o, c in intermediate.PRIOR.items())} FROM {{int_team_game}} WHERE season_type = 'regular' GROUP BY 1, 2) p ON f.team = p.t AND f.season = p.y
+LEFT JOIN (SELECT team AS t, season + 1 AS y, {', '.join(f'AVG({c}) AS {o}' for o, c in named.PRIOR.items())} FROM {{int_team_game}} WHERE season_type = 'regular' GROUP BY 1, 2) p ON f.team = p.t AND f.season = p.y
 """
 
 _groups = []
-for _g in intermediate.INJURY_GROUPS:
+for _g in named.INJURY_GROUPS:
     for _name, _cond in (("out", "OUT"), ("doubtful", "DOUBTFUL"), ("questionable", "QUESTIONABLE")):
         if _name == "out" or _g in ("QB", "WR"):
             _groups.append(f"COUNT(*) FILTER (grp = '{_g}' AND upper(report_status) = '{_cond}') AS {_g.lower()}_{_name}")
@@ -291,7 +292,7 @@ FROM (SELECT *, {lookup('position', {k: v for k, v in POSITION_GROUPS.items() if
 
 SQL["int_player_game"] = f"""
 SELECT p.player_id, p.full_name, p.position, p.position_group, p.team, p.opponent, p.season, p.week, p.season_type, g.game_id, g.game_date, g.home_team, g.away_team, {one('p.team = g.home_team')} AS home_flag,
-  {plain(' '.join(intermediate.PLAYER_GAME), 'p.')}, {', '.join(f'CASE WHEN {d} > 0 THEN p.{n} / {d} END AS {o}' for o, (n, d) in intermediate.PLAYER_RATIOS.items())}, s.offense_snaps, s.offense_snap_pct
+  {plain(' '.join(named.PLAYER_GAME), 'p.')}, {', '.join(f'CASE WHEN {d} > 0 THEN p.{n} / {d} END AS {o}' for o, (n, d) in named.PLAYER_RATIOS.items())}, s.offense_snaps, s.offense_snap_pct
 FROM {{stg_player_week}} p LEFT JOIN {{stg_games}} g ON p.season = g.season AND p.week = g.week AND (p.team = g.home_team OR p.team = g.away_team) AND g.season_type IN ('regular', 'postseason')
 LEFT JOIN (SELECT *, ROW_NUMBER() OVER (PARTITION BY season, week, team, full_name ORDER BY pfr_player_id) AS rn FROM {{stg_snap_counts_weekly}}) s
   ON p.season = s.season AND p.week = s.week AND p.team = s.team AND p.full_name = s.full_name AND s.rn = 1
@@ -299,13 +300,13 @@ LEFT JOIN (SELECT *, ROW_NUMBER() OVER (PARTITION BY season, week, team, full_na
 
 SQL["int_player_form"] = f"""
 SELECT player_id, full_name, position, position_group, team, season, week, ROW_NUMBER() OVER (PARTITION BY player_id, season ORDER BY week, game_id) AS game_num,
-  {lagged({f'{o}_std': c for o, c in intermediate.PLAYER_STD.items()}, 's')}, {lagged({f'{o}_l4': intermediate.PLAYER_STD[o] for o in intermediate.PLAYER_L4}, 'l4')},
-  {lagged({f'{o}_l2': intermediate.PLAYER_STD[o] for o in intermediate.PLAYER_L2}, 'l2')}, COUNT(*) OVER s AS games_played_std
+  {lagged({f'{o}_std': c for o, c in named.PLAYER_STD.items()}, 's')}, {lagged({f'{o}_l4': named.PLAYER_STD[o] for o in named.PLAYER_L4}, 'l4')},
+  {lagged({f'{o}_l2': named.PLAYER_STD[o] for o in named.PLAYER_L2}, 'l2')}, COUNT(*) OVER s AS games_played_std
 FROM {{int_player_game}} WHERE season_type = 'REG' WINDOW {frames('player_id, season', l4=4, l2=2)}
 """
 
 SQL["int_qb_team_context"] = f"""
-SELECT q.game_id, q.player_id, q.full_name, q.team, q.opponent, q.season, q.week, q.home_flag, q.game_date, {plain(' '.join(intermediate.QB_COLUMNS), 'q.')},
+SELECT q.game_id, q.player_id, q.full_name, q.team, q.opponent, q.season, q.week, q.home_flag, q.game_date, {plain(' '.join(named.QB_COLUMNS), 'q.')},
   q.carries AS qb_carries, q.rushing_yards AS qb_rush_yards, q.rushing_tds AS qb_rush_tds, t.pass_rate, t.offensive_plays, t.pass_epa_per_dropback AS team_pass_epa, t.sacks_allowed AS oline_sacks_allowed,
   o.def_sacks AS opp_def_sacks, o.def_pass_epa_per_dropback AS opp_def_pass_epa, COALESCE(i.wr_burden, 0) + COALESCE(i.te_burden, 0) AS skill_position_injury_burden, i.wr_out, i.te_out
 FROM (SELECT * FROM {{int_player_game}} WHERE position = 'QB' AND attempts >= 5) q LEFT JOIN {{int_team_game}} t ON q.game_id = t.game_id AND q.team = t.team
@@ -418,8 +419,8 @@ def beaten(value: str, line: str) -> str:
     return f"CASE WHEN {value} > {line} THEN 1 WHEN {value} <= {line} THEN 0 END"
 
 
-_form = marts.FORM_BASE + " turnovers_per_game_std:turnovers_pg_std games_played_std:games_played"
-_hurt = "total_injury_burden:injury_burden " + marts.INJURY_BASE
+_form = named.FORM_BASE + " turnovers_per_game_std:turnovers_pg_std games_played_std:games_played"
+_hurt = "total_injury_burden:injury_burden " + named.INJURY_BASE
 SQL["mart_game_modeling_base"] = f"""
 SELECT g.* EXCLUDE (pfr_game_id, espn_game_id, nfl_detail_id), s.schedule_spread_line AS spread_line_nflverse, s.schedule_total_line AS total_line_nflverse, s.schedule_home_ml AS home_ml_nflverse,
   s.schedule_away_ml AS away_ml_nflverse, {side('h', 'home_', _form)}, {side('a', 'away_', _form)}, {side('hi', 'home_', _hurt)}, {side('ai', 'away_', _hurt)},
@@ -429,7 +430,7 @@ FROM {{int_game_base}} g LEFT JOIN {{stg_games}} s ON g.game_id = s.game_id {on_
 """
 
 SQL["mart_team_week_modeling"] = f"""
-SELECT f.team, f.season, f.week, f.game_id, f.game_date, {plain(marts.FORM_WEEK, 'f.')}, i.total_injury_burden, {plain(marts.INJURY_BASE, 'i.')}
+SELECT f.team, f.season, f.week, f.game_id, f.game_date, {plain(named.FORM_WEEK, 'f.')}, i.total_injury_burden, {plain(named.INJURY_BASE, 'i.')}
 FROM {{int_team_form}} f {on_week('int_injury_team_impact', 'i', 'team', 'f')}
 """
 
@@ -443,10 +444,10 @@ SELECT *, {split(2018, 2021)} FROM {{mart_game_modeling_base}} WHERE game_comple
 """
 
 SQL["mart_player_week_projection"] = f"""
-SELECT p.player_id, p.full_name, p.position, p.position_group, p.team, p.season, p.week, {cast(' '.join(f'p.{c}:{c}' for c in marts.PLAYER_FORM.split()), 'DOUBLE')}, w.opponent, w.home_flag, w.game_id,
+SELECT p.player_id, p.full_name, p.position, p.position_group, p.team, p.season, p.week, {cast(' '.join(f'p.{c}:{c}' for c in named.PLAYER_FORM.split()), 'DOUBLE')}, w.opponent, w.home_flag, w.game_id,
   {side('t', 'team_', 'epa_pp_blended:epa_blended pass_epa_std rush_epa_std pass_rate_std pts_for_std')},
   {side('o', 'opp_', 'def_epa_pp_blended:def_epa_blended def_pass_epa_std def_rush_epa_std def_success_rate_allowed_std:def_success_rate def_sacks_std')}, {side('i', 'opp_', 'cb_burden dl_burden lb_burden')},
-  r.report_status AS injury_status, r.sev AS injury_severity_score, {cast(' '.join(f'g.{s.split(":")[0]}:actual_{s.split(":")[1]}' for s in marts.ACTUALS.split()), 'DOUBLE')},
+  r.report_status AS injury_status, r.sev AS injury_severity_score, {cast(' '.join(f'g.{s.split(":")[0]}:actual_{s.split(":")[1]}' for s in named.ACTUALS.split()), 'DOUBLE')},
   {one("upper(r.report_status) IN ('OUT', 'DOUBTFUL')")} AS injury_out_flag
 FROM {{int_player_form}} p {on_week('stg_team_week', 'w', 'team', 'p')} {on_week('mart_team_week_modeling', 't', 'team', 'p')}
 LEFT JOIN {{mart_team_week_modeling}} o ON w.opponent = o.team AND p.season = o.season AND p.week = o.week LEFT JOIN {{int_injury_team_impact}} i ON w.opponent = i.team AND p.season = i.season AND p.week = i.week
@@ -470,13 +471,13 @@ LEFT JOIN {tracking('avg_intended_air_yards')} n ON q.player_id = n.player_id AN
 """
 
 SQL["mart_receiver_projection"] = f"""
-SELECT {plain(marts.PROJECTION_ID + ' targets_per_game_std rec_per_game_std rec_yds_per_game_std rec_tds_per_game_std target_share_std air_yards_share_std wopr_std snap_pct_std targets_per_game_l4 target_share_l4 targets_per_game_l2 rec_epa_per_game_std team_epa_blended team_pass_rate_std team_pts_for_std opp_def_epa_blended opp_def_pass_epa_std opp_cb_burden opp_dl_burden injury_status injury_out_flag actual_targets actual_receptions actual_rec_yards actual_rec_tds actual_fpts_std actual_fpts_ppr', 'p.')},
-  {plain(marts.RECEIVER_TRACKING, 'n.')}
-FROM {{mart_player_week_projection}} p LEFT JOIN {tracking(marts.RECEIVER_TRACKING)} n ON p.player_id = n.player_id AND p.season = n.season AND p.week = n.week WHERE p.position_group IN ('WR', 'TE')
+SELECT {plain(named.PROJECTION_ID + ' targets_per_game_std rec_per_game_std rec_yds_per_game_std rec_tds_per_game_std target_share_std air_yards_share_std wopr_std snap_pct_std targets_per_game_l4 target_share_l4 targets_per_game_l2 rec_epa_per_game_std team_epa_blended team_pass_rate_std team_pts_for_std opp_def_epa_blended opp_def_pass_epa_std opp_cb_burden opp_dl_burden injury_status injury_out_flag actual_targets actual_receptions actual_rec_yards actual_rec_tds actual_fpts_std actual_fpts_ppr', 'p.')},
+  {plain(named.RECEIVER_TRACKING, 'n.')}
+FROM {{mart_player_week_projection}} p LEFT JOIN {tracking(named.RECEIVER_TRACKING)} n ON p.player_id = n.player_id AND p.season = n.season AND p.week = n.week WHERE p.position_group IN ('WR', 'TE')
 """
 
 SQL["mart_rusher_projection"] = f"""
-SELECT {plain(marts.PROJECTION_ID + ' carries_per_game_std rush_yds_per_game_std rush_tds_per_game_std rush_epa_per_game_std carries_per_game_l4 rush_yds_per_game_l4 carries_per_game_l2 snap_pct_std snap_pct_l4 targets_per_game_std rec_per_game_std rec_yds_per_game_std target_share_std team_pass_rate_std team_pts_for_std team_epa_blended opp_def_rush_epa_std opp_lb_burden opp_dl_burden injury_status injury_out_flag actual_carries actual_rush_yards actual_rush_tds actual_targets actual_rec_yards actual_fpts_std actual_fpts_ppr')},
+SELECT {plain(named.PROJECTION_ID + ' carries_per_game_std rush_yds_per_game_std rush_tds_per_game_std rush_epa_per_game_std carries_per_game_l4 rush_yds_per_game_l4 carries_per_game_l2 snap_pct_std snap_pct_l4 targets_per_game_std rec_per_game_std rec_yds_per_game_std target_share_std team_pass_rate_std team_pts_for_std team_epa_blended opp_def_rush_epa_std opp_lb_burden opp_dl_burden injury_status injury_out_flag actual_carries actual_rush_yards actual_rush_tds actual_targets actual_rec_yards actual_fpts_std actual_fpts_ppr')},
   {cast('NULL:rush_efficiency NULL:stacked_box_pct NULL:ryoe NULL:ryoe_per_att NULL:avg_time_to_los', 'DOUBLE')}
 FROM {{mart_player_week_projection}} WHERE position_group = 'RB'
 """
@@ -484,7 +485,7 @@ FROM {{mart_player_week_projection}} WHERE position_group = 'RB'
 _played = "COALESCE(actual_targets, actual_carries, actual_pass_attempts) IS NOT NULL"
 SQL["mart_backtest_player_base"] = f"SELECT *, {split(2015, 2019)} FROM {{mart_player_week_projection}} WHERE {_played}"
 
-_wx = marts.WEATHER_SHARED
+_wx = named.WEATHER_SHARED
 _lines = "(SELECT * FROM {int_market_open_close} WHERE market_type = 'KIND' AND selection = 'SIDE')"
 
 
@@ -582,10 +583,10 @@ SELECT g.* EXCLUDE (pfr_game_id, espn_game_id, nfl_detail_id), st.roof_type AS s
 FROM {{int_game_base}} g {_star} {_trip} {on_game('int_weather_game', 'w')} {_venue} {line_of('spread', 'home', 'o')} {line_of('total', 'over', 'u')} {line_of('moneyline', 'home', 'm')}
 """
 
-SQL["mart_game_modeling_no_market"] = f"SELECT {plain(marts.NO_MARKET)} FROM {{mart_game_modeling}}"
+SQL["mart_game_modeling_no_market"] = f"SELECT {plain(named.NO_MARKET)} FROM {{mart_game_modeling}}"
 
 SQL["mart_backtest_game"] = f"""
-SELECT {plain(marts.BACKTEST, 'g.')}, x.prediction_horizon, x.hours_before_kickoff, s.bucket_line AS spread_at_horizon, {one('s.bucket_line IS NOT NULL')} AS market_available_at_horizon, s.bucket_implied_prob AS win_prob_at_horizon,
+SELECT {plain(named.BACKTEST, 'g.')}, x.prediction_horizon, x.hours_before_kickoff, s.bucket_line AS spread_at_horizon, {one('s.bucket_line IS NOT NULL')} AS market_available_at_horizon, s.bucket_implied_prob AS win_prob_at_horizon,
   t.bucket_line AS total_at_horizon, t.bucket_line / 2 - s.bucket_line / 2 AS implied_home_total_at_horizon, {split(2015, 2019).replace('season', 'g.season')}
 FROM {{mart_game_modeling}} g CROSS JOIN (VALUES ('early_week', 120, 'open'), ('mid_week', 72, '72h'), ('pre_kickoff', 1, '1h')) x(prediction_horizon, hours_before_kickoff, bucket)
 LEFT JOIN {{int_market_time_buckets}} s ON g.game_id = s.game_id AND s.market_type = 'spread' AND s.selection = 'home' AND s.time_bucket = x.bucket
@@ -594,7 +595,7 @@ WHERE g.game_completed_flag = 1 AND g.season_type = 'regular' AND g.home_games_p
 """
 
 SQL["mart_backtest_player"] = f"""
-SELECT x.prediction_horizon, {plain(marts.PLAYER_BACKTEST, 'p.')}, {plain('eff_temp_f eff_wind_mph eff_precip_in wind_bucket adverse_weather_score passing_condition_score total_suppression_score roof_closed_flag weather_source_type', 'w.')},
+SELECT x.prediction_horizon, {plain(named.PLAYER_BACKTEST, 'p.')}, {plain('eff_temp_f eff_wind_mph eff_precip_in wind_bucket adverse_weather_score passing_condition_score total_suppression_score roof_closed_flag weather_source_type', 'w.')},
   CASE p.home_flag WHEN 1 THEN m.opening_home_team_total ELSE m.opening_away_team_total END AS team_implied_total_opening, {split(2015, 2019).replace('season', 'p.season')}
 FROM {{mart_player_week_projection}} p CROSS JOIN (VALUES ('early_week'), ('mid_week'), ('pre_kickoff')) x(prediction_horizon) LEFT JOIN {{int_weather_game}} w ON p.game_id = w.game_id
 LEFT JOIN {{mart_game_modeling}} m ON p.game_id = m.game_id WHERE {_played}

@@ -158,3 +158,23 @@ def test_against_sql(spark, name):
     want = check.normalise(con.execute(contract.oracle_sql()[name]).fetchdf())
     assert list(got.columns) == list(want.columns)
     assert got.equals(want)
+
+
+def test_a_wrong_pair_in_the_code_shows(spark, monkeypatch):
+    """The SQL has column maps of its own: two entries that change places in the code's map are a difference."""
+    import duckdb
+
+    import check
+    from leaksafe.plans import intermediate
+    from leaksafe.plans.queries_relations import comparable
+    from leaksafe.plans.relations import Relations
+
+    swapped = {**intermediate.FORM_STD, "pts_for_std": "points_against", "pts_against_std": "points_for"}
+    con = duckdb.connect()
+    for t in check.TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    want = check.normalise(con.execute(contract.oracle_sql()["int_team_form"]).fetchdf())
+    form = lambda: check.normalise(comparable(Relations(spark, SF)["int_team_form"]).toPandas())
+    assert form().equals(want)
+    monkeypatch.setattr(intermediate, "FORM_STD", swapped)
+    assert not form().equals(want)
