@@ -15,7 +15,7 @@ from leaksafe.operators.quality import with_zone
 from leaksafe.operators.ratings import affine_rating
 from leaksafe.operators.windows import Frame, Running, ordered, profile
 from leaksafe.plans.catalog import Catalog
-from leaksafe.plans.staging import DEFAULT_REST, LINE_TIE, POSITION_GROUPS
+from leaksafe.plans.staging import DEFAULT_REST, LINE_TIE, POSITION_GROUPS, weather_at_kickoff
 
 INTERMEDIATE = Catalog()
 
@@ -385,8 +385,8 @@ def int_team_power_rating(games: DataFrame, form: DataFrame) -> DataFrame:
     return with_zone(out, {"elo_rating_postgame": 3})
 
 
-@INTERMEDIATE.relation("stg_weather_game_kickoff", key=("game_id",), materialise=True, partition=("season",))
-def int_weather_game(weather: DataFrame) -> DataFrame:
+def game_weather(weather: DataFrame, keys: Sequence[str] = ("game_id",)) -> DataFrame:
+    """Effective weather, flags, buckets and scores of each row of kickoff weather."""
     shut = F.col("roof_closed_flag") == 1
     outdoors = F.col("roof_closed_flag") == 0
     temp, wind, rain, snow = (F.col(c) for c in ("temp_f", "wind_mph", "precip_in", "snow_in"))
@@ -404,8 +404,8 @@ def int_weather_game(weather: DataFrame) -> DataFrame:
     }
     winds = ["calm", "mild_wind", "moderate_wind", "strong_wind", "severe_wind"]
     temps = ["extreme_cold", "freezing", "cold", "cool", "mild", "warm", "hot"]
-    out = weather.select(
-        "game_id", "season", "week", "stadium_id", "roof_closed_flag", "open_air_weather_applicable", "weather_source_type",
+    return weather.select(
+        *keys, "season", "week", "stadium_id", "roof_closed_flag", "open_air_weather_applicable", "weather_source_type",
         "forecast_run_ts", "temp_f", "apparent_temp_f", "wind_mph", "wind_gusts_mph", "wind_dir_deg", "precip_in", "rain_in",
         "snow_in", "snow_depth_in", "humidity_pct", "dew_point_f", "pressure_hpa", "weather_condition",
         override(temp, shut, 72.0).alias("eff_temp_f"), override(wind, shut, 0.0).alias("eff_wind_mph"),
@@ -418,11 +418,22 @@ def int_weather_game(weather: DataFrame) -> DataFrame:
         F.when(shut, 0).otherwise(suppression).alias("total_suppression_score"),
         flag(outdoors & (temp < 32) & (wind >= 10)).alias("cold_wind_interaction"),
     )
+
+
+@INTERMEDIATE.relation("stg_weather_game_kickoff", key=("game_id",), materialise=True, partition=("season",))
+def int_weather_game(weather: DataFrame) -> DataFrame:
+    out = game_weather(weather)
     # Observed at kickoff, so never known before; only where and under which roof is.
     known = {"game_id", "season", "week", "stadium_id", "roof_closed_flag", "open_air_weather_applicable", "weather_source_type"}
     return with_zone(out, {c: 3 for c in out.columns if c not in known})
 
 
+@INTERMEDIATE.relation("stg_games", "raw_stadium_metadata", "stg_weather_game_hourly", key=("game_id", "prediction_horizon"))
+def int_weather_horizon(games: DataFrame, stadiums: DataFrame, hourly: DataFrame) -> DataFrame:
+    """The weather of a game as forecast at each prediction horizon: from runs made before it, so known by then."""
+    return game_weather(weather_at_kickoff(games, stadiums, hourly, by_horizon=True), ("game_id", "prediction_horizon", "hours_before_event"))
+
+
 @INTERMEDIATE.relation(
     "stg_games", "stg_travel_context", "raw_team_timezone_reference", "stg_stadium", key=("game_id", "team")
 )

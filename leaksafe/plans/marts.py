@@ -566,6 +566,22 @@ def mart_backtest_game(games, buckets) -> DataFrame:
     )
 
 
+# What of the weather is known at a horizon only as a forecast.
+HORIZON_WEATHER = (
+    "eff_temp_f eff_wind_mph eff_precip_in wind_bucket temp_bucket adverse_weather_score passing_condition_score "
+    "cold_wind_interaction weather_source_type forecast_run_ts"
+)
+
+
+@MARTS.relation("mart_backtest_game", "int_weather_horizon", key=("game_id", "prediction_horizon"))
+def mart_backtest_game_forecast(backtest: DataFrame, weather: DataFrame) -> DataFrame:
+    """The backtest with the weather forecast at each horizon in place of the weather that came; NULL where no run was known yet."""
+    shown = HORIZON_WEATHER.split()
+    held = weather.select("game_id", "prediction_horizon", *shown)
+    out = backtest.drop(*shown).join(held, ["game_id", "prediction_horizon"], "left")
+    return out.select(*backtest.columns)
+
+
 PLAYER_BACKTEST = (
     "player_id full_name position position_group team opponent season week game_id home_flag targets_per_game_std "
     "rec_per_game_std rec_yds_per_game_std target_share_std air_yards_share_std wopr_std snap_pct_std carries_per_game_std "

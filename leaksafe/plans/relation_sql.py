@@ -381,6 +381,27 @@ SELECT game_id, season, week, stadium_id, roof_closed_flag, open_air_weather_app
 FROM (SELECT *, roof_closed_flag = 1 AS shut FROM {{stg_weather_game_kickoff}}) t
 """
 
+SQL["horizons"] = """
+SELECT k.*, x.prediction_horizon, x.hours_before_event, k.kickoff_ts_approx - x.hours_before_event * INTERVAL '1' HOUR AS cutoff
+FROM {kicked} k CROSS JOIN (VALUES ('early_week', 120), ('mid_week', 72), ('pre_kickoff', 1)) x(prediction_horizon, hours_before_event)
+"""
+SQL["weather_horizon"] = f"""
+SELECT k.game_id, k.prediction_horizon, k.hours_before_event, k.season, k.week, k.stadium_id, {plain(WEATHER, 'w.')}, w.weather_type AS weather_source_type, w.forecast_run_ts,
+  {one('k.shut')} AS roof_closed_flag, CASE WHEN k.shut THEN 0 ELSE 1 END AS open_air_weather_applicable
+FROM {{horizons}} k LEFT JOIN (
+  SELECT r.game_id, r.prediction_horizon, h.*, ROW_NUMBER() OVER (PARTITION BY r.game_id, r.prediction_horizon
+    ORDER BY abs(epoch(h.weather_ts) - epoch(r.kickoff_ts_approx)), h.weather_ts, COALESCE(h.weather_code, -1) DESC) AS rn
+  FROM (SELECT k.game_id, k.prediction_horizon, k.kickoff_ts_approx, k.stadium_id, MAX(h.forecast_run_ts) AS run FROM {{horizons}} k
+        JOIN {{stg_weather_game_hourly}} h ON k.stadium_id = h.stadium_id AND h.weather_type = 'forecast' AND h.forecast_run_ts < k.cutoff GROUP BY 1, 2, 3, 4) r
+  JOIN {{stg_weather_game_hourly}} h ON r.stadium_id = h.stadium_id AND h.weather_type = 'forecast' AND h.forecast_run_ts = r.run AND h.weather_ts IS NOT NULL) w
+  ON k.game_id = w.game_id AND k.prediction_horizon = w.prediction_horizon AND w.rn = 1
+"""
+SQL["int_weather_horizon"] = (
+    SQL["int_weather_game"]
+    .replace("SELECT game_id, season", "SELECT game_id, prediction_horizon, hours_before_event, season", 1)
+    .replace("{stg_weather_game_kickoff}", "{weather_horizon}")
+)
+
 SQL["int_team_travel_game"] = f"""
 SELECT t.* EXCLUDE (away_team, home_team), z.home_timezone AS away_team_home_tz FROM (
   SELECT g.game_id, g.season, g.week, g.home_team, g.away_team, x.is_away_team, CASE x.is_away_team WHEN 1 THEN g.away_team ELSE g.home_team END AS team, g.home_team AS game_location_team, s.timezone AS game_venue_tz,
@@ -594,6 +615,12 @@ LEFT JOIN {{int_market_time_buckets}} t ON g.game_id = t.game_id AND t.market_ty
 WHERE g.game_completed_flag = 1 AND g.season_type = 'regular' AND g.home_games_played >= 1 AND g.away_games_played >= 1
 """
 
+_forecast = "eff_temp_f eff_wind_mph eff_precip_in wind_bucket temp_bucket adverse_weather_score passing_condition_score cold_wind_interaction weather_source_type forecast_run_ts"
+SQL["mart_backtest_game_forecast"] = f"""
+SELECT b.* EXCLUDE ({', '.join(_forecast.split())}), {plain(_forecast, 'w.')} FROM {{mart_backtest_game}} b
+LEFT JOIN {{int_weather_horizon}} w ON b.game_id = w.game_id AND b.prediction_horizon = w.prediction_horizon
+"""
+
 SQL["mart_backtest_player"] = f"""
 SELECT x.prediction_horizon, {plain(named.PLAYER_BACKTEST, 'p.')}, {plain('eff_temp_f eff_wind_mph eff_precip_in wind_bucket adverse_weather_score passing_condition_score total_suppression_score roof_closed_flag weather_source_type', 'w.')},
   CASE p.home_flag WHEN 1 THEN m.opening_home_team_total ELSE m.opening_away_team_total END AS team_implied_total_opening, {split(2015, 2019).replace('season', 'p.season')}

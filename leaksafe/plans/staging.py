@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from leaksafe.functions.clocks import at_clock, local_to_utc, minutes_between
 from leaksafe.functions.features import code_ranges, flag, outcome_flag
 from leaksafe.functions.odds import key_distance, side_totals
-from leaksafe.operators import asof, clean, events, joins, reshape
+from leaksafe.operators import asof, clean, events, horizons, joins, reshape
 from leaksafe.operators.consensus import consensus_columns
 from leaksafe.operators.events import Agg
 from leaksafe.plans.catalog import Catalog
@@ -424,13 +424,15 @@ WEATHER = (
 
 
 def weather_at_kickoff(
-    games: DataFrame, stadiums: DataFrame, hourly: DataFrame, *, zone_mode: str = "approx", forecast_hours: int | None = None
+    games: DataFrame, stadiums: DataFrame, hourly: DataFrame, *, zone_mode: str = "approx", forecast_hours: int | None = None,
+    by_horizon: bool = False,
 ) -> DataFrame:
     """One weather row per game: the observation nearest to kickoff.
 
     `zone_mode="approx"` reads the local clock as UTC; "venue" converts it with the stadium's
     zone. With `forecast_hours` the latest forecast run made that long before kickoff is used
-    instead of the observation, which keeps the columns safe before the game.
+    instead of the observation, which keeps the columns safe before the game. `by_horizon` gives
+    a row for each prediction horizon, with the forecast known then.
     """
     clock = F.concat_ws(
         ":",
@@ -448,15 +450,18 @@ def weather_at_kickoff(
     kicked = kicked.select(
         "game_id", "season", "week", "game_date", "kickoff_ts_approx", "stadium_id", "roof", "metadata_roof_type"
     )
+    if by_horizon:
+        kicked = horizons.expand(kicked)
     hourly = hourly.withColumn("__tie", F.coalesce("weather_code", F.lit(-1)))
     taken = [*WEATHER, "weather_type", "forecast_run_ts"]
-    if forecast_hours is None:
+    if forecast_hours is None and not by_horizon:
         rows = hourly.filter(F.col("weather_type") == "historical").select("stadium_id", "game_date", "weather_ts", "__tie", *taken)
         out = asof.nearest(
             kicked, rows, ["stadium_id", "game_date"], "kickoff_ts_approx", "weather_ts", "__tie", cols=["weather_ts", *taken]
         )
     else:
-        kicked = kicked.withColumn("__cutoff", F.timestamp_add("HOUR", F.lit(-forecast_hours), F.col("kickoff_ts_approx")))
+        hours = F.col("hours_before_event") if by_horizon else F.lit(forecast_hours)
+        kicked = kicked.withColumn("__cutoff", F.timestamp_add("HOUR", -hours, F.col("kickoff_ts_approx")))
         rows = hourly.filter(F.col("weather_type") == "forecast").select("stadium_id", "weather_ts", "__tie", *taken)
         rows = rows.withColumn("run", F.col("forecast_run_ts"))
         out = asof.latest_safe_forecast(
@@ -466,7 +471,8 @@ def weather_at_kickoff(
     shut = (F.lower("metadata_roof_type") == "retractable") & F.lower("roof").isin("closed", "dome")
     closed = flag(dome | shut)
     return out.select(
-        "game_id", "season", "week", "game_date", "kickoff_ts_approx", "stadium_id", "roof", "metadata_roof_type", *WEATHER,
+        "game_id", *(["prediction_horizon", "hours_before_event"] if by_horizon else []), "season", "week", "game_date",
+        "kickoff_ts_approx", "stadium_id", "roof", "metadata_roof_type", *WEATHER,
         F.abs(minutes_between("weather_ts", "kickoff_ts_approx")).alias("weather_obs_minutes_from_kickoff"),
         F.col("weather_type").alias("weather_source_type"), "forecast_run_ts",
         closed.alias("roof_closed_flag"), (1 - closed).alias("open_air_weather_applicable"),

@@ -178,3 +178,17 @@ def test_a_wrong_pair_in_the_code_shows(spark, monkeypatch):
     assert form().equals(want)
     monkeypatch.setattr(intermediate, "FORM_STD", swapped)
     assert not form().equals(want)
+
+
+def test_forecasts_are_known_at_their_horizon(built):
+    """Every run was made before the horizon; the backtest with forecasts has no column that is never known."""
+    kick = built["stg_weather_game_kickoff"].select("game_id", "kickoff_ts_approx")
+    rows = built["int_weather_horizon"].join(kick, "game_id")
+    known = rows.filter(F.col("forecast_run_ts").isNotNull())
+    assert known.count() > 0
+    late = F.col("forecast_run_ts") >= F.timestamp_add("HOUR", -F.col("hours_before_event"), F.col("kickoff_ts_approx"))
+    assert known.filter(late).count() == 0
+    mart = built["mart_backtest_game_forecast"]
+    weather = [c for c in mart.columns if c.startswith("eff_") or c in ("wind_bucket", "adverse_weather_score", "passing_condition_score")]
+    assert len(weather) == 6 and all(quality.zone_of(mart, c) < 3 for c in weather)
+    assert any(quality.zone_of(built["mart_backtest_game"], c) == 3 for c in weather)
