@@ -36,9 +36,10 @@ from leaksafe.llm.shared import text_of
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 BLOCK = 1 << 20  # characters that are cut into segments at once
-KEPT_SEGMENTS = 1 << 18
+KEPT_SEGMENTS = 1 << 17
 KEPT_CHARS = 48
 FLUSH_IDS = 1 << 18
+DECODED_ROWS = 512
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 BYTE_PAIR = 2
 ENCODED = "doc_id long, ids array<int>, begins array<long>, ends array<long>"
@@ -388,7 +389,7 @@ def _encoder(path: str, add_end: bool):
 def _decoder(path: str):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model(path)
-        for batch in batches:
+        for batch in (b.slice(at, DECODED_ROWS) for b in batches for at in range(0, b.num_rows, DECODED_ROWS)):
             lists = batch.column(batch.num_columns - 1)
             ids = lists.flatten().to_numpy()
             ends = np.cumsum([0, *(n or 0 for n in pc.list_value_length(lists).to_pylist())])
