@@ -1,15 +1,25 @@
-"""Repeated runs of lines, found by the hashes of short stretches of lines.
+"""Winnowing over line hashes: fingerprints that every repeated run of lines has, joined, extended and cut.
 
 A line here ends at a line break or after a punctuation mark and a space, so that a passage pasted into the middle of a
-paragraph still has whole lines. Lines are compared without their outer blanks and closing mark. Every stretch of `k`
-lines has a hash, and so has every shorter one of `min_words` words or more. A stretch is a repeat if an earlier place (by
-id, then place) has the same hash. The lines of all repeats are taken together where they overlap, and those of at least
-`min_words` words are deleted; two short repeats that only stand side by side do not make a long one. So whatever run of whole lines of `min_words` words stands at an earlier place
-too is deleted, however few lines it has. Only DataFrame functions, and work and memory linear in the lines of a text.
+paragraph still has whole lines. Lines are compared without their outer blanks and closing mark.
+
+1. A window is the shortest stretch of lines from one line on that has `min_words` words or more. Its fingerprint is its
+   least line: the one with the most words, of these the one with the largest hash. A window depends on its own lines alone, so two runs of whole lines
+   that are equal and have `min_words` words share a fingerprint, however few lines they have.
+2. Places with the same fingerprint are joined: what no other place has is left out from here on.
+3. Around the places that are left, the match is extended both ways: by every stretch that starts at a line whose window has the
+   fingerprint, from the window's end on up to where the next line's window takes over. Together these stretches cover a run of `min_words` words from its first line to its
+   last. A stretch that stands at an earlier place (by id, then place) too is a repeat.
+4. The lines of all repeats are taken together where they overlap or touch, and deleted.
+
+Stretches are compared with every earlier place, not only with the first place of a fingerprint, as rows: hot fingerprints
+are counted before the shuffle and no list of places is ever built. Long texts are dealt in blocks of `BLOCK` lines. Only
+DataFrame functions, and work linear in the lines.
 
 Cases: null text stays null; of rows equal in id and text one is treated as any
 other and the rest are cut whole; rows that share an id but not the text are ordered by a hash of the text; the first of several
-equal texts stays whole; an empty table gives an empty result; other columns are passed on untouched.
+equal texts stays whole; an empty table gives an empty result; other columns are passed on untouched. Blank lines count as
+one word in a window, and a run must have `min_words` words without its outer blanks.
 """
 
 from __future__ import annotations
@@ -23,10 +33,9 @@ from leaksafe.llm.shared import indexes, let, written
 LINE_END = r"(?<=\n)|(?<=[.,;:!?]\x20)"
 # The same cuts, with what ends a line left out.
 LINE_MARK = r"[.,;:!?]\x20|\n"
-K_LINES = 3
-#: Every place has its fingerprints; none is left to a neighbour.
-WINDOW = 1
 MIN_WORDS = 20
+#: Lines of one text that are worked on together; a window reaches into the next block.
+BLOCK = 512
 NO_ID = -(2**63)
 
 
@@ -46,13 +55,10 @@ def line_hashes(text: Column) -> Column:
 def hashes_and_words(text: Column, most: int) -> Column:
     """The hashes of the lines as `h`, and as `n` their words, counted up to `most`."""
     blanks = lambda x: F.octet_length(x) - F.octet_length(F.replace(x, F.lit(" "), F.lit("")))
-    words = lambda x: F.least(blanks(x) + 1, F.lit(most))
+    words = lambda x: F.least(blanks(x) + 1, F.lit(most)).cast("byte")
     return let(bare_lines(text), lambda b: F.struct(F.transform(b, lambda x: F.xxhash64(x)).alias("h"), F.transform(b, words).alias("n")))
 
 
-PLACE_BITS = 20
-
-
 def word_count(text: Column) -> Column:
     """Blanks and line breaks between the outer ones, plus one."""
     inner = F.trim(text, F.lit(" \n\r\t"))
@@ -64,65 +70,107 @@ def _key(id_col: str, text_col: str) -> list[Column]:
     return [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("__id"), F.xxhash64(F.col(text_col)).alias("__key")]
 
 
-def stretch_hashes(table: DataFrame, k: int, min_words: int, short: bool) -> DataFrame:
-    """(hash, __id, __key, mark) of the stretches; mark is k times the first place, plus the number of lines less one.
+def window_lengths(n: Column, min_words: int) -> Column:
+    """For each line the lines of its window, 0 where the text ends before; a line has a word at least."""
+    step = 2 * min_words  # sums of words times `step`, plus the lines so far
 
-    A stretch whose two parts without its last and its first line have hashes of their own needs none: where it repeats, both do.
-    """
-    at = table.select("__id", "__key", "h", "n", F.explode(indexes(F.size("h") * k)).alias("mark"))
-    place = ((F.col("mark") - F.col("mark") % k) / k).cast("int")
-    at = at.select("__id", "__key", "h", "n", "mark", place.alias("place"), (F.col("mark") % k + 1).alias("length"))
+    def length(i: Column) -> Column:
+        seen = F.aggregate(F.slice(n, i + 1, min_words), F.lit(0), lambda acc, x: F.when(acc >= min_words * step, acc).otherwise(acc + x * step + 1))
+        return F.when(seen >= min_words * step, seen % step).otherwise(0)
+
+    return F.transform(indexes(F.size(n)), length)
 
-    def long_enough(first: int, length: int) -> Column:
-        if length == k or length == 0 or not short:
-            return F.lit(length == k)
-        return sum((F.get("n", F.col("place") + first + j) for j in range(1, length)), F.get("n", F.col("place") + first)) >= min_words
 
-    hashed = F.lit(None).cast("bigint")
-    for length in range(1, k + 1):
-        parts = long_enough(0, length - 1) & long_enough(1, length - 1)
-        needed = (F.col("length") == length) & (F.col("place") + length <= F.size("h")) & long_enough(0, length) & ~parts
-        hashed = F.when(needed, F.xxhash64(*[F.get("h", F.col("place") + j) for j in range(length)])).otherwise(hashed)
-    return at.select(hashed.alias("hash"), "__id", "__key", "mark").where("hash is not null")
+def fingerprint_lines(h: Column, n: Column, length: Column) -> Column:
+    """For each line the place of its window's fingerprint, null where it has no window."""
 
+    def least(rank: Column) -> Column:
+        def place(i: Column) -> Column:
+            return let(F.slice(rank, i + 1, F.get(length, i)), lambda w: i + F.array_position(w, F.array_max(w)).cast("int") - 1)
 
-def repeats(docs: DataFrame, id_col: str, text_col: str, k: int = K_LINES, min_words: int = MIN_WORDS, short: bool = False) -> DataFrame:
-    """(__id, __key, marks): for rows with stretches that an earlier place has too, the marks of these, at most k a line."""
+        return F.transform(indexes(F.size(n)), lambda i: F.when(F.get(length, i) > 0, place(i)))
+
+    # Words first, then the hash: long lines are rarer than short ones.
+    ranks = F.zip_with(n, h, lambda a, b: F.shiftleft(a.cast("long"), 56) + F.shiftrightunsigned(b, 8))
+    return let(ranks, least)
+
+
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """(__id, __key, block, h, n, length, prints): texts in blocks of lines; `prints` has each line's fingerprint place.
+
+    Places count within the block, and `h` goes on for the lines that the block's windows reach.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    hashed = docs.select(*_key(id_col, text_col), hashes_and_words(text, min_words).alias("s"))
-    table = written(hashed).select("__id", "__key", "s.h", "s.n")
-    marks = stretch_hashes(table, k, min_words, short)
-    # Plain sums and minima of numbers, reduced before the shuffle however hot a stretch is.
-    counted = marks.groupBy("hash").agg(F.count("*").alias("n"), F.min("__id").alias("__first")).where("n > 1").drop("n")
-    repeated = marks.join(counted.hint("shuffle_hash"), "hash")
+    hashed = docs.select(*_key(id_col, text_col), F.explode(F.array(hashes_and_words(text, min_words))).alias("s"))
+    part = lambda c, b: F.slice(c, b * BLOCK + 1, BLOCK + min_words + 1)
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("s.h") - 1) / BLOCK).cast("int")),
+        lambda b: F.struct(b.alias("block"), part(F.col("s.h"), b).alias("h"), part(F.col("s.n"), b).alias("n")),
+    )
+    cut = hashed.select("__id", "__key", F.explode(blocks).alias("b")).select("__id", "__key", "b.*")
+    sized = cut.withColumn("length", F.explode(F.array(window_lengths(F.col("n"), min_words))))
+    return sized.select("__id", "__key", "block", "h", "length", F.slice(fingerprint_lines(F.col("h"), F.col("n"), F.col("length")), 1, BLOCK).alias("prints"))
+
+
+def joined_places(table: DataFrame) -> DataFrame:
+    """(__id, __key, block, at): of each block the fingerprint places that some other place shares."""
+    prints = table.select("__id", "__key", "block", "h", F.explode(F.array_distinct(F.filter("prints", lambda p: p.isNotNull()))).alias("place"))
+    prints = prints.select(F.get("h", F.col("place")).alias("hash"), "__id", "__key", "block", "place")
+    # A place that windows of two blocks share counts twice and is only looked at once more than it has to be.
+    counted = prints.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    return prints.join(counted.hint("shuffle_hash"), "hash").groupBy("__id", "__key", "block").agg(F.collect_set("place").alias("at"))
+
+
+def stretches(table: DataFrame, places: DataFrame, min_words: int) -> DataFrame:
+    """(hash, __id, __key, mark): the stretches around joined places; mark is `min_words` + 1 times the first line, plus the lines."""
+    held = table.join(places, ["__id", "__key", "block"])
+    length = F.col("length")
+
+    def of_line(i: Column) -> Column:
+        # Up to the line before the next window's end, and to the end of the text where there is no next window.
+        after = F.get(length, i + 1)
+        last = F.when(after > 0, after).otherwise(F.size("h") - i)
+        return F.transform(F.sequence(F.get(length, i), F.greatest(F.get(length, i), last)), lambda m: F.struct(i.alias("i"), m.alias("m")))
+
+    found = F.filter(indexes(F.size("prints")), lambda i: F.array_contains("at", F.get("prints", i)))
+    rows = held.select("__id", "__key", "block", "h", F.explode(F.flatten(F.transform(found, of_line))).alias("s"))
+    mark = (F.col("block") * BLOCK + F.col("s.i")).cast("long") * (min_words + 1) + F.col("s.m")
+    return rows.select(F.xxhash64(F.slice("h", F.col("s.i") + 1, F.col("s.m"))).alias("hash"), "__id", "__key", mark.alias("mark"))
+
+
+def repeats(docs: DataFrame, id_col: str, text_col: str, min_words: int = MIN_WORDS) -> DataFrame:
+    """(__id, __key, marks): for rows with stretches that an earlier place has too, the marks of these, at most two a line."""
+    table = written(fingerprints(docs, id_col, text_col, min_words))
+    rows = written(stretches(table, joined_places(table), min_words))
+    # Plain counts and minima of numbers, reduced before the shuffle however hot a stretch is.
+    counted = rows.groupBy("hash").agg(F.count("*").alias("n"), F.min("__id").alias("__first")).where("n > 1").drop("n")
+    repeated = rows.join(counted.hint("shuffle_hash"), "hash")
     heads = repeated.where(F.col("__id") == F.col("__first")).groupBy("hash").agg(F.min(F.struct("__key", "mark")).alias("head"))
     later = repeated.join(heads, "hash").where(F.struct("__id", "__key", "mark") > F.struct("__first", "head.__key", "head.mark"))
     return later.groupBy("__id", "__key").agg(F.collect_set("mark").alias("marks"))
 
 
-def _runs(marks: Column, k: int) -> Column:
-    """The lines of all marked stretches as sorted (a, b) runs, of stretches that overlap one."""
-    first = lambda m: ((m - m % k) / k).cast("int")
-    places = F.array_sort(F.array_distinct(F.flatten(F.transform(marks, lambda m: F.sequence(first(m), first(m) + m % k)))))
-    # Lines that a stretch holds together with the line before.
-    tied = F.flatten(F.transform(F.filter(marks, lambda m: m % k > 0), lambda m: F.sequence(first(m) + 1, first(m) + m % k)))
+def _runs(marks: Column, min_words: int) -> Column:
+    """The lines of all marked stretches as sorted (a, b) runs that neither overlap nor touch."""
+    # A stretch has at most `min_words` lines, of a word each at least.
+    first = lambda m: F.floor((m - 1) / (min_words + 1)).cast("int")
+    many = lambda m: (m % (min_words + 1)).cast("int")
+    places = F.array_distinct(F.flatten(F.transform(marks, lambda m: F.sequence(first(m), first(m) + many(m) - 1))))
 
-    def between(e: Column) -> Column:
-        return F.transform(F.array_except(e["places"], e["tied"]), lambda a, j: F.struct(a.alias("a"), e["stops"][j].alias("b")))
+    def between(p: Column) -> Column:
+        starts = F.array_sort(F.array_except(p, F.transform(p, lambda x: x + 1)))
+        stops = F.array_sort(F.array_except(F.transform(p, lambda x: x + 1), p))
+        return F.zip_with(starts, stops, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
 
-    stops = lambda e: F.array_except(F.transform(e["places"], lambda x: x + 1), e["tied"])
-    found = let(F.struct(places.alias("places"), tied.alias("tied")), lambda e: F.struct(e["places"], e["tied"], stops(e).alias("stops")))
-    return let(found, between)
+    return let(places, between)
 
 
-def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K_LINES, min_words: int = MIN_WORDS, short: bool = False
-) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """`docs` with the later repeated runs cut out of the text, plus `lines_cut`, the number of lines deleted.
 
-    Without `short` only runs of `k` lines or more count; with it any run of whole lines of `min_words` words does.
+    Any run of whole lines of `min_words` words that stands at an earlier place too goes, however few lines it has.
     """
-    found = repeats(docs, id_col, text_col, k, min_words, short)
+    found = repeats(docs, id_col, text_col, min_words)
     keyed = docs.select(*_key(id_col, text_col), *[F.col(c).alias(f"c{n}") for n, c in enumerate(docs.columns)])
     text = F.col(f"c{docs.columns.index(text_col)}")
     joined = keyed.join(found, ["__id", "__key"], "left")
@@ -136,8 +184,7 @@ def dedup_lines(
 
     def spans_of(ls: Column) -> Column:
         whole = F.array(F.struct(F.lit(0).alias("a"), F.size(ls).alias("b")))
-        spans = F.when(~F.col("__twin"), _runs(F.col("marks"), k)).when(F.lit(short) | (F.size(ls) >= k), whole).otherwise(F.slice(whole, 1, 0))
-        return long_enough(ls, spans)
+        return long_enough(ls, F.when(F.col("__twin"), whole).otherwise(_runs(F.col("marks"), min_words)))
 
     def rebuild(ls: Column) -> Column:
         def cut(spans: Column) -> Column:

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
-import struct
 
 import pytest
 import xxhash
@@ -175,57 +175,37 @@ def signed(x):
     return x - 2**64 if x >= 2**63 else x
 
 
-def chained(values):
-    """Spark's xxhash64 of several longs: each is the next one's seed."""
-    seed = 42
-    for v in values:
-        seed = xxhash.xxh64_intdigest(struct.pack("<q", v), seed=seed)
-    return signed(seed)
-
-
 def plain_words_of(text):
     inner = text.strip(" \n\r\t")
     return inner.count(" ") + inner.count("\n") + 1
 
 
-def plain_dedup(rows, k, w, min_words):
-    """The rule itself, place by place. rows: distinct (id, text)."""
-    split = {r: line_winnow_lines(r[1] or "") for r in rows}
-    hashed = {r: [signed(xxhash.xxh64_intdigest(bare(x).encode(), seed=42)) for x in split[r]] for r in rows}
-    low = (1 << line_winnow.PLACE_BITS) - 1
-    marks = {}
-    for r in rows:
-        h = hashed[r]
-        grams = [chained(h[j : j + k]) for j in range(len(h) - k + 1)]
-        coded = [((g >> line_winnow.PLACE_BITS) << line_winnow.PLACE_BITS) | (low - p) for p, g in enumerate(grams)]
-        picked = {min(range(j, min(j + w, len(grams))), key=lambda p: coded[p]) for j in range(max(len(grams) - w + 1, min(1, len(grams))))}
-        for p in picked:
-            key = signed(xxhash.xxh64_intdigest((r[1] or "").encode(), seed=42))
-            marks.setdefault(grams[p], []).append((r[0], key, p, r))
-    gone = {}
-    for places in marks.values():
-        places.sort(key=lambda x: x[:3])
-        *_, q, f = places[0]
-        for _, _, p, r in places[1:]:
-            a, b, shift = hashed[r], hashed[f], p - q
-            run = []
-            for x in [*range(max(shift, 0), min(len(a), len(b) + shift)), None]:
-                if x is not None and a[x] == b[x - shift]:
-                    run.append(x)
-                    continue
-                if len(run) >= k:
-                    gone.setdefault(r, set()).update(run)
-                run = []
-    for r, places in gone.items():
-        for x in sorted(places):
-            if x - 1 in places:
-                continue
-            run = [x]
-            while run[-1] + 1 in places:
-                run.append(run[-1] + 1)
-            if plain_words_of("".join(split[r][y] for y in run)) < min_words:
-                gone[r] = gone[r] - set(run)
-    return {r: "".join(x for j, x in enumerate(split[r]) if j not in gone.get(r, ())) for r in rows}
+def plain_runs(rows, min_words):
+    """Texts without every stretch of whole lines of min_words words that an earlier place has too, found by looking at all of them."""
+    key = lambda r: (r[0], signed(xxhash.xxh64_intdigest(r[1].encode(), seed=42)))
+    first, out = {}, {}
+    texts = {r: line_winnow_lines(r[1]) for r in sorted(rows, key=key)}
+    for r, split in texts.items():
+        h = [bare(x) for x in split]
+        gone = set()
+        for a in range(len(h)):
+            words, b = 0, a
+            while b < len(h) and (b == a or words < min_words):
+                words, b = words + h[b].count(" ") + 1, b + 1
+            # The shortest stretch from a on, and every longer one that still needs its first line for its words.
+            while words >= min_words:
+                if first.setdefault(tuple(h[a:b]), (r, a)) != (r, a):
+                    gone.update(range(a, b))
+                if b == len(h) or words - h[a].count(" ") - 1 + h[b].count(" ") + 1 >= min_words:
+                    break
+                words, b = words + h[b].count(" ") + 1, b + 1
+        for x in sorted(gone):
+            if x - 1 not in gone:
+                b = next(y for y in range(x, len(h) + 1) if y not in gone)
+                if plain_words_of("".join(split[x:b])) < min_words:
+                    gone -= set(range(x, b))
+        out[r] = "".join(x for j, x in enumerate(split) if j not in gone)
+    return out
 
 
 def line_winnow_lines(t: str) -> list[str]:
@@ -237,14 +217,49 @@ def line_winnow_lines(t: str) -> list[str]:
 
 
 def test_winnowing_guarantee(spark):
-    """Any run of k + w - 1 equal lines in two texts shares a fingerprint."""
-    passage = [words(100 + i, 8).replace(".", "").replace(",", "") + ".\n" for i in range(line_winnow.K_LINES + line_winnow.WINDOW - 1)]
-    rows = [(i, "".join(f"{words(i * 50 + j, 9)}\n" for j in range(4)) + "".join(passage) + words(i, 30)) for i in range(40)]
+    """Equal runs of lines with MIN_WORDS words share a fingerprint wherever they stand, and most lines are none."""
+    line = lambda seed, n: words(seed, n).replace(".", "").replace(",", "") + ".\n"
+    r = random.Random(5)
+    rows, passages = [], []
+    for p in range(60):
+        sizes = []
+        while sum(sizes) < line_winnow.MIN_WORDS:
+            sizes.append(r.randint(1, 9))
+        passages.append("".join(line(9000 + p * 30 + j, n) for j, n in enumerate(sizes)))
+        for side in range(2):
+            around = ["".join(line(p * 1000 + side * 500 + k * 50 + j, r.randint(1, 12)) for j in range(r.randint(0, 30))) for k in range(2)]
+            rows.append((2 * p + side, around[0] + passages[-1] + around[1]))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
+    table = line_winnow.fingerprints(docs, "doc_id", "text", line_winnow.MIN_WORDS).collect()
+    prints = {t["__id"]: {t.h[p] for p in t.prints if p is not None} for t in table}
+    for p, passage in enumerate(passages):
+        own = {signed(xxhash.xxh64_intdigest(bare(x).encode(), seed=42)) for x in line_winnow_lines(passage)}
+        assert prints[2 * p] & prints[2 * p + 1] & own
+    assert sum(map(len, prints.values())) < 0.6 * sum(len(t.h) for t in table)
     got = {r.doc_id: r.text for r in line_winnow.dedup_lines(docs).collect()}
-    assert got[0] == rows[0][1]
-    for i, t in rows[1:]:
-        assert "".join(passage) not in got[i] and got[i] == t.replace("".join(passage), "")
+    for (i, t), passage in zip(rows, [p for p in passages for _ in range(2)], strict=True):
+        assert got[i] == (t if i % 2 == 0 else t.replace(passage, ""))
+
+
+def test_line_dedup_by_brute_force(spark, monkeypatch):
+    """Repeats of all lengths from several sources, also across the blocks of a text."""
+    r = random.Random(11)
+    pool = [words(i, r.randint(1, 9)).replace(".", "").replace(",", "") for i in range(60)]
+    rows = []
+    for i in range(150):
+        text = [r.choice(pool) if r.random() < 0.3 else words(5000 + i * 100 + j, r.randint(1, 9)) for j in range(r.randint(0, 60))]
+        for _ in range(r.randint(0, 3)):
+            a = r.randint(0, 50)
+            at = r.randint(0, len(text))
+            text[at:at] = pool[a : a + r.randint(1, 9)]
+        rows.append((i // 2 if i < 20 else i, "".join(x + r.choice([".\n", ", ", "\n", ". "]) for x in text)))
+    rows = sorted({*rows})
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted((i, t) for (i, _), t in plain_runs(rows, line_winnow.MIN_WORDS).items())
+    for block in (line_winnow.BLOCK, 7):
+        monkeypatch.setattr(line_winnow, "BLOCK", block)
+        assert sorted((r.doc_id, r.text) for r in line_winnow.dedup_lines(docs).collect()) == want
+    assert want != rows
 
 
 def test_both_cuts_agree(spark, edge):
@@ -273,7 +288,7 @@ def test_line_dedup_on_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = {r.doc_id: r.text for r in line_winnow.dedup_lines(docs).collect()}
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    want = plain_dedup(rows, line_winnow.K_LINES, line_winnow.WINDOW, line_winnow.MIN_WORDS)
+    want = plain_runs(rows, line_winnow.MIN_WORDS)
     assert {i for i, t in rows if got[i] != t}
     assert got == {i: t for (i, _), t in want.items()}
 
@@ -308,7 +323,7 @@ def test_passages_of_few_lines_are_cut(spark):
         passage = "".join(line(500 + j, n) for j, n in enumerate(lines))
         rows = [(i, line(i * 9, 15) + line(i * 9 + 1, 7) + passage + line(i * 9 + 2, 11)) for i in range(12)]
         docs = spark.createDataFrame(rows, "doc_id long, text string")
-        got = {r.doc_id: r.text for r in line_winnow.dedup_lines(docs, short=True).collect()}
+        got = {r.doc_id: r.text for r in line_winnow.dedup_lines(docs).collect()}
         assert got == {i: t if i == 0 else t.replace(passage, "") for i, t in rows}
 
 
@@ -337,7 +352,7 @@ def test_a_text_of_equal_lines(spark):
     row = "| none | none | none |\n"
     rows = [(1, row * 30_000 + "end of the first"), (2, row * 30_000 + "end of the second"), (3, "\n" * 30_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r.text for r in line_winnow.dedup_lines(docs, short=True).collect()}
+    got = {r.doc_id: r.text for r in line_winnow.dedup_lines(docs).collect()}
     assert got == {1: row + "end of the first", 2: "end of the second", 3: "\n" * 30_000}
 
 
