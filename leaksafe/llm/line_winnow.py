@@ -4,7 +4,7 @@ A line here ends at a line break or after a punctuation mark and a space, so tha
 paragraph still has whole lines. Lines are compared without their outer blanks and closing mark.
 
 1. A window is the shortest stretch of lines from one line on that has `min_words` words or more. Its fingerprint is its
-   least line: the one with the most words, of these the one with the largest hash. A window depends on its own lines alone, so two runs of whole lines
+   least line in an order of its own: that with the most words, then by hash, then the last. A window depends on its own lines alone, so two runs of whole lines
    that are equal and have `min_words` words share a fingerprint, however few lines they have.
 2. Places with the same fingerprint are joined: what no other place has is left out from here on.
 3. Around the places that are left, the match is extended both ways: by every stretch that starts at a line whose window has the
@@ -34,7 +34,7 @@ LINE_END = r"(?<=\n)|(?<=[.,;:!?]\x20)"
 # The same cuts, with what ends a line left out.
 LINE_MARK = r"[.,;:!?]\x20|\n"
 MIN_WORDS = 20
-#: Lines of one text that are worked on together; a window reaches into the next block.
+#: Lines of one text that are worked on together; a window reaches into the next block. A place takes ten bits.
 BLOCK = 512
 NO_ID = -(2**63)
 
@@ -75,41 +75,46 @@ def window_lengths(n: Column, min_words: int) -> Column:
     step = 2 * min_words  # sums of words times `step`, plus the lines so far
 
     def length(i: Column) -> Column:
+        # Most windows have few lines: these stop at their end, the others look at as many lines as there can be.
+        words, found = F.get(n, i), None
+        for lines in range(1, 7):
+            found = F.when(words >= min_words, lines) if found is None else found.when(words >= min_words, lines)
+            words = words + F.get(n, i + lines)
         seen = F.aggregate(F.slice(n, i + 1, min_words), F.lit(0), lambda acc, x: F.when(acc >= min_words * step, acc).otherwise(acc + x * step + 1))
-        return F.when(seen >= min_words * step, seen % step).otherwise(0)
+        return found.otherwise(let(seen, lambda x: F.when(x >= min_words * step, x % step).otherwise(0)))
 
     return F.transform(indexes(F.size(n)), length)
 
 
 def fingerprint_lines(h: Column, n: Column, length: Column) -> Column:
-    """For each line the place of its window's fingerprint, null where it has no window."""
-
-    def least(rank: Column) -> Column:
-        def place(i: Column) -> Column:
-            return let(F.slice(rank, i + 1, F.get(length, i)), lambda w: i + F.array_position(w, F.array_max(w)).cast("int") - 1)
-
-        return F.transform(indexes(F.size(n)), lambda i: F.when(F.get(length, i) > 0, place(i)))
-
-    # Words first, then the hash: long lines are rarer than short ones.
-    ranks = F.zip_with(n, h, lambda a, b: F.shiftleft(a.cast("long"), 56) + F.shiftrightunsigned(b, 8))
-    return let(ranks, least)
+    """For each line of a block the place of its window's fingerprint, null where it has no window."""
+    # Words first, as long lines are rarer than short ones, then 46 bits of the hash, then the place, which is read off the largest.
+    hashed = lambda x: F.shiftleft(F.shiftrightunsigned(x, 18), 10)
+    ranks = F.transform(h, lambda x, i: F.shiftleft(F.get(n, i).cast("long"), 56) + hashed(x) + i)
+    largest = lambda rank, i, m: F.array_max(F.slice(rank, i + 1, m)).bitwiseAND(F.lit(1023)).cast("int")
+    return let(ranks, lambda rank: F.transform(length, lambda m, i: F.when(m > 0, largest(rank, i, m))))
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """(__id, __key, block, h, n, length, prints): texts in blocks of lines; `prints` has each line's fingerprint place.
+    """(__id, __key, block, h, length, prints): texts in blocks of lines; `prints` has each line's fingerprint place.
 
     Places count within the block, and `h` goes on for the lines that the block's windows reach.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    hashed = docs.select(*_key(id_col, text_col), F.explode(F.array(hashes_and_words(text, min_words))).alias("s"))
-    part = lambda c, b: F.slice(c, b * BLOCK + 1, BLOCK + min_words + 1)
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size("s.h") - 1) / BLOCK).cast("int")),
-        lambda b: F.struct(b.alias("block"), part(F.col("s.h"), b).alias("h"), part(F.col("s.n"), b).alias("n")),
-    )
-    cut = hashed.select("__id", "__key", F.explode(blocks).alias("b")).select("__id", "__key", "b.*")
-    sized = cut.withColumn("length", F.explode(F.array(window_lengths(F.col("n"), min_words))))
-    return sized.select("__id", "__key", "block", "h", "length", F.slice(fingerprint_lines(F.col("h"), F.col("n"), F.col("length")), 1, BLOCK).alias("prints"))
+
+    def blocks(s: Column) -> Column:
+        part = lambda c, b: F.slice(c, b * BLOCK + 1, BLOCK + min_words + 1)
+
+        def block(b: Column) -> Column:
+            def marked(e: Column) -> Column:
+                prints = lambda size: F.slice(fingerprint_lines(e["h"], e["n"], size), 1, BLOCK)
+                return let(window_lengths(e["n"], min_words), lambda size: F.struct(b.alias("block"), e["h"].alias("h"), size.alias("length"), prints(size).alias("prints")))
+
+            return let(F.struct(part(s["h"], b).alias("h"), part(s["n"], b).alias("n")), marked)
+
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(s["h"]) - 1) / BLOCK).cast("int")), block)
+
+    return docs.select(*_key(id_col, text_col), F.explode(let(hashes_and_words(text, min_words), blocks)).alias("b")).select("__id", "__key", "b.*")
 
 
 def joined_places(table: DataFrame) -> DataFrame:
