@@ -251,3 +251,12 @@ def test_pipeline_stages(spark):
         by[p.sequence_id] += p.length
     assert max(by.values()) <= packing.WINDOW
     assert corpus_pipeline.run(spark, SF).groupBy().agg(F.sum("length").alias("n")).first().n == sum(whole.values())
+
+
+def test_one_of_each_keeps_columns_of_any_name(spark):
+    text = " ".join(f"w{j}" for j in range(30))
+    rows = [(1, text, 77, True, 5, "x"), (2, text, 78, False, 6, "y"), (3, None, 79, True, 7, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __mark long, __all boolean, __turn int, `a.b` string")
+    got = ngram_join.one_of_each(docs)
+    assert got.columns == docs.columns
+    assert sorted(tuple(r) for r in got.collect()) == [rows[0], rows[2]]
