@@ -19,6 +19,7 @@ import html as entities
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -215,6 +216,7 @@ def features(page: Page) -> np.ndarray:
     whole = max(size[0], 1)
     out = np.zeros((n, FEATURES), np.float32)
     above: list[tuple[tuple[int, ...], int, int, int]] = [((0,) * N_UP, 0, 0, 0)] * n
+    kin: dict[int, Counter[str]] = {}  # tags of a node's children, counted once
     seen = 0
     for i, node in enumerate(page.nodes):
         groups, bad, good, hidden = above[node.parent.order] if node.parent else ((0,) * N_UP, 0, 0, 0)
@@ -223,7 +225,10 @@ def features(page: Page) -> np.ndarray:
         if g >= 0:
             row[g] = 1.0
         siblings = node.parent.children if node.parent else [node]
-        alike = sum(s.tag == node.tag for s in siblings) if len(siblings) < 200 else len(siblings)
+        up = node.parent.order if node.parent else -1
+        if up not in kin:
+            kin[up] = Counter(s.tag for s in siblings)
+        alike = kin[up][node.tag]
         node.index = 0 if not node.parent else getattr(node.parent, "index", 0)
         row += groups
         row += [

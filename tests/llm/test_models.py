@@ -247,3 +247,12 @@ def test_page_edges(spark):
     assert by[1] == by[2] == by[7] == by[None] == "" and by[8] == words(5, 20_000)
     assert by[4] == "a & b c\n\nd e"
     assert html_extract.main_texts(pages.limit(0)).count() == 0
+
+
+def test_likeness_of_siblings_has_one_rule_for_any_number():
+    place = len(html_extract.TAGS) + html_extract.N_UP + 7  # the share of siblings with the node's tag
+    for n in (10, 300):
+        page = html_extract.parse("<html><body>" + "<p>some words</p><ul><li>x</li></ul>" * (n // 2) + "</body></html>")
+        rows = html_extract.features(page)
+        shares = {rows[node.order, place] for node in page.nodes if node.tag in ("p", "ul")}
+        assert shares == {0.5}
