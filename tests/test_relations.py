@@ -192,3 +192,41 @@ def test_forecasts_are_known_at_their_horizon(built):
     weather = [c for c in mart.columns if c.startswith("eff_") or c in ("wind_bucket", "adverse_weather_score", "passing_condition_score")]
     assert len(weather) == 6 and all(quality.zone_of(mart, c) < 3 for c in weather)
     assert any(quality.zone_of(built["mart_backtest_game"], c) == 3 for c in weather)
+
+
+def test_odds_are_read_off_the_lines_once(spark, built):
+    from leaksafe.plans import derived
+
+    stated = spark.sql(derived.SQL["raw_market_odds_snapshot"], lines=built["lines"], held=built["held"])
+    odds = built["raw_market_odds_snapshot"]
+    assert odds.dtypes == stated.dtypes and odds.count() > 0
+    assert odds.exceptAll(stated).isEmpty() and stated.exceptAll(odds).isEmpty()
+    assert odds._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
+def test_shared_relations_are_written_without_an_exchange(built, monkeypatch):
+    from leaksafe.plans import relations as module
+
+    plans = []
+    write = module.write_table
+
+    def watched(df, path, **settings):
+        plans.append((df, settings))
+        return write(df, path, **settings)
+
+    monkeypatch.setattr(module, "write_table", watched)
+    fresh = module.Relations(built.spark, built.folder)
+    assert fresh["stg_weather_game_kickoff"].exceptAll(built["stg_weather_game_kickoff"]).isEmpty()
+    assert plans and all("partition" not in settings for _, settings in plans)
+
+
+def test_filled_keys_exchange_only_rows_without_one(frame):
+    from leaksafe.operators import joins
+
+    rows = frame("k string, a int, v int", ("x", 1, 1), (None, 1, 2), (None, 2, 3), (None, None, 4), ("y", None, 5))
+    lookup = frame("k string, a int", ("n", 1), ("m", 1), (None, 2))
+    out = joins.fill_key(rows, lookup, ["a"], "k")
+    assert sorted((r["v"], r["k"]) for r in out.select("v", "k").collect() if r["k"]) == [(1, "x"), (2, "m"), (5, "y")]
+    assert out.count() == 5 and set(out.columns) == {"k", "a", "v"}
+    joined = out._jdf.queryExecution().optimizedPlan().toString().split("Join ", 1)[1]
+    assert "isnull(k" in joined
