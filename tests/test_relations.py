@@ -230,3 +230,19 @@ def test_filled_keys_exchange_only_rows_without_one(frame):
     assert out.count() == 5 and set(out.columns) == {"k", "a", "v"}
     joined = out._jdf.queryExecution().optimizedPlan().toString().split("Join ", 1)[1]
     assert "isnull(k" in joined
+
+
+def test_wide_player_rows_are_exchanged_once_for_both_joins(built):
+    from leaksafe.plans.relations import staying
+
+    spark, threshold = built.spark, "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    relation = CATALOG.relations["int_player_game"]
+    spark.conf.set(threshold, "-1")
+    try:
+        with staying(spark, relation.stay):
+            plan = relation.build(*[built[n] for n in relation.needs])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(threshold, before)
+    between = plan.split("SortMergeJoin")[1]  # from the join with the snap counts down to the one with the games
+    assert plan.count("SortMergeJoin") == 2 and "Exchange" not in between
