@@ -49,8 +49,61 @@ def subwords(word: str) -> list[int]:
     return [zlib.crc32(p.encode("utf-8", "replace")) % BUCKETS for p in sorted(parts)]
 
 
+def _crc_table() -> np.ndarray:
+    """The 256 steps of CRC-32, as `zlib.crc32` takes them byte by byte."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1)
+    return table
+
+
+CRC = _crc_table()
+
+
+def many_subwords(found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """`subwords` of all words one after another, and how many each has. ASCII words are hashed all at once.
+
+    A part of a word is a number: the word's place, its up to five bytes, and a last bit for a whole word of more bytes, which
+    sorts as the parts do. So one sort puts the parts of every word in order and repeats side by side.
+    """
+    plain = [w.isascii() for w in found]
+    marked = [f"<{w}>".encode() for w, ok in zip(found, plain, strict=True) if ok]
+    place = np.flatnonzero(plain)
+    sizes = np.zeros(len(found), np.int64)
+    lengths = np.array([len(m) for m in marked], dtype=np.int64)
+    text = np.frombuffer(b"".join(marked) + bytes(5), np.uint8)
+    ends = np.repeat(np.cumsum(lengths), lengths)
+    at, owner = np.arange(len(text) - 5), np.repeat(np.arange(len(marked)), lengths)
+    state, key = np.full(len(at), 0xFFFFFFFF, np.uint32), np.zeros(len(at), np.uint64)
+    keys, hashes = [], []
+    for n in range(1, 6):
+        byte = text[n - 1 : n - 1 + len(at)]
+        state = CRC[(state ^ byte) & 0xFF] ^ (state >> np.uint32(8))
+        key = key | (byte.astype(np.uint64) << np.uint64(8 * (5 - n) + 1))
+        if n >= 3:
+            whole = at + n <= ends
+            keys.append((owner[whole].astype(np.uint64) << np.uint64(41)) | key[whole])
+            hashes.append(~state[whole])
+            if n == 5:  # a whole word stands behind its own beginnings
+                long = np.flatnonzero(lengths > 5)
+                first = (np.cumsum(lengths) - lengths)[long]
+                keys.append((long.astype(np.uint64) << np.uint64(41)) | key[first] | np.uint64(1))
+                hashes.append(np.array([zlib.crc32(marked[i]) for i in long.tolist()], dtype=np.uint32))
+    keys, order = np.unique(np.concatenate(keys), return_index=True)
+    buckets = (np.concatenate(hashes)[order] % BUCKETS).astype(np.int64)
+    sizes[place] = np.bincount((keys >> np.uint64(41)).astype(np.int64), minlength=len(marked))
+    if all(plain):
+        return buckets, sizes
+    parts, rest = iter(np.split(buckets, np.cumsum(sizes[place])[:-1])), []
+    for i, word in enumerate(found):
+        rest.append(next(parts) if plain[i] else np.array(subwords(word), dtype=np.int64))
+        sizes[i] = len(rest[-1])
+    return np.concatenate(rest), sizes
+
+
 def words(text: str | None) -> list[str]:
-    return [piece for run in WORD.findall(text.lower()) for piece in pieces(run)] if text else []
+    runs = WORD.findall(text.lower()) if text else []
+    return runs if max(map(len, runs), default=0) <= PIECE else [piece for run in runs for piece in pieces(run)]
 
 
 def pieces(run: str) -> list[str]:
@@ -75,8 +128,10 @@ class Classifier:
 
     def word_margins(self, subs: list[list[int]]) -> np.ndarray:
         """The class margin of each word: its mean embedding against the two softmax rows."""
-        sizes = np.array([len(s) for s in subs])
-        flat = np.concatenate([np.array(s) for s in subs])
+        return self.margins(np.concatenate([np.array(s) for s in subs]), np.array([len(s) for s in subs]))
+
+    def margins(self, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The same of words given as `many_subwords` gives them."""
         per_bucket = self.embeddings[flat] @ (self.weight[:, 1] - self.weight[:, 0])
         return np.add.reduceat(per_bucket, np.concatenate([[0], np.cumsum(sizes)[:-1]])) / sizes
 
@@ -198,7 +253,7 @@ def _scorer(held):
                     if len(margins) > CACHE_WORDS:
                         margins.clear()
                         fresh = list(dict.fromkeys(tokens))
-                    margins.update(zip(fresh, model.word_margins([subwords(w) for w in fresh]).tolist(), strict=True))
+                    margins.update(zip(fresh, model.margins(*many_subwords(fresh)).tolist(), strict=True))
                     values = list(map(margins.get, tokens))
                 scores.append(model.document(np.array(values, dtype=float)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["__id", "score"])

@@ -155,6 +155,14 @@ def test_every_gram_and_language_is_kept(spark):
     assert (models["rare"].orders[-1].grams == want).all()
 
 
+def test_subwords_of_many_words_are_those_of_each():
+    words = [a + b * n for a in ("", "x_9", "bad", "é", "ü1") for b in ("a", "ab", "abcd", "日") for n in range(1, 14)]
+    for part in (words, [w for w in words if w.isascii()], ["é"], ["a"], ["a" * 40]):
+        flat, sizes = toxicity.many_subwords(part)
+        want = [toxicity.subwords(w) for w in part]
+        assert sizes.tolist() == [len(x) for x in want] and flat.tolist() == [y for x in want for y in x]
+
+
 def test_toxicity_held_out(spark):
     got = {r.doc_id: r for r in queries.QUERIES["op7_toxicity"](spark, SF).collect()}
     labels = [r for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
