@@ -38,6 +38,8 @@ MIN_TEXTS = 5
 #: Words of a training text that are read; longer ones are left out of the sample whole.
 SAMPLE_WORDS = 4000
 CACHE_WORDS = 400_000
+#: Words that are hashed at once.
+SUBWORD_WORDS = 1 << 15
 WORD = re.compile(r"\w+")
 PIECE = 40
 
@@ -64,8 +66,11 @@ def many_subwords(found: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """`subwords` of all words one after another, and how many each has. ASCII words are hashed all at once.
 
     A part of a word is a number: the word's place, its up to five bytes, and a last bit for a whole word of more bytes, which
-    sorts as the parts do. So one sort puts the parts of every word in order and repeats side by side.
+    sorts as the parts do. So one sort puts the parts of every word in order and repeats side by side. Many words go in stretches.
     """
+    if len(found) > SUBWORD_WORDS:
+        flat, counts = zip(*[many_subwords(found[a : a + SUBWORD_WORDS]) for a in range(0, len(found), SUBWORD_WORDS)], strict=True)
+        return np.concatenate(flat), np.concatenate(counts)
     plain = [w.isascii() for w in found]
     marked = [f"<{w}>".encode() for w, ok in zip(found, plain, strict=True) if ok]
     place = np.flatnonzero(plain)

@@ -91,6 +91,23 @@ def test_links_through_hot_lists(spark, monkeypatch):
     assert [got[i] for i, _ in rows] == plain_components(rows)
 
 
+@pytest.mark.parametrize("list_rows", [2048, 16])
+def test_a_pair_is_given_by_one_of_its_lists(spark, monkeypatch, list_rows):
+    """Near copies share most of their lists, which lie in different tasks; texts that only share a passage are not given."""
+    monkeypatch.setattr(ngram_join, "LIST_ROWS", list_rows)
+    merged = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(merged)
+    spark.conf.set(merged, "false")
+    try:
+        texts = [t for s in range(3) for t in chain(8, s, length=200, step=1)]
+        texts += [" ".join([*(f"c{k}" for k in range(25)), *(f"p{k}x{j}" for j in range(175))]) for k in range(24)]
+        held = ngram_join.Join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", "text")
+        pairs = [tuple(r) for r in ngram_join.tree_pairs(ngram_join.lists(held.nodes), held.nodes).collect()]
+        assert len(pairs) == len(set(pairs)) == 3 * 8 * 7 // 2 == held.links(spark.createDataFrame(pairs, "a long, b long")).count()
+    finally:
+        spark.conf.set(merged, before)
+
+
 def test_tree_bound_never_loses_a_pair():
     rng = np.random.default_rng(6)
     for n in (1, 2, 17, 300):
