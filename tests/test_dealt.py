@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from leaksafe.operators.marts import Join, assemble
-from leaksafe.plans.relations import CATALOG, relations, staying
+from leaksafe.plans import relations as plans
+from leaksafe.plans.derived import LINES_PLACED, needs, raw_frame
+from leaksafe.plans.relations import CATALOG, PARTITIONS, partitions_for, relations, staying
 from leaksafe.sources.tables import write_dealt
 
 
@@ -58,3 +60,36 @@ def test_wide_base_stays_and_rows_are_those_of_plain_joins(frame, rows):
     want, got = assemble(base, joins), assemble(base, joins, at=["g"])
     assert got.columns == want.columns and got.dtypes == want.dtypes
     assert sorted(rows(got), key=str) == sorted(rows(want), key=str) and want.count() == 8
+
+
+def test_shuffles_have_as_many_partitions_as_the_tables_ask_for(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(plans, "ROWS_PER_TASK", 4)
+    before = spark.conf.get(PARTITIONS)
+    try:
+        for rows in (50, 500):
+            folder = f"{tmp_path}/{rows}"
+            spark.range(rows).write.parquet(f"{folder}/lineitem.parquet")
+            spark.range(2).write.parquet(f"{folder}/orders.parquet")
+            want = (rows + 2) // 4
+            assert partitions_for(spark, folder) == want == relations(spark, folder).partitions
+            assert int(spark.conf.get(PARTITIONS)) == want
+            # The setting is raised, never lowered, and holds for each call.
+            spark.conf.set(PARTITIONS, "1000")
+            relations(spark, folder)
+            assert spark.conf.get(PARTITIONS) == "1000"
+            spark.conf.set(PARTITIONS, before)
+            relations(spark, folder)
+            assert int(spark.conf.get(PARTITIONS)) == want
+            spark.conf.set(PARTITIONS, before)
+    finally:
+        spark.conf.set(PARTITIONS, before)
+
+
+def test_player_weeks_are_grouped_where_the_lines_are(spark, built):
+    assert exchanges(spark, lambda: raw_frame(spark, SF, "player_weeks", built.__getitem__)) == 0
+
+
+def test_lines_carry_no_derived_columns_through_the_exchange(spark, built):
+    dealt = spark.sql(LINES_PLACED, **{n: built[n] for n in needs(LINES_PLACED)})
+    assert not {"game_id", "home_no", "away_no", "other_no"} & set(dealt.columns)
+    assert raw_frame(spark, SF, "lines", built.__getitem__).exceptAll(built["lines"]).isEmpty()
