@@ -70,7 +70,7 @@ def test_shuffles_have_as_many_partitions_as_the_tables_ask_for(spark, tmp_path,
             folder = f"{tmp_path}/{rows}"
             spark.range(rows).write.parquet(f"{folder}/lineitem.parquet")
             spark.range(2).write.parquet(f"{folder}/orders.parquet")
-            want = (rows + 2) // 4
+            want = -(-(rows + 2) // 4)
             assert partitions_for(spark, folder) == want == relations(spark, folder).partitions
             assert int(spark.conf.get(PARTITIONS)) == want
             # The setting is raised, never lowered, and holds for each call.
