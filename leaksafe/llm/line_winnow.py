@@ -24,6 +24,8 @@ one word in a window, and a run must have `min_words` words without its outer bl
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,38 +63,67 @@ def hashes_and_words(text: Column, most: int) -> Column:
 
 def word_count(text: Column) -> Column:
     """Blanks and line breaks between the outer ones, plus one."""
-    inner = F.trim(text, F.lit(" \n\r\t"))
-    bare = F.replace(F.replace(inner, F.lit(" "), F.lit("")), F.lit("\n"), F.lit(""))
-    return F.length(inner) - F.length(bare) + 1
+    bare = lambda t: F.replace(F.replace(t, F.lit(" "), F.lit("")), F.lit("\n"), F.lit(""))
+    return let(F.trim(text, F.lit(" \n\r\t")), lambda t: F.octet_length(t) - F.octet_length(bare(t)) + 1)
 
 
 def _key(id_col: str, text_col: str) -> list[Column]:
     return [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("__id"), F.xxhash64(F.col(text_col)).alias("__key")]
 
 
+def spanning(values: Column, spans: list[int], join: Callable[[Column, Column], Column], use: Callable[[list[Column]], Column]) -> Column:
+    """`use` of what `join` makes of 1, 2, 4 ... `spans[-1]` values from each place on; past the last value it joins null."""
+
+    def further(found: list[Column]) -> Column:
+        if len(found) == len(spans):
+            return use(found)
+        beyond = F.slice(found[-1], spans[len(found) - 1] + 1, F.size(found[-1]))
+        return let(F.zip_with(found[-1], beyond, lambda a, b: join(a, b)), lambda x: further([*found, x]))
+
+    return let(values, lambda x: further([x]))
+
+
 def window_lengths(n: Column, min_words: int) -> Column:
     """For each line the lines of its window, 0 where the text ends before; a line has a word at least."""
     step = 2 * min_words  # sums of words times `step`, plus the lines so far
+    spans = [2**k for k in range(min_words.bit_length())]
+
+    def lengths(sums: list[Column]) -> Column:
+        # The most lines that have too few words: as many as 2 to some power at a time, the largest first.
+        few = F.transform(n, lambda _: F.lit(0))
+        for span, words in reversed(list(zip(spans, sums))):
+            few = F.transform(few, _longer(words, span, step, min_words))
+        return F.transform(few, lambda s, i: F.when(i + s % step < F.size(n), s % step + 1).otherwise(0))
 
-    def length(i: Column) -> Column:
-        # Most windows have few lines: these stop at their end, the others look at as many lines as there can be.
-        words, found = F.get(n, i), None
-        for lines in range(1, 7):
-            found = F.when(words >= min_words, lines) if found is None else found.when(words >= min_words, lines)
-            words = words + F.get(n, i + lines)
-        seen = F.aggregate(F.slice(n, i + 1, min_words), F.lit(0), lambda acc, x: F.when(acc >= min_words * step, acc).otherwise(acc + x * step + 1))
-        return found.otherwise(let(seen, lambda x: F.when(x >= min_words * step, x % step).otherwise(0)))
+    return spanning(F.transform(n, lambda x: x.cast("int")), spans, lambda a, b: a + b, lengths)
 
-    return F.transform(indexes(F.size(n)), length)
 
+def _longer(words: Column, span: int, step: int, min_words: int) -> Callable[[Column, Column], Column]:
+    def grown(s: Column, i: Column) -> Column:
+        more = F.get(words, i + s % step) * step + s
+        return F.when(more < min_words * step, more + span).otherwise(s)
 
-def fingerprint_lines(h: Column, n: Column, length: Column) -> Column:
+    return grown
+
+
+def fingerprint_lines(h: Column, n: Column, length: Column, min_words: int) -> Column:
     """For each line of a block the place of its window's fingerprint, null where it has no window."""
     # Words first, as long lines are rarer than short ones, then 46 bits of the hash, then the place, which is read off the largest.
     hashed = lambda x: F.shiftleft(F.shiftrightunsigned(x, 18), 10)
     ranks = F.transform(h, lambda x, i: F.shiftleft(F.get(n, i).cast("long"), 56) + hashed(x) + i)
-    largest = lambda rank, i, m: F.array_max(F.slice(rank, i + 1, m)).bitwiseAND(F.lit(1023)).cast("int")
-    return let(ranks, lambda rank: F.transform(length, lambda m, i: F.when(m > 0, largest(rank, i, m))))
+    spans = [2**k for k in range(min_words.bit_length())]
+
+    def largest(top: list[Column]) -> Column:
+        # Two stretches as long as a power of two, from its first and to its last line, cover a window.
+        def of_line(m: Column, i: Column) -> Column:
+            found = F.when(m < 1, None)
+            for span, t in zip(spans, top):
+                found = found.when(m < 2 * span, F.greatest(F.get(t, i), F.get(t, i + m - span)))
+            return found.bitwiseAND(F.lit(1023)).cast("int")
+
+        return F.transform(length, of_line)
+
+    return spanning(ranks, spans, lambda a, b: F.greatest(a, b), largest)
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
@@ -107,7 +138,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, min_words: int) ->
 
         def block(b: Column) -> Column:
             def marked(e: Column) -> Column:
-                prints = lambda size: F.slice(fingerprint_lines(e["h"], e["n"], size), 1, BLOCK)
+                prints = lambda size: F.slice(fingerprint_lines(e["h"], e["n"], size, min_words), 1, BLOCK)
                 return let(window_lengths(e["n"], min_words), lambda size: F.struct(b.alias("block"), e["h"].alias("h"), size.alias("length"), prints(size).alias("prints")))
 
             return let(F.struct(part(s["h"], b).alias("h"), part(s["n"], b).alias("n")), marked)

@@ -262,6 +262,22 @@ def test_line_dedup_by_brute_force(spark, monkeypatch):
     assert want != rows
 
 
+def test_windows_take_few_steps(spark):
+    r = random.Random(9)
+    rows = [[r.choice([1, 1, 2, 3, 7, 19, 20]) for _ in range(k)] for k in (0, 1, 2, 30, 200)] + [[1] * 60, [20] * 5, [19, 1], [19]]
+    rows = [([r.randrange(-(2**63), 2**63) for _ in n], n) for n in rows]
+    docs = spark.createDataFrame(rows, "h array<long>, n array<byte>")
+    for most in (1, 3, 20):
+        size = line_winnow.window_lengths(F.col("n"), most)
+        # No window's lines are summed one by one.
+        assert "aggregate(" not in str(size)
+        for x in docs.select("h", "n", size.alias("size"), line_winnow.fingerprint_lines(F.col("h"), F.col("n"), size, most).alias("at")).collect():
+            for i in range(len(x.n)):
+                m = next((m for m in range(1, len(x.n) - i + 1) if sum(x.n[i:i + m]) >= most), 0)
+                rank = lambda k: (x.n[k], (x.h[k] % 2**64 >> 18), k)  # noqa: E731, B023
+                assert x.size[i] == m and x.at[i] == (max(range(i, i + m), key=rank) if m else None)
+
+
 def test_both_cuts_agree(spark, edge):
     docs = spark.createDataFrame([(t,) for t in ("", "\n", "a, \nb", "a.  b\n", ".. x", "\n\nx. ", "a,b", ", ")], "text string")
     for df in (docs, edge.where("text is not null")):
