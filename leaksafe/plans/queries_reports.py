@@ -10,6 +10,7 @@ from leaksafe.operators import ml
 from leaksafe.plans.queries_time import ORDER, RATING_SQL, open_close, rated_orders, wide_mart
 from leaksafe.plans.registry import query, table
 from leaksafe.plans.relations import scratch
+from leaksafe.session import checkpoint
 from leaksafe.sources import payloads, tables
 from leaksafe.streaming import snapshots
 
@@ -662,7 +663,9 @@ def gbt_scores(spark, sf):
         targets=("o_totalprice", "outcome"),
         features=("price_std", "rate_std", "games_played", "rating_pre", "n_lines", "season"),
     )
-    mart = wide_mart(spark, sf)
+    # Every model reads the mart many times: it is worked out once, and only as wide as the models need it.
+    wanted = dict.fromkeys([*spec.identifiers, *spec.targets, *spec.features])
+    mart = checkpoint(wide_mart(spark, sf).select(*wanted))
     frames = ml.split(mart, "split")
     models = ml.train(
         frames["train"], frames["validation"], spec,

@@ -327,3 +327,28 @@ def test_dashboard(frame, rows):
     assert rows(dash.career_summary(career, [], "pts"))[0] == (2, 60.0, 30.0)
     assert rows(dash.search(df, "name", "AN").select("name").distinct()) == [("Ann",)]
     assert rows(dash.periods(df, "season")) == [(2021,), (2020,)]
+
+
+def test_gbt_mart_is_worked_out_once(spark, monkeypatch):
+    from leaksafe.operators import ml
+    from leaksafe.plans import queries_reports
+
+    i = F.col("id")
+    rows = spark.range(600).groupBy(i.alias("o_orderkey")).agg(F.max(i).alias("n_lines")).withColumns({
+        "season": F.lit(1995) + F.col("n_lines") % 7, "o_totalprice": F.col("n_lines") * 1.5, "outcome": F.col("n_lines") % 2,
+        **{c: F.sin(F.col("n_lines")) for c in ("price_std", "rate_std", "rating_pre")}, "games_played": F.col("n_lines") % 5, "unused": F.lit("x"),
+    })
+    rows = rows.withColumn("split", F.when(F.col("season") < 1998, "train").when(F.col("season") < 2000, "validation").otherwise("test"))
+    monkeypatch.setattr(queries_reports, "wide_mart", lambda *_: rows)
+    plans, train = [], ml.train
+
+    def few(a, b, *args):
+        plans.extend(df._jdf.queryExecution().executedPlan().toString() for df in (a, b))
+        assert "unused" not in a.columns
+        return train(a, b, *args, max_iter=2)
+
+    monkeypatch.setattr(ml, "train", few)
+    out = queries_reports.gbt_scores(spark, "")
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 3 and not any("Aggregate" in p or "Exchange" in p for p in plans)
+    assert sorted(r.o_orderkey for r in out.collect()) == [k for k in range(600) if 1995 + k % 7 >= 2000]
