@@ -206,6 +206,49 @@ def test_a_space_fitted_on_a_tenth_finds_the_leaks(spark, monkeypatch):
     assert pairs and hits <= pairs and len(hits & pairs) >= 0.9 * len(pairs)
 
 
+def test_the_space_is_that_of_all_documents(spark, monkeypatch):
+    """Pairs of words and the space against plain numpy over every passage of every document."""
+    monkeypatch.setattr(decontaminate, "SVD_ROWS", 3)
+    monkeypatch.setattr(decontaminate, "PAIRS_HELD", 50)
+    r, half = random.Random(3), decontaminate.HALF
+    known = [f"w{k}" for k in range(90)]
+    benchmark = spark.createDataFrame([(f"i{k}", " ".join(r.sample(known, 30))) for k in range(5)], "item_id string, text string")
+    texts = [" ".join(r.choice([*known, "other", "else"]) for _ in range(r.choice([0, 1, 15, 16, 17, 33, 300]))) for _ in range(60)] + [None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string").selectExpr("id __row", "id __id", "text __text").repartition(3)
+    (block,) = decontaminate.blocks_of(benchmark)
+    held = spark.sparkContext.broadcast(block.vocabulary)
+    hits = rows.mapInArrow(decontaminate._reduce(held), "__row long, __id long, n int, place array<int>, word array<int>").cache()
+    weight = np.random.default_rng(1).uniform(0.5, 3, len(block.vocabulary))
+    weight[::7] = 0
+    counts = []
+    for text in texts:
+        found = decontaminate.words(text or "")
+        halves = max(1, -(-len(found) // half))
+        for a in range(max(halves - 1, 1)):
+            row = np.zeros(len(weight))
+            for w in found[a * half : (a + 2) * half]:
+                if w in block.vocabulary:
+                    row[block.vocabulary[w]] += 1
+            counts.append(row)
+    every = np.array(counts) * (weight > 0)
+    want = every.T @ every
+    got = np.zeros_like(want)
+    for x in decontaminate.word_pairs(hits, weight).collect():
+        got[x["one"], x["others"]] += x["counts"]
+    assert (got == np.triu(want)).all()
+    monkeypatch.setattr(decontaminate, "DENSE_PAIRS", 0)
+    listed = {x["one"]: (x["others"], x["counts"]) for x in decontaminate.word_pairs(hits, weight).collect()}
+    assert all((got[k, listed[k][0]] == listed[k][1]).all() and len(listed[k][0]) == np.count_nonzero(got[k]) for k in range(len(got)) if got[k].any())
+    gram = want * weight[:, None] * weight[None]
+    own = block.matrix(weight)
+    monkeypatch.setattr(decontaminate, "RANK_ABOVE", 10)
+    space = decontaminate.latent_space(hits, block, weight)
+    start = np.random.default_rng(5).normal(size=space.shape)
+    mine, theirs = own.T @ own @ start, gram @ start
+    q, _ = np.linalg.qr(mine / np.abs(mine).sum() + theirs / np.abs(theirs).sum())
+    assert np.allclose(space @ space.T, q @ q.T, atol=1e-6)
+
+
 def test_paraphrases_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_PASSAGES", 7)
     r = random.Random(8)
